@@ -152,6 +152,15 @@ def _errors(checks: dict[str, tuple[Column, str]], why: dict[str, Column]) -> Co
     return F.array_compact(F.array(*found, *extra))
 
 
+def _computed_once(df: DataFrame) -> DataFrame:
+    """The same rows behind a generator, which the optimizer moves no filter across.
+
+    Otherwise a filter on `errors` sinks below the decoding, every column in it is
+    replaced by its whole expression, and the plan grows with each layer.
+    """
+    return df.select(F.inline(F.array(F.struct(*df.columns))))
+
+
 IDENTIFIERS = (
     "customer_id", "card_id", "merchant_id", "merchant_category", "city", "device_id"
 )
@@ -170,7 +179,7 @@ def check_transactions(df: DataFrame) -> DataFrame:
         "given_id": F.col("transaction_id"),
         "transaction_id": canonical_uuid(F.col("transaction_id")),
     }
-    return (
+    return _computed_once(
         df.withColumns(normalised)
         .withColumn("errors", _errors(_transaction_checks(), missing))
         .withColumn("transaction_id", F.coalesce("transaction_id", "given_id"))
@@ -291,9 +300,11 @@ def _decoded(df: DataFrame, values: dict[str, Column], optional: tuple, checks,
     why = {name: _why(name, F.col(name), name in optional) for name in values} | extra_why
     unreadable = F.array(F.lit("body:json"))
     scratch = [c for c in typed.columns if c.startswith(("_v_", "_t_"))]
-    return typed.withColumn(
-        "errors", F.when(F.col("doc").isNull(), unreadable).otherwise(_errors(checks, why))
-    ).drop(*scratch, "doc")
+    return _computed_once(
+        typed.withColumn(
+            "errors", F.when(F.col("doc").isNull(), unreadable).otherwise(_errors(checks, why))
+        ).drop(*scratch, "doc")
+    )
 
 
 TRANSACTION_FIELDS = (

@@ -18,75 +18,76 @@ from pyspark.sql import functions as F
 
 from riskloom.config import DEFAULTS, Settings
 from riskloom.functions.scoring import feature_vector, risky_merchant
+from riskloom.functions.shape import inline_rows
 from riskloom.operators.arrival import arrival_counts
 from riskloom.operators.ordering import running_totals
 
-MARK, COPY, EVENT = 0, 1, 2
-OPENERS = {
-    "opens_device": ["customer_id", "device_id"],
-    "opens_country": ["customer_id", "country_code"],
-    "opens_customer": ["customer_id"],
-}
-
-
-def first_seen_marks(events: DataFrame, order: list[str]) -> DataFrame:
-    """One thin row per event that is the first of a device, a country or a customer."""
-    pairs = events.groupBy("customer_id", "device_id", "country_code").agg(
-        F.min(F.struct(*order)).alias("first")
-    )
-    marks = None
-    for name, keys in OPENERS.items():
-        opened = (
-            pairs.groupBy(*keys)
-            .agg(F.min("first").alias("first"))
-            .select(
-                "customer_id",
-                *[F.col(f"first.{column}").alias(column) for column in order],
-                *[F.lit(1 if name == other else 0).alias(other) for other in OPENERS],
-            )
-        )
-        marks = opened if marks is None else marks.unionAll(opened)
-    return marks
+PROBE, MARK, COPY, EVENT = -1, 0, 1, 2
+NEW_DEVICE, NEW_COUNTRY, NEW_CUSTOMER = 1, 2, 3
+# More than any arrival number, so one decimal can hold (time, seq) in sort order.
+SEQ_RANGE = "10000000000000000000BD"
+
+
+def first_seen_marks(events: DataFrame, by_time: bool) -> DataFrame:
+    """One thin row per first event of a device, a country or a customer.
+
+    The order key is a single number on purpose: unlike the minimum of a struct, the
+    minimum of a number is aggregated by hash, without sorting the events.
+    """
+    key = F.expr(f"CAST(at AS DECIMAL(20, 0)) * {SEQ_RANGE} + seq") if by_time else F.col("seq")
+    # Few rows are left per customer after this; only those are told apart by opener.
+    seen = events.groupBy("customer_id", "device_id", "country_code").agg(F.min(key).alias("first"))
+    openers = inline_rows(
+        ("opener", "value"),
+        (F.lit(NEW_DEVICE), F.col("device_id")),
+        (F.lit(NEW_COUNTRY), F.col("country_code")),
+        (F.lit(NEW_CUSTOMER), F.lit("")),
+    )
+    firsts = (
+        seen.select("customer_id", "first", openers)
+        .groupBy("customer_id", "opener", "value")
+        .agg(F.min("first").alias("first"))
+    )
+    if not by_time:
+        return firsts.select("customer_id", F.col("first").alias("seq"), "opener")
+    seq = f"pmod(first, {SEQ_RANGE})"
+    return firsts.select(
+        "customer_id",
+        F.expr(f"(first - {seq}) div {SEQ_RANGE}").alias("at"),
+        F.expr(f"CAST({seq} AS BIGINT)").alias("seq"),
+        "opener",
+    )
 
 
 def _flags(over: Window | None = None) -> dict[str, Column]:
-    def present(name: str) -> Column:
-        value = F.max(name)
-        return (value if over is None else value.over(over)) == 1
+    """New means first of its device or country, but not of the customer."""
+
+    def marked(opener: int) -> Column:
+        found = F.max(F.when(F.col("opener") == opener, 1).otherwise(0))
+        return (found if over is None else found.over(over)) == 1
 
     return {
-        "is_new_device": present("opens_device") & ~present("opens_customer"),
-        "is_new_country": present("opens_country") & ~present("opens_customer"),
+        "is_new_device": marked(NEW_DEVICE) & ~marked(NEW_CUSTOMER),
+        "is_new_country": marked(NEW_COUNTRY) & ~marked(NEW_CUSTOMER),
     }
 
 
 def _slots(events: DataFrame, window_us: int) -> DataFrame:
-    """Every event once in its own slot and, without payload, once in the next one."""
+    """Every event in its own slot and, without payload, in the next one; and the marks."""
     slot = F.expr(f"at div {window_us}")
-    thin = [F.lit(0).alias(name) for name in OPENERS]
-    own = events.select(
-        "customer_id", slot.alias("slot"), "at", "seq", F.lit(EVENT).alias("kind"), *thin, "row"
+    no_row = F.lit(None).cast(events.schema["row"].dataType)
+    twice = inline_rows(
+        ("slot", "kind", "row"),
+        (slot, F.lit(EVENT), F.col("row")),
+        (slot + 1, F.lit(COPY), no_row),
     )
-    nothing = F.lit(None).cast(events.schema["row"].dataType)
-    copies = events.select(
-        "customer_id",
-        (slot + 1).alias("slot"),
-        "at",
-        "seq",
-        F.lit(COPY).alias("kind"),
-        *thin,
-        nothing.alias("row"),
+    counted = events.select(
+        "customer_id", "at", "seq", F.lit(None).cast("int").alias("opener"), twice
     )
-    marks = first_seen_marks(events, ["at", "seq"]).select(
-        "customer_id",
-        slot.alias("slot"),
-        "at",
-        "seq",
-        F.lit(MARK).alias("kind"),
-        *OPENERS,
-        nothing.alias("row"),
+    marks = first_seen_marks(events, by_time=True).select(
+        "customer_id", "at", "seq", "opener", slot, F.lit(MARK), no_row
     )
-    return own.unionAll(copies).unionAll(marks)
+    return counted.unionAll(marks)
 
 
 def hot_slots(events: DataFrame, window_us: int, limit: int) -> DataFrame:
@@ -146,7 +147,7 @@ def _counted_by_rank(rows: DataFrame, window_us: int) -> DataFrame:
     probe = (
         rows.where(F.col("kind") == EVENT)
         .withColumn("at", F.col("at") - window_us)
-        .withColumn("kind", F.lit(-1))
+        .withColumn("kind", F.lit(PROBE))
     )
     thin = [column for column in rows.columns if column != "row"]
     ordered = running_totals(
@@ -157,7 +158,7 @@ def _counted_by_rank(rows: DataFrame, window_us: int) -> DataFrame:
         ["customer_id", "slot", "at", "is_event", "seq", "kind"],
         {"seen": F.when(F.col("kind") >= COPY, 1).otherwise(0)},
     )
-    sign = F.when(F.col("kind") == EVENT, 1).when(F.col("kind") == -1, -1).otherwise(0)
+    sign = F.when(F.col("kind") == EVENT, 1).when(F.col("kind") == PROBE, -1).otherwise(0)
     features = (
         ordered.where(F.col("kind") != COPY)
         .groupBy("customer_id", "seq")
@@ -187,11 +188,11 @@ def _in_event_time(events: DataFrame, settings: Settings) -> DataFrame:
 
 def _in_arrival_order(events: DataFrame, settings: Settings) -> DataFrame:
     counts = arrival_counts(events.select("customer_id", "seq", "at"), settings)
-    marks = first_seen_marks(events, ["seq"])
+    marks = first_seen_marks(events, by_time=False)
     # Counts and marks meet the payload on the unique (customer, seq), which cannot be hot.
     features = (
-        counts.select("customer_id", "seq", "n", *[F.lit(0).alias(name) for name in OPENERS])
-        .unionAll(marks.select("customer_id", "seq", F.lit(None).cast("long").alias("n"), *OPENERS))
+        counts.select("customer_id", "seq", "n", F.lit(None).cast("int").alias("opener"))
+        .unionAll(marks.select("customer_id", "seq", F.lit(None).cast("long"), "opener"))
         .groupBy("customer_id", "seq")
         .agg(
             F.max("n").cast("int").alias("transaction_count_5m"),

@@ -8,7 +8,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.config import PROBABILITY_BUCKETS
+from riskloom.functions.shape import inline_rows
 from riskloom.operators.ordering import chunked_running, running_totals
+from riskloom.session import ensure_checkpoint_dir
 
 # Default bucket bounds of a duration histogram, in seconds.
 DURATION_BUCKETS = (
@@ -95,9 +97,14 @@ def lag(high: Column, committed: Column) -> Column:
     return F.when(committed < 0, 0).otherwise(F.greatest(high - committed, F.lit(0)))
 
 
-def consumer_lag(ends: DataFrame, commits: DataFrame) -> DataFrame:
-    """Lag per group, topic and partition from end offsets and committed offsets."""
-    return ends.join(commits, ["topic", "partition"]).withColumn(
+def consumer_lag(
+    ends: DataFrame, commits: DataFrame, on: tuple[str, ...] = ("topic", "partition")
+) -> DataFrame:
+    """Lag per group, topic and partition from end offsets and committed offsets.
+
+    For a history of samples, `on` also names the sample, which keeps the keys distinct.
+    """
+    return ends.join(commits, list(on)).withColumn(
         "lag", lag(F.col("high"), F.col("committed"))
     )
 
@@ -147,13 +154,15 @@ def increase(samples: DataFrame, keys: list[str], window_seconds: int) -> DataFr
         F.when(F.col("at") - F.col("before.at") < window_us, grown).alias("grown"),
         F.col("before.at").alias("since"),
     )
-    gains = linked.select(*keys, "at", F.col("grown").alias("step"), F.lit(1).alias("kind"))
-    losses = linked.where(F.col("grown") > 0).select(
-        *keys, F.col("since") + window_us, -F.col("grown"), F.lit(0)
+    both = inline_rows(
+        ("at", "step", "kind"),
+        (F.col("at"), F.col("grown"), F.lit(1)),
+        (F.col("since") + window_us, -F.col("grown"), F.lit(0)),
     )
+    steps = linked.select(*keys, both).where((F.col("kind") == 1) | (F.col("step") < 0))
     total = F.coalesce("step", F.lit(0.0))
     return (
-        running_by_hour(gains.unionAll(losses), keys, {"total": ("sum", total)}, ["at", "kind"])
+        running_by_hour(steps, keys, {"total": ("sum", total)}, ["at", "kind"])
         .where(F.col("kind") == 1)
         .select(
             *keys,
@@ -171,9 +180,14 @@ def sustained(
     Input: one row per evaluation with `sampled_at` and a boolean `active`; evaluations
     more than `step_seconds` apart do not belong together.
     """
-    true = conditions.where("active").select(
-        *keys, F.unix_micros("sampled_at").alias("at"), F.lit(0.0).alias("value")
-    ).withColumn("hour", F.expr(f"at div {HOUR_US}"))
+    ensure_checkpoint_dir(conditions.sparkSession)
+    true = (
+        conditions.where("active")
+        .select(*keys, F.unix_micros("sampled_at").alias("at"), F.lit(0.0).alias("value"))
+        .withColumn("hour", F.expr(f"at div {HOUR_US}"))
+        # Evaluations are few against what they were derived from, and read four times.
+        .checkpoint()
+    )
     gap = F.col("at") - F.col("before.at") > step_seconds * 1_000_000
     marked = _previous(true, keys).withColumn(
         "opens", F.when(F.col("before").isNull() | gap, F.col("at"))

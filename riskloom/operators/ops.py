@@ -6,8 +6,6 @@ Each function takes decisions: the whole table, or `latest_n` of it as a dashboa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-FLAGGED = F.col("decision") != "approve"
-
 LATEST_COLUMNS = (
     "transaction_id",
     "customer_id",
@@ -45,6 +43,10 @@ LOOKUP_COLUMNS = (
 )
 
 
+def flagged() -> Column:
+    return F.col("decision") != "approve"
+
+
 def latest_n(decisions: DataFrame, n: int = 2_000) -> DataFrame:
     return (
         decisions.select(*LATEST_COLUMNS)
@@ -54,7 +56,7 @@ def latest_n(decisions: DataFrame, n: int = 2_000) -> DataFrame:
 
 
 def alerts(decisions: DataFrame) -> DataFrame:
-    return decisions.where(FLAGGED)
+    return decisions.where(flagged())
 
 
 def _percent(part: Column, whole: Column) -> Column:
@@ -66,10 +68,10 @@ def ops_summary(decisions: DataFrame) -> DataFrame:
     fraud = F.col("simulation_is_fraud")
     return decisions.agg(
         F.count("*").alias("transactions"),
-        F.count_if(FLAGGED).alias("alerts"),
+        F.count_if(flagged()).alias("alerts"),
         F.count_if(F.col("decision") == "decline").alias("declined"),
         F.count_if(fraud).alias("labelled_fraud"),
-        F.count_if(fraud & FLAGGED).alias("detected_fraud"),
+        F.count_if(fraud & flagged()).alias("detected_fraud"),
     ).select(
         "transactions",
         _percent(F.col("alerts"), F.col("transactions")).alias("alert_rate"),

@@ -8,6 +8,7 @@ from riskloom.functions.contract import TRANSACTION_FIELDS, check_transactions
 from riskloom.operators.monitoring import HOUR_US
 from riskloom.operators.ordering import chunked_running
 from riskloom.plans.batch import decide
+from riskloom.session import ensure_checkpoint_dir
 from riskloom.sources.tables import EPOCH_2024_US, events, transactions
 
 ARRIVALS_PER_CHUNK = 100_000
@@ -57,9 +58,10 @@ def tied_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def disordered_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Arrival delayed by up to 160 events; `seq` stays unique through the event number."""
-    delayed = F.col("seq") + 40 * (F.col("k") % 5)
-    return transactions(spark, sf_dir).withColumn("seq", delayed * 1_000_000_000 + F.col("seq"))
+    """Arrival delayed by up to 160 places; equal places are taken in event order."""
+    late = F.col("k") % 5
+    arrival = (F.col("seq") + 40 * late) * 5 + 4 - late
+    return transactions(spark, sf_dir).withColumn("seq", arrival)
 
 
 def decision_log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -131,10 +133,15 @@ def metric_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
             "at": F.lit(EPOCH_2024_US) + (F.col("minute") + 1) * 60_000_000,
         }
     )
+    ensure_checkpoint_dir(spark)
     hourly = long.withColumn("hour", F.expr(f"at div {HOUR_US}"))
-    return chunked_running(
+    samples = chunked_running(
         hourly, ["metric", "label", "life"], "hour", ["at"], {"value": ("sum", F.col("added"))}
-    ).select("metric", "label", "value", F.timestamp_micros("at").alias("sampled_at"))
+    )
+    # Stored like a metric history would be: three rows per minute of the whole table.
+    return samples.select(
+        "metric", "label", "value", F.timestamp_micros("at").alias("sampled_at")
+    ).checkpoint()
 
 
 def request_log(spark: SparkSession, sf_dir: str) -> DataFrame:
