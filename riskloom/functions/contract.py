@@ -21,6 +21,7 @@ from riskloom.config import (
     OUTCOMES,
     SCHEMA_VERSION,
 )
+from riskloom.functions.shape import without_nulls
 
 # Accepted spellings.
 TRUE_WORDS = ("true", "t", "yes", "y", "on", "1")
@@ -31,6 +32,7 @@ FIRST_SECOND, LAST_SECOND = -62_135_596_800, 253_402_300_799
 HEX = "[0-9a-fA-F]"
 DASHED = f"{HEX}{{8}}(-{HEX}{{4}}){{3}}-{HEX}{{12}}"
 UUID_PATTERN = rf"^((urn:uuid:)?{DASHED}|\{{{DASHED}\}}|{HEX}{{32}})\z"
+CANONICAL_UUID_PATTERN = r"^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}\z"
 OCTET = "(25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 IPV4 = rf"({OCTET}\.){{3}}{OCTET}"
 COUNTRY_PATTERN = r"^[A-Z]{2}\z"
@@ -59,14 +61,24 @@ IPV6_PATTERN = _ipv6_pattern()
 
 
 def strip(text: Column) -> Column:
-    """Removes Unicode white space at both ends."""
-    return F.regexp_replace(text, r"(?U)^\s+|\s+\z", "")
+    """Removes Unicode white space at both ends.
+
+    Texts that start and end with a visible ASCII character skip the regular expression.
+    """
+
+    def visible(char: Column) -> Column:
+        return F.ascii(char).between(33, 126)
+
+    bare = visible(text) & visible(F.substring(text, -1, 1))
+    return F.when(bare, text).otherwise(F.regexp_replace(text, r"(?U)^\s+|\s+\z", ""))
 
 
 def canonical_uuid(text: Column) -> Column:
     """Lower-case dashed form, null when the text is no UUID."""
     digits = F.regexp_replace(F.lower(text), r"^urn:uuid:|[{}-]", "")
-    return F.when(text.rlike(UUID_PATTERN), F.regexp_replace(digits, *_DASHES))
+    return F.when(text.rlike(CANONICAL_UUID_PATTERN), text).when(
+        text.rlike(UUID_PATTERN), F.regexp_replace(digits, *_DASHES)
+    )
 
 
 _DASHES = (r"^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5")
@@ -140,16 +152,14 @@ def _decision_checks() -> dict[str, tuple[Column, str]]:
 def _errors(checks: dict[str, tuple[Column, str]], why: dict[str, Column]) -> Column:
     """`why` holds what decoding already found out about a field; it takes precedence."""
     found = []
-    for name, (holds, reason) in checks.items():
-        broken = F.when(~F.coalesce(holds, F.lit(False)), F.lit(reason))
-        reason_text = F.coalesce(why[name], broken) if name in why else broken
-        found.append(F.when(reason_text.isNotNull(), F.concat(F.lit(f"{name}:"), reason_text)))
-    extra = [
-        F.when(reason.isNotNull(), F.concat(F.lit(f"{name}:"), reason))
-        for name, reason in why.items()
-        if name not in checks
-    ]
-    return F.array_compact(F.array(*found, *extra))
+    for name in (*checks, *[n for n in why if n not in checks]):
+        reason = why.get(name)
+        if name in checks:
+            holds, text = checks[name]
+            broken = F.when(~F.coalesce(holds, F.lit(False)), F.lit(text))
+            reason = broken if reason is None else F.coalesce(reason, broken)
+        found.append(F.concat(F.lit(f"{name}:"), reason))
+    return without_nulls(*found)
 
 
 def _computed_once(df: DataFrame) -> DataFrame:

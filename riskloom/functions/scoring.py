@@ -17,6 +17,7 @@ from riskloom.config import (
     Settings,
     published_artifact,
 )
+from riskloom.functions.shape import without_nulls
 
 
 def risky_merchant(category: Column) -> Column:
@@ -37,7 +38,7 @@ def rule_conditions(settings: Settings = DEFAULTS) -> dict[str, Column]:
 
 def triggered_rules(settings: Settings = DEFAULTS) -> Column:
     names = [F.when(hit, F.lit(name)) for name, hit in rule_conditions(settings).items()]
-    return F.array_compact(F.array(*names))
+    return without_nulls(*names)
 
 
 def rule_score(settings: Settings = DEFAULTS) -> Column:

@@ -21,6 +21,7 @@ from riskloom.functions.scoring import feature_vector, risky_merchant
 from riskloom.functions.shape import inline_rows
 from riskloom.operators.arrival import arrival_counts
 from riskloom.operators.ordering import running_totals
+from riskloom.session import ensure_checkpoint_dir
 
 PROBE, MARK, COPY, EVENT = -1, 0, 1, 2
 NEW_DEVICE, NEW_COUNTRY, NEW_CUSTOMER = 1, 2, 3
@@ -28,15 +29,25 @@ NEW_DEVICE, NEW_COUNTRY, NEW_CUSTOMER = 1, 2, 3
 SEQ_RANGE = "10000000000000000000BD"
 
 
-def first_seen_marks(events: DataFrame, by_time: bool) -> DataFrame:
-    """One thin row per first event of a device, a country or a customer.
+def seen_combinations(events: DataFrame, by_time: bool) -> DataFrame:
+    """Row count and earliest event per (customer, device, country), stored.
 
-    The order key is a single number on purpose: unlike the minimum of a struct, the
-    minimum of a number is aggregated by hash, without sorting the events.
+    It is read for the marks and for finding hot customers; storing the combined rows
+    saves another pass over the events.  The order key is a single number on purpose:
+    unlike the minimum of a struct, the minimum of a number is aggregated by hash,
+    without sorting the events.
     """
+    ensure_checkpoint_dir(events.sparkSession)
     key = F.expr(f"CAST(at AS DECIMAL(20, 0)) * {SEQ_RANGE} + seq") if by_time else F.col("seq")
-    # Few rows are left per customer after this; only those are told apart by opener.
-    seen = events.groupBy("customer_id", "device_id", "country_code").agg(F.min(key).alias("first"))
+    return (
+        events.groupBy("customer_id", "device_id", "country_code")
+        .agg(F.min(key).alias("first"), F.count("*").alias("n"))
+        .checkpoint()
+    )
+
+
+def first_seen_marks(seen: DataFrame, by_time: bool) -> DataFrame:
+    """One thin row per first event of a device, a country or a customer."""
     openers = inline_rows(
         ("opener", "value"),
         (F.lit(NEW_DEVICE), F.col("device_id")),
@@ -72,7 +83,7 @@ def _flags(over: Window | None = None) -> dict[str, Column]:
     }
 
 
-def _slots(events: DataFrame, window_us: int) -> DataFrame:
+def _slots(events: DataFrame, seen: DataFrame, window_us: int) -> DataFrame:
     """Every event in its own slot and, without payload, in the next one; and the marks."""
     slot = F.expr(f"at div {window_us}")
     no_row = F.lit(None).cast(events.schema["row"].dataType)
@@ -84,29 +95,38 @@ def _slots(events: DataFrame, window_us: int) -> DataFrame:
     counted = events.select(
         "customer_id", "at", "seq", F.lit(None).cast("int").alias("opener"), twice
     )
-    marks = first_seen_marks(events, by_time=True).select(
+    marks = first_seen_marks(seen, by_time=True).select(
         "customer_id", "at", "seq", "opener", slot, F.lit(MARK), no_row
     )
     return counted.unionAll(marks)
 
 
-def hot_slots(events: DataFrame, window_us: int, limit: int) -> DataFrame:
-    """(customer, slot) groups above `limit` rows, copies included.
+def hot_slots(
+    events: DataFrame, seen: DataFrame, window_us: int, limit: int
+) -> DataFrame | None:
+    """(customer, slot) groups above `limit` rows, copies included; None without any.
 
-    At most rows / limit customers pass the first count, so the second is small.
+    At most rows / limit customers can have that many, and only their slots are counted.
     """
     heavy = (
-        events.groupBy("customer_id").agg(F.count("*").alias("n")).where(F.col("n") > limit)
-    ).select("customer_id")
+        seen.groupBy("customer_id")
+        .agg(F.sum("n").alias("n"))
+        .where(F.col("n") > limit)
+        .select("customer_id")
+    )
+    if heavy.isEmpty():
+        return None
     slot = F.expr(f"at div {window_us}")
-    return (
+    hot = (
         events.join(heavy, "customer_id", "left_semi")
         .select("customer_id", F.explode(F.array(slot, slot + 1)).alias("slot"))
         .groupBy("customer_id", "slot")
         .agg(F.count("*").alias("n"))
         .where(F.col("n") > limit)
         .select("customer_id", "slot")
+        .checkpoint()
     )
+    return None if hot.isEmpty() else hot
 
 
 def _counted_by_slot(rows: DataFrame, window_us: int) -> DataFrame:
@@ -177,9 +197,10 @@ def _counted_by_rank(rows: DataFrame, window_us: int) -> DataFrame:
 
 def _in_event_time(events: DataFrame, settings: Settings) -> DataFrame:
     window_us = settings.velocity_window_seconds * 1_000_000
-    rows = _slots(events, window_us)
-    hot = hot_slots(events, window_us, settings.hot_group_rows)
-    if hot.isEmpty():
+    seen = seen_combinations(events, by_time=True)
+    rows = _slots(events, seen, window_us)
+    hot = hot_slots(events, seen, window_us, settings.hot_group_rows)
+    if hot is None:
         return _counted_by_slot(rows, window_us)
     keys = ["customer_id", "slot"]
     normal = _counted_by_slot(rows.join(hot, keys, "left_anti"), window_us)
@@ -188,7 +209,7 @@ def _in_event_time(events: DataFrame, settings: Settings) -> DataFrame:
 
 def _in_arrival_order(events: DataFrame, settings: Settings) -> DataFrame:
     counts = arrival_counts(events.select("customer_id", "seq", "at"), settings)
-    marks = first_seen_marks(events, by_time=False)
+    marks = first_seen_marks(seen_combinations(events, by_time=False), by_time=False)
     # Counts and marks meet the payload on the unique (customer, seq), which cannot be hot.
     features = (
         counts.select("customer_id", "seq", "n", F.lit(None).cast("int").alias("opener"))
@@ -212,9 +233,11 @@ def with_features(
 ) -> DataFrame:
     """Adds the four derived features to valid transactions.
 
-    `seq` has to be unique per customer.  Repeated transactions count again, as they
-    do on the topic; pass `distinct_by` to drop them first.  Finding out whether any
-    group is too large for a task takes one small aggregate job.
+    `seq` has to be unique per customer and not negative.  Repeated transactions count
+    again, as they do on the topic; pass `distinct_by` to drop them first.
+
+    The call runs one aggregate job over `txns`, the result reads them once more: pass a
+    stored table when they are expensive to derive.
     """
     if order not in ("event_time", "arrival"):
         raise ValueError(f"order is {order!r}, expected 'event_time' or 'arrival'")

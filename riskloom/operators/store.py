@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.config import OUTCOMES
+from riskloom.functions.shape import without_nulls
 
 # Column widths of the table.
 DETECTOR_VERSION_LENGTH = 50
@@ -76,9 +77,7 @@ def constraint_conditions() -> dict[str, Column]:
 def violations(rows: DataFrame) -> DataFrame:
     """transaction_id and the name of each broken constraint."""
     broken = [F.when(~ok, F.lit(name)) for name, ok in constraint_conditions().items()]
-    return rows.select(
-        "transaction_id", F.explode(F.array_compact(F.array(*broken))).alias("violation")
-    )
+    return rows.select("transaction_id", F.explode(without_nulls(*broken)).alias("violation"))
 
 
 def enforce(rows: DataFrame) -> DataFrame:

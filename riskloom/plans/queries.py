@@ -17,7 +17,7 @@ from riskloom.operators import dead_letter, evaluation, monitoring, ops, store,
 from riskloom.operators.features import with_feature_vector, with_features
 from riskloom.plans.batch import decide, score_transactions
 from riskloom.plans.oracle import MODEL, sql
-from riskloom.session import ensure_checkpoint_dir, use_utc
+from riskloom.session import ensure_checkpoint_dir, prepare
 from riskloom.sources import derived
 from riskloom.sources.tables import transactions
 
@@ -35,7 +35,7 @@ def _plain(df: DataFrame) -> DataFrame:
 def query(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
     def register(function: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            use_utc(spark)
+            prepare(spark)
             return _plain(function(spark, sf_dir))
 
         QUERIES[name] = run

@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.session import use_utc
+from riskloom.session import prepare
 
 EPOCH_2024_US = 1_704_067_200_000_000
 TIME_COMPRESSION = 250
@@ -35,7 +35,7 @@ def _pick(values, index: Column) -> Column:
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    use_utc(spark)
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/events.parquet")
 
 
