@@ -26,6 +26,11 @@ from riskloom.functions.shape import without_nulls
 # Accepted spellings.
 TRUE_WORDS = ("true", "t", "yes", "y", "on", "1")
 FALSE_WORDS = ("false", "f", "no", "n", "off", "0")
+# All characters with the Unicode property White_Space.
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009"
+    "\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 MILLISECONDS_ABOVE = 20_000_000_000
 FIRST_SECOND, LAST_SECOND = -62_135_596_800, 253_402_300_799
 
@@ -61,16 +66,8 @@ IPV6_PATTERN = _ipv6_pattern()
 
 
 def strip(text: Column) -> Column:
-    """Removes Unicode white space at both ends.
-
-    Texts that start and end with a visible ASCII character skip the regular expression.
-    """
-
-    def visible(char: Column) -> Column:
-        return F.ascii(char).between(33, 126)
-
-    bare = visible(text) & visible(F.substring(text, -1, 1))
-    return F.when(bare, text).otherwise(F.regexp_replace(text, r"(?U)^\s+|\s+\z", ""))
+    """Removes Unicode white space at both ends."""
+    return F.btrim(text, F.lit(WHITE_SPACE))
 
 
 def canonical_uuid(text: Column) -> Column:
@@ -213,75 +210,99 @@ def _document(df: DataFrame, body: str) -> DataFrame:
     ).isNull()
     root = F.try_variant_get("_wrapped", "$[0]", "variant")
     alone = F.try_variant_get("_wrapped", "$[1]", "variant").isNull()
-    is_object = F.schema_of_variant("_root").startswith("OBJECT")
+    is_object = text.rlike(r"^[ \t\n\r]*\{")
     return (
         df.withColumn("_text", F.col(body).cast("string"))
         .withColumn("_wrapped", F.when(F.is_valid_utf8("_text") & ~closes_early, wrapped))
-        .withColumn("_root", F.when(alone, root))
-        .withColumn("doc", F.when(is_object, F.col("_root")))
-        .drop("_text", "_wrapped", "_root")
+        .withColumn("doc", F.when(is_object & alone, root))
+        .drop("_text", "_wrapped")
     )
 
 
-def _parts(name: str) -> tuple[Column, Column]:
-    """The field's own VARIANT column and its type tag, as laid out by _lay_out."""
-    return F.col(f"_v_{name}"), F.col(f"_t_{name}")
+# Decoding goes through layers of scratch columns, each computed once and then used by
+# name: `_v_` the field as VARIANT, `_t_` its type tag, `_s_` its text, `_n_` its number,
+# `_p_` the stripped text, `_d_` the number read from either form.
 
 
-def _lay_out(df: DataFrame, paths: dict[str, str]) -> DataFrame:
-    """One VARIANT and one type-tag column per path; each is computed once."""
-    values = {
+def _scratch(kind: str, name: str) -> Column:
+    return F.col(f"_{kind}_{name}")
+
+
+def _is_number(tag: Column) -> Column:
+    return tag.isin("BIGINT", "DOUBLE") | tag.startswith("DECIMAL")
+
+
+def _lay_out(
+    df: DataFrame, paths: dict[str, str], texts: tuple[str, ...], numbers: tuple[str, ...]
+) -> DataFrame:
+    """Scratch columns for `paths`; `numbers` may also come as text."""
+
+    def number_from_text(name: str) -> Column:
+        text = _scratch("p", name)
+        return F.when(text.rlike(NUMBER_PATTERN), text.try_cast("double"))
+
+    def when_text(name: str) -> Column:
+        text = F.try_variant_get(_scratch("v", name), "$", "string")
+        return F.when(_scratch("t", name) == "STRING", text)
+
+    def when_number(name: str) -> Column:
+        number = F.try_variant_get(_scratch("v", name), "$", "double")
+        return F.when(_is_number(_scratch("t", name)), number)
+
+    fields = {
         f"_v_{name}": F.try_variant_get("doc", f"$.{path}", "variant")
         for name, path in paths.items()
     }
-    tags = {f"_t_{name}": F.schema_of_variant(f"_v_{name}") for name in paths}
-    return df.withColumns(values).withColumns(tags)
+    tags = {f"_t_{name}": F.schema_of_variant(_scratch("v", name)) for name in paths}
+    forms = {f"_s_{name}": when_text(name) for name in (*texts, *numbers)}
+    forms |= {f"_n_{name}": when_number(name) for name in numbers}
+    trimmed = [name for name in (*texts, *numbers) if name in IDENTIFIERS or name in numbers]
+    stripped = {f"_p_{name}": strip(_scratch("s", name)) for name in trimmed}
+    read = {
+        f"_d_{name}": F.coalesce(_scratch("n", name), number_from_text(name)) for name in numbers
+    }
+    for layer in (fields, tags, forms, stripped, read):
+        df = df.withColumns(layer)
+    return df
 
 
 def _as_text(name: str) -> Column:
-    value, tag = _parts(name)
-    return F.when(tag == "STRING", F.try_variant_get(value, "$", "string"))
+    return _scratch("s", name)
 
 
-def _is_number(tag: Column) -> Column:
-    return tag.isin("BIGINT", "DOUBLE") | tag.startswith("DECIMAL")
+def _as_stripped(name: str) -> Column:
+    return _scratch("p", name)
 
 
 def _as_double(name: str) -> Column:
-    value, tag = _parts(name)
-    text = strip(_as_text(name))
-    return F.when(_is_number(tag), F.try_variant_get(value, "$", "double")).when(
-        text.rlike(NUMBER_PATTERN), text.try_cast("double")
-    )
+    return _scratch("d", name)
 
 
 def _as_int(name: str) -> Column:
-    value, tag = _parts(name)
-    text = strip(_as_text(name))
-    number = F.try_variant_get(value, "$", "double")
-    whole = F.when(_is_number(tag) & (number == F.floor(number)), number).when(
-        text.rlike(INTEGER_PATTERN), text.try_cast("double")
-    )
-    return whole.try_cast("int")
+    """A whole number; as text it may only have zeros behind the point."""
+    number = _as_double(name)
+    as_text = _scratch("s", name).isNull() | _scratch("p", name).rlike(INTEGER_PATTERN)
+    return F.when((number == F.floor(number)) & as_text, number).try_cast("int")
 
 
 def _as_boolean(name: str) -> Column:
-    value, tag = _parts(name)
-    word = F.when(tag == "BOOLEAN", F.try_variant_get(value, "$", "string")).when(
-        tag == "STRING", F.lower(_as_text(name))
-    )
+    value, tag = _scratch("v", name), _scratch("t", name)
+    native = F.when(tag == "BOOLEAN", F.try_variant_get(value, "$", "boolean"))
+    word = F.lower(F.when(tag == "STRING", F.try_variant_get(value, "$", "string")))
     number = F.when(_is_number(tag), F.try_variant_get(value, "$", "double"))
-    return F.when(word.isin(*TRUE_WORDS) | (number == 1), True).when(
-        word.isin(*FALSE_WORDS) | (number == 0), False
+    return F.coalesce(
+        native,
+        F.when(word.isin(*TRUE_WORDS) | (number == 1), True).when(
+            word.isin(*FALSE_WORDS) | (number == 0), False
+        ),
     )
 
 
 def _as_instant(name: str) -> Column:
     """Text with an explicit offset, or seconds / milliseconds since 1970."""
-    text = _as_text(name)
+    text, number = _as_text(name), _as_double(name)
     full = F.regexp_replace(F.upper(text), r"^(.{16})(?=[Z+-])", "$1:00")
     exact = F.regexp_replace(full, r"(\.[0-9]{6})[0-9]+", "$1")
-    number = _as_double(name)
     seconds = F.when(F.abs(number) > MILLISECONDS_ABOVE, number / 1000).otherwise(number)
     micros = F.when(
         seconds.between(FIRST_SECOND, LAST_SECOND), F.rint(seconds * 1_000_000).cast("long")
@@ -293,13 +314,12 @@ def _as_instant(name: str) -> Column:
 
 def _as_version(name: str) -> Column:
     """Absent means the current version."""
-    _, tag = _parts(name)
-    return F.when(tag.isNull(), F.lit(SCHEMA_VERSION)).otherwise(_as_text(name))
+    return F.when(_scratch("t", name).isNull(), F.lit(SCHEMA_VERSION)).otherwise(_as_text(name))
 
 
 def _why(name: str, typed: Column, optional: bool = False) -> Column:
     """Reason found while decoding, null when the value could be read."""
-    _, tag = _parts(name)
+    tag = _scratch("t", name)
     reason = F.when(F.lit(not optional) & tag.isNull(), "missing")
     return reason.when(tag.isNotNull() & typed.isNull(), "type")
 
@@ -309,7 +329,7 @@ def _decoded(df: DataFrame, values: dict[str, Column], optional: tuple, checks,
     typed = df.withColumns(values)
     why = {name: _why(name, F.col(name), name in optional) for name in values} | extra_why
     unreadable = F.array(F.lit("body:json"))
-    scratch = [c for c in typed.columns if c.startswith(("_v_", "_t_"))]
+    scratch = [c for c in typed.columns if c[:3] in ("_v_", "_t_", "_s_", "_n_", "_p_", "_d_")]
     return _computed_once(
         typed.withColumn(
             "errors", F.when(F.col("doc").isNull(), unreadable).otherwise(_errors(checks, why))
@@ -335,9 +355,11 @@ def decode_transactions(messages: DataFrame, identity: tuple[str, ...] = ("parti
         "is_fraud": "simulation.is_fraud",
         "scenario": "simulation.scenario",
     }
-    laid_out = _lay_out(_document(messages, "value"), paths)
+    numbers = ("amount", "latitude", "longitude", "event_time")
+    texts = tuple(n for n in TRANSACTION_FIELDS if n not in numbers) + ("scenario",)
+    laid_out = _lay_out(_document(messages, "value"), paths, texts, numbers)
     fresh = derived_uuid(F.col("value").cast("string"), *[F.col(c).cast("string") for c in identity])
-    values = {name: strip(_as_text(name)) for name in IDENTIFIERS}
+    values = {name: _as_stripped(name) for name in IDENTIFIERS}
     values |= {name: _as_text(name) for name in ("currency", "country_code", "ip_address", "channel")}
     values |= {name: _as_double(name) for name in ("amount", "latitude", "longitude")}
     values |= {
@@ -377,10 +399,18 @@ def decode_decisions(messages: DataFrame) -> DataFrame:
     flags = ("is_new_device", "is_new_country", "is_risky_merchant")
     inner = ("amount", "transaction_count_5m", *flags)
     paths = {name: name for name in plain} | {f"f_{name}": f"features.{name}" for name in inner}
-    laid_out = _lay_out(_document(messages, "value"), paths)
+    numbers = (
+        "event_time", "processed_at", "amount", "risk_score", "rule_risk_score",
+        "fraud_probability", "f_amount", "f_transaction_count_5m",
+    )
+    texts = (
+        "schema_version", "transaction_id", "customer_id", "currency", "decision",
+        "detector_version",
+    )
+    laid_out = _lay_out(_document(messages, "value"), paths, texts, numbers)
 
-    rules_value, rules_tag = _parts("triggered_rules")
-    rules = F.try_variant_get(rules_value, "$", "array<string>")
+    rules_tag = _scratch("t", "triggered_rules")
+    rules = F.try_variant_get(_scratch("v", "triggered_rules"), "$", "array<string>")
     rules = F.when(
         rules_tag.isin("ARRAY<STRING>", "ARRAY<VOID>") & ~F.exists(rules, lambda r: r.isNull()), rules
     )
@@ -397,7 +427,7 @@ def decode_decisions(messages: DataFrame) -> DataFrame:
     values = {
         "schema_version": _as_version("schema_version"),
         "transaction_id": canonical_uuid(_as_text("transaction_id")),
-        "customer_id": strip(_as_text("customer_id")),
+        "customer_id": _as_stripped("customer_id"),
         "event_time": _as_instant("event_time"),
         "amount": _as_double("amount"),
         "currency": _as_text("currency"),
@@ -429,15 +459,18 @@ def rejected(checked: DataFrame) -> DataFrame:
     return checked.where(F.size("errors") > 0)
 
 
-def to_message(record: DataFrame, key: str, columns: list[str] | tuple[str, ...]) -> DataFrame:
+def to_message(
+    records: DataFrame, key: str, columns: tuple[str, ...], keep: tuple[str, ...] = ()
+) -> DataFrame:
     """key and JSON value; instants in ISO form with their zone, null fields written out."""
     options = {
         "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
         "ignoreNullFields": "false",
     }
-    return record.select(
+    return records.select(
         F.col(key).cast("binary").alias("key"),
         F.to_json(F.struct(*columns), options).cast("binary").alias("value"),
+        *keep,
     )
 
 

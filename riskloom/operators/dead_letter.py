@@ -10,13 +10,18 @@ def _header(name: str, text: Column) -> Column:
     return F.struct(F.lit(name).alias("key"), text.cast("binary").alias("value"))
 
 
-def dead_letters(rejected: DataFrame, source: str | None = None, error: str | None = None) -> DataFrame:
+def dead_letters(
+    rejected: DataFrame,
+    source: str | None = None,
+    error: str | None = None,
+    keep: tuple[str, ...] = (),
+) -> DataFrame:
     """Key and body unchanged; what went wrong, and who found it, as headers."""
     text = F.lit(error) if error else F.array_join("errors", "; ")
     headers = [_header("error", F.left(text, F.lit(ERROR_TEXT_LENGTH)))]
     if source:
         headers.append(_header("source", F.lit(source)))
-    return rejected.select("key", "value", F.array(*headers).alias("headers"))
+    return rejected.select("key", "value", F.array(*headers).alias("headers"), *keep)
 
 
 def header(name: str) -> Column:
@@ -33,19 +38,19 @@ def profile(letters: DataFrame) -> DataFrame:
     ).agg(F.count("*").alias("messages"))
 
 
-def replayable(
-    letters: DataFrame, limit: int = 0, source: str | None = None, order: tuple[str, ...] = ("offset",)
-) -> DataFrame:
+def replayable(letters: DataFrame, limit: int = 0, source: str | None = None) -> DataFrame:
     """Messages to publish again, headers dropped; `limit` 0 takes everything queued.
 
     `source` keeps the letters of one finder ("detector" for those without the header):
     an undelivered alert sent to the raw topic would only be rejected again.
     """
+    finder = F.coalesce(header("source"), F.lit("detector"))
     if source:
-        letters = letters.where(F.coalesce(header("source"), F.lit("detector")) == source)
+        letters = letters.where(finder == source)
     if limit:
-        letters = letters.orderBy(*order).limit(limit)
-    return letters.select("key", "value")
+        letters = letters.orderBy("offset").limit(limit)
+    place = [c for c in ("topic", "partition", "offset", "timestamp") if c in letters.columns]
+    return letters.select("key", "value", *place, finder.alias("source"))
 
 
 def reject_reasons(rejected: DataFrame) -> DataFrame:
