@@ -13,7 +13,7 @@ def float_text(value: Column) -> Column:
     )
     short = F.regexp_replace(java, r"\.0E", "E")
     signed = F.regexp_replace(F.regexp_replace(short, r"E(?=[0-9])", "e+"), "E", "e")
-    exponent = F.regexp_replace(signed, r"e([+-])([0-9])$", "e${1}0$2")
+    exponent = F.regexp_replace(signed, r"(?<=e[+-])(?=[0-9]$)", "0")
     plain = (size >= 1e-3) & (size < 1e7) | (value == 0)
     return (
         F.when(plain, java).when((size >= 1e-4) & (size < 1e16), positional).otherwise(exponent)
