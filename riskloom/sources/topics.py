@@ -64,8 +64,8 @@ class Topics:
             return spark.read.format("kafka").options(**self._kafka(topic)).load()
         return spark.read.schema(MESSAGE_SCHEMA).parquet(self.path(topic))
 
-    def writer(self, messages: DataFrame, topic: str, checkpoint: str) -> DataStreamWriter:
-        """A query that publishes key, value and headers."""
+    def writer(self, messages: DataFrame, topic: str) -> DataStreamWriter:
+        """A query, not started yet, that publishes key, value and headers."""
         named = as_messages(messages, topic)
         if self.brokers:
             return (
@@ -74,13 +74,8 @@ class Topics:
                 .option("kafka.bootstrap.servers", self.brokers)
                 .option("includeHeaders", "true")
                 .option("topic", topic)
-                .option("checkpointLocation", checkpoint)
             )
-        return (
-            named.writeStream.format("parquet")
-            .option("path", self.path(topic))
-            .option("checkpointLocation", checkpoint)
-        )
+        return named.writeStream.format("parquet").option("path", self.path(topic))
 
     def append(self, messages: DataFrame, topic: str) -> None:
         """Publishes a batch of messages."""

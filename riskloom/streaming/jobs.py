@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from riskloom.config import (
     DEFAULTS,
@@ -42,6 +42,12 @@ from riskloom.streaming.delivery import deliver_alerts
 from riskloom.streaming.state import with_stream_features
 
 
+def _start(writer: DataStreamWriter, checkpoint: str, every: str | None) -> StreamingQuery:
+    """Drains what is there and stops; with `every`, keeps running at that interval."""
+    trigger = {"processingTime": every} if every else {"availableNow": True}
+    return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()
+
+
 def decisions(
     messages: DataFrame,
     settings: Settings = DEFAULTS,
@@ -65,8 +71,12 @@ def start_scoring(
     settings: Settings = DEFAULTS,
     artifact: Artifact | None = None,
     ttl_ms: int | None = None,
+    every: str | None = None,
 ) -> StreamingQuery:
     """Raw topic -> scored topic; decisions are counted in the query's progress."""
+    if ttl_ms is not None and every is None:
+        # Expiring state keeps asking for batches, so a draining query would never end.
+        raise ValueError("ttl_ms needs a query that keeps running: set every")
     prepare(spark)
     records = decisions(topics.stream(spark, TOPIC_RAW), settings, artifact, ttl_ms).observe(
         "decisions",
@@ -75,44 +85,42 @@ def start_scoring(
         F.count_if(F.col("decision") == "decline").alias("decline"),
         F.avg("fraud_probability").alias("mean_probability"),
     )
-    writer = topics.writer(_messages(records), TOPIC_SCORED, f"{checkpoints}/scored")
-    return writer.trigger(availableNow=True).start()
+    return _start(topics.writer(_messages(records), TOPIC_SCORED), f"{checkpoints}/scored", every)
 
 
-def start_rejects(spark: SparkSession, topics: Topics, checkpoints: str) -> StreamingQuery:
+def start_rejects(
+    spark: SparkSession, topics: Topics, checkpoints: str, every: str | None = None
+) -> StreamingQuery:
     """Raw topic -> dead letters of the detector."""
     prepare(spark)
     checked = decode_transactions(topics.stream(spark, TOPIC_RAW))
     letters = dead_letters(rejected(checked), keep=POSITION)
-    return _to_dead_letters(topics, letters, f"{checkpoints}/rejects")
+    return _to_dead_letters(topics, letters, f"{checkpoints}/rejects", every)
 
 
-def _to_dead_letters(topics: Topics, letters: DataFrame, checkpoint: str) -> StreamingQuery:
+def _to_dead_letters(
+    topics: Topics, letters: DataFrame, checkpoint: str, every: str | None
+) -> StreamingQuery:
     """Several jobs share the topic, so each batch is appended, not owned by one file sink."""
 
     def publish(batch: DataFrame, _: int) -> None:
         topics.append(batch, TOPIC_DEAD_LETTER)
 
-    return (
-        letters.writeStream.foreachBatch(publish)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    return _start(letters.writeStream.foreachBatch(publish), checkpoint, every)
 
 
-def start_alert_routing(spark: SparkSession, topics: Topics, checkpoints: str) -> StreamingQuery:
+def start_alert_routing(
+    spark: SparkSession, topics: Topics, checkpoints: str, every: str | None = None
+) -> StreamingQuery:
     """Scored topic -> alert topic, key and body unchanged."""
     prepare(spark)
     flagged = alerts(valid(decode_decisions(topics.stream(spark, TOPIC_SCORED))))
-    writer = topics.writer(
-        flagged.select("key", "value", *POSITION), TOPIC_ALERTS, f"{checkpoints}/alerts"
-    )
-    return writer.trigger(availableNow=True).start()
+    writer = topics.writer(flagged.select("key", "value", *POSITION), TOPIC_ALERTS)
+    return _start(writer, f"{checkpoints}/alerts", every)
 
 
 def start_store(
-    spark: SparkSession, topics: Topics, table: str, checkpoints: str
+    spark: SparkSession, topics: Topics, table: str, checkpoints: str, every: str | None = None
 ) -> tuple[StreamingQuery, StreamingQuery]:
     """Scored topic -> decision table, and what cannot be read -> dead letters."""
     prepare(spark)
@@ -125,33 +133,24 @@ def start_store(
         query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
         write_delta(batch, table, query, number)
 
-    table_query = (
-        stored.writeStream.foreachBatch(merge)
-        .option("checkpointLocation", f"{checkpoints}/store")
-        .trigger(availableNow=True)
-        .start()
-    )
+    table_query = _start(stored.writeStream.foreachBatch(merge), f"{checkpoints}/store", every)
     letters = dead_letters(rejected(checked), source=SOURCE_STORE, keep=POSITION)
-    return table_query, _to_dead_letters(topics, letters, f"{checkpoints}/store-rejects")
+    return table_query, _to_dead_letters(topics, letters, f"{checkpoints}/store-rejects", every)
 
 
 def start_alert_log(
-    spark: SparkSession, topics: Topics, folder: str, checkpoints: str
+    spark: SparkSession, topics: Topics, folder: str, checkpoints: str, every: str | None = None
 ) -> tuple[StreamingQuery, StreamingQuery]:
     """Alert topic -> one text line per alert, and what cannot be read -> dead letters."""
     prepare(spark)
     checked = decode_decisions(topics.stream(spark, TOPIC_ALERTS))
-    lines = (
-        valid(checked)
-        .select(alert_line().alias("value"))
-        .writeStream.format("text")
-        .option("path", folder)
-        .option("checkpointLocation", f"{checkpoints}/alert-log")
-        .trigger(availableNow=True)
-        .start()
-    )
+    lines = valid(checked).select(alert_line().alias("value"))
+    writer = lines.writeStream.format("text").option("path", folder)
     letters = dead_letters(rejected(checked), source=SOURCE_ALERTER, keep=POSITION)
-    return lines, _to_dead_letters(topics, letters, f"{checkpoints}/alert-rejects")
+    return (
+        _start(writer, f"{checkpoints}/alert-log", every),
+        _to_dead_letters(topics, letters, f"{checkpoints}/alert-rejects", every),
+    )
 
 
 def start_delivery(
@@ -161,6 +160,7 @@ def start_delivery(
     outcomes: str,
     checkpoints: str,
     settings: Settings = DEFAULTS,
+    every: str | None = None,
 ) -> StreamingQuery:
     """Alert topic -> outside world; what cannot be delivered -> dead letters.
 
@@ -178,12 +178,7 @@ def start_delivery(
         letters = dead_letters(failed, SOURCE_DELIVERY, DELIVERY_EXHAUSTED, keep=POSITION)
         topics.append(letters, TOPIC_DEAD_LETTER)
 
-    return (
-        messages.writeStream.foreachBatch(send)
-        .option("checkpointLocation", f"{checkpoints}/delivery")
-        .trigger(availableNow=True)
-        .start()
-    )
+    return _start(messages.writeStream.foreachBatch(send), f"{checkpoints}/delivery", every)
 
 
 LEDGER = ("topic", "partition", "offset", "source")
