@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from riskloom.config import Settings
 from riskloom.operators.ordering import chunked_running
-from riskloom.session import ensure_checkpoint_dir
+from riskloom.session import stored
 
 KEYS = ["customer_id", "chunk"]
 
@@ -80,15 +80,14 @@ def _later_peaks(batches, window_us: int):
 
 def _departures(events: DataFrame, window_us: int) -> DataFrame:
     """(customer, arrival that ends an event's stay), one row per event that ever leaves."""
-    local = (
+    # Read twice below; stored, so that the fold runs once.
+    local = stored(
         events.repartition(*KEYS)
         .sortWithinPartitions(*KEYS, "seq")
         .mapInPandas(
             partial(_leave_within_chunk, window_us=window_us),
             "customer_id string, chunk long, seq long, at long, left_at long",
         )
-        # Read twice below; stored, so that the fold runs once.
-        .checkpoint()
     )
     peaks = (
         events.groupBy(*KEYS)
@@ -133,14 +132,12 @@ def _departures(events: DataFrame, window_us: int) -> DataFrame:
 def arrival_counts(events: DataFrame, settings: Settings) -> DataFrame:
     """customer_id, seq and `n`, the remembered times including the event's own."""
     window_us = settings.velocity_window_seconds * 1_000_000
-    ensure_checkpoint_dir(events.sparkSession)
     events = events.withColumn("chunk", F.expr(f"seq div {settings.arrival_chunk}"))
-    steps = (
+    steps = stored(
         events.select(*KEYS, "seq", F.lit(1).alias("step"))
         .unionAll(_departures(events, window_us).select(*KEYS, "seq", F.lit(-1)))
         .groupBy(*KEYS, "seq")
         .agg(F.sum("step").alias("step"))
-        .checkpoint()
     )
     return chunked_running(
         steps, ["customer_id"], "chunk", ["seq"], {"n": ("sum", F.col("step"))}

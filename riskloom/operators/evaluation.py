@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.operators.ordering import running_totals
+from riskloom.session import stored
 
 PARAM_REL_TOL = 1e-5
 PARAM_ABS_TOL = 1e-7
@@ -104,7 +105,7 @@ def quantile_edges(counts: DataFrame, bins: int) -> list[float]:
 
 def reliability(scored: DataFrame, bins: int = 5) -> DataFrame:
     """Mean predicted and observed rate per quantile bin; empty bins do not appear."""
-    counts = score_counts(scored)
+    counts = stored(score_counts(scored))
     edges = quantile_edges(counts, bins)
     n = F.col("pos") + F.col("neg")
     bin_number = F.lit(0)

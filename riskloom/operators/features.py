@@ -21,7 +21,7 @@ from riskloom.functions.scoring import feature_vector, risky_merchant
 from riskloom.functions.shape import inline_rows
 from riskloom.operators.arrival import arrival_counts
 from riskloom.operators.ordering import running_totals
-from riskloom.session import ensure_checkpoint_dir
+from riskloom.session import stored
 
 PROBE, MARK, COPY, EVENT = -1, 0, 1, 2
 NEW_DEVICE, NEW_COUNTRY, NEW_CUSTOMER = 1, 2, 3
@@ -37,12 +37,11 @@ def seen_combinations(events: DataFrame, by_time: bool) -> DataFrame:
     unlike the minimum of a struct, the minimum of a number is aggregated by hash,
     without sorting the events.
     """
-    ensure_checkpoint_dir(events.sparkSession)
     key = F.expr(f"CAST(at AS DECIMAL(20, 0)) * {SEQ_RANGE} + seq") if by_time else F.col("seq")
-    return (
-        events.groupBy("customer_id", "device_id", "country_code")
-        .agg(F.min(key).alias("first"), F.count("*").alias("n"))
-        .checkpoint()
+    return stored(
+        events.groupBy("customer_id", "device_id", "country_code").agg(
+            F.min(key).alias("first"), F.count("*").alias("n")
+        )
     )
 
 
@@ -117,14 +116,13 @@ def hot_slots(
     if heavy.isEmpty():
         return None
     slot = F.expr(f"at div {window_us}")
-    hot = (
+    hot = stored(
         events.join(heavy, "customer_id", "left_semi")
         .select("customer_id", F.explode(F.array(slot, slot + 1)).alias("slot"))
         .groupBy("customer_id", "slot")
         .agg(F.count("*").alias("n"))
         .where(F.col("n") > limit)
         .select("customer_id", "slot")
-        .checkpoint()
     )
     return None if hot.isEmpty() else hot
 

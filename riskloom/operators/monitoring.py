@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from riskloom.config import PROBABILITY_BUCKETS
 from riskloom.functions.shape import inline_rows
 from riskloom.operators.ordering import chunked_running, running_totals
-from riskloom.session import ensure_checkpoint_dir
+from riskloom.session import stored
 
 # Default bucket bounds of a duration histogram, in seconds.
 DURATION_BUCKETS = (
@@ -180,13 +180,11 @@ def sustained(
     Input: one row per evaluation with `sampled_at` and a boolean `active`; evaluations
     more than `step_seconds` apart do not belong together.
     """
-    ensure_checkpoint_dir(conditions.sparkSession)
-    true = (
+    # Evaluations are few against what they were derived from, and read four times.
+    true = stored(
         conditions.where("active")
         .select(*keys, F.unix_micros("sampled_at").alias("at"), F.lit(0.0).alias("value"))
         .withColumn("hour", F.expr(f"at div {HOUR_US}"))
-        # Evaluations are few against what they were derived from, and read four times.
-        .checkpoint()
     )
     gap = F.col("at") - F.col("before.at") > step_seconds * 1_000_000
     marked = _previous(true, keys).withColumn(

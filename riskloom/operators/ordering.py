@@ -10,22 +10,18 @@ larger than another, whatever the distribution of the values.
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskloom.session import ensure_checkpoint_dir
+from riskloom.session import stored
 
 
 def in_pieces(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Adds `piece`, ascending in key order, and pins it with a checkpoint.
+    """Adds `piece`, ascending in key order, and stores the rows with it.
 
     Range bounds are sampled anew by every job, so totals and rows have to be read
-    from one stored cut; the checkpoint also survives lost executors.
+    from one stored cut.
     """
-    ensure_checkpoint_dir(df.sparkSession)
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (
-        df.repartitionByRange(parts, *keys)
-        .withColumn("piece", F.spark_partition_id())
-        .checkpoint()
-    )
+    cut = df.repartitionByRange(parts, *keys).withColumn("piece", F.spark_partition_id())
+    return stored(cut)
 
 
 def _starts(pieces: DataFrame, totals: dict[str, Column]) -> DataFrame:

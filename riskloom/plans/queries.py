@@ -17,7 +17,7 @@ from riskloom.operators import dead_letter, evaluation, monitoring, ops, store,
 from riskloom.operators.features import with_feature_vector, with_features
 from riskloom.plans.batch import decide, score_transactions
 from riskloom.plans.oracle import MODEL, sql
-from riskloom.session import ensure_checkpoint_dir, prepare
+from riskloom.session import prepare, stored
 from riskloom.sources import derived
 from riskloom.sources.tables import transactions
 
@@ -678,8 +678,7 @@ def q_training_set(spark, sf_dir):
 
 def _split(spark, sf_dir):
     """Stored first: the cuts are looked up in the same rows that are split."""
-    ensure_checkpoint_dir(spark)
-    return training.with_split(training.training_set(_features(spark, sf_dir)).checkpoint())
+    return training.with_split(stored(training.training_set(_features(spark, sf_dir))))
 
 
 @query("q_ordered_split", sql("SELECT seq, split FROM cut", "cut"))
@@ -911,8 +910,7 @@ def q_artifact_diff(spark, sf_dir):
 @query("q_train_model")
 def q_train_model(spark, sf_dir):
     """Fit on the tables; no SQL counterpart, tests compare it with a Newton solve."""
-    ensure_checkpoint_dir(spark)
-    document = training.train(_features(spark, sf_dir).checkpoint())
+    document = training.train(stored(_features(spark, sf_dir)))
     fitted = [
         (field, position, number)
         for field, position, _, _, number in evaluation.artifact_rows(document)

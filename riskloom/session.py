@@ -1,8 +1,9 @@
 """Session helpers: one place for the clock zone and the checkpoint folder."""
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(app: str = "riskloom", cores: str = "8", **conf: str) -> SparkSession:
@@ -32,15 +33,23 @@ def prepare(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the cluster's shared checkpoint folder; make one up only on a local master."""
+def checkpoint_dir(spark: SparkSession) -> str:
+    """The cluster's shared checkpoint folder; one is made up only on a local master."""
     context = spark.sparkContext
-    if context.getCheckpointDir():
-        return
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        context.setCheckpointDir(shared)
-    elif context.master.startswith("local"):
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="riskloom-checkpoint-"))
-    else:
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
+    if not context.getCheckpointDir():
+        shared = spark.conf.get("spark.checkpoint.dir", None)
+        if not shared and not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
+        context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="riskloom-checkpoint-"))
+    return context.getCheckpointDir()
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """Computes `df` once, into a table in the checkpoint folder, and reads it from there.
+
+    Like a checkpoint it cuts the lineage and survives lost executors; unlike one it runs
+    the last stage once instead of twice, and later reads take only the columns they need.
+    """
+    path = f"{checkpoint_dir(df.sparkSession)}/stored-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

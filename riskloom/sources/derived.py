@@ -8,7 +8,7 @@ from riskloom.functions.contract import TRANSACTION_FIELDS, check_transactions
 from riskloom.operators.monitoring import HOUR_US
 from riskloom.operators.ordering import chunked_running
 from riskloom.plans.batch import decide
-from riskloom.session import ensure_checkpoint_dir
+from riskloom.session import stored
 from riskloom.sources.tables import EPOCH_2024_US, events, transactions
 
 ARRIVALS_PER_CHUNK = 100_000
@@ -133,15 +133,14 @@ def metric_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
             "at": F.lit(EPOCH_2024_US) + (F.col("minute") + 1) * 60_000_000,
         }
     )
-    ensure_checkpoint_dir(spark)
     hourly = long.withColumn("hour", F.expr(f"at div {HOUR_US}"))
     samples = chunked_running(
         hourly, ["metric", "label", "life"], "hour", ["at"], {"value": ("sum", F.col("added"))}
     )
     # Stored like a metric history would be: three rows per minute of the whole table.
-    return samples.select(
-        "metric", "label", "value", F.timestamp_micros("at").alias("sampled_at")
-    ).checkpoint()
+    return stored(
+        samples.select("metric", "label", "value", F.timestamp_micros("at").alias("sampled_at"))
+    )
 
 
 def request_log(spark: SparkSession, sf_dir: str) -> DataFrame:

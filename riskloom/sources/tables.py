@@ -35,8 +35,17 @@ def _pick(values, index: Column) -> Column:
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table, spread over the cores when it comes in fewer pieces than there are.
+
+    A file with a single row group is one task however many cores wait; a table of the
+    size that needs a cluster has more pieces than cores and is left as it is read.
+    """
     prepare(spark)
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+    table = spark.read.parquet(f"{sf_dir}/events.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if table.select("event_id").rdd.getNumPartitions() < cores:
+        return table.repartition(cores, "event_id")
+    return table
 
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
