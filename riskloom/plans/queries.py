@@ -5,6 +5,7 @@ derived from all of it.  Probabilities and other computed doubles are rounded to
 places on both sides, instants are shown as UTC wall-clock times.
 """
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,9 +18,12 @@ from riskloom.operators import dead_letter, evaluation, monitoring, ops, store,
 from riskloom.operators.features import with_feature_vector, with_features
 from riskloom.plans.batch import decide, score_transactions
 from riskloom.plans.oracle import MODEL, sql
-from riskloom.session import prepare, stored
+from riskloom.session import checkpoint_dir, prepare, stored
 from riskloom.sources import derived
 from riskloom.sources.tables import transactions
+from riskloom.sources.topics import Topics
+from riskloom.streaming import jobs
+from riskloom.streaming.delivery import deliver_alerts
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -193,7 +197,7 @@ def q_replay(spark, sf_dir):
 
 @query(
     "q_customer_partition_counts",
-    sql("SELECT customer_id, count(*) AS transactions, 1 AS partitions FROM txn GROUP BY 1", "txn"),
+    sql("SELECT customer_id, count(*) AS transactions, CAST(1 AS BIGINT) AS partitions FROM txn GROUP BY 1", "txn"),
 )
 def q_customer_partition_counts(spark, sf_dir):
     laid_out = transactions(spark, sf_dir).select("customer_id").repartition(3, "customer_id")
@@ -1182,3 +1186,122 @@ def q_throughput(spark, sf_dir):
     return monitoring.throughput(derived.request_log(spark, sf_dir)).withColumns(
         {"elapsed_seconds": F.round("elapsed_seconds", 6), "per_second": r9("per_second")}
     )
+
+
+# --- streaming jobs ------------------------------------------------------------------------------------
+
+
+def _published(spark, sf_dir) -> tuple[Topics, str]:
+    """A fresh set of file topics whose raw topic holds all messages of the tables."""
+    root = f"{checkpoint_dir(spark)}/topics-{uuid.uuid4().hex}"
+    topics = Topics(root=root)
+    topics.append(derived.raw_messages(spark, sf_dir), config.TOPIC_RAW)
+    return topics, f"{root}/checkpoints"
+
+
+def _finish(*queries) -> None:
+    for streaming in queries:
+        streaming.awaitTermination()
+
+
+def _of_messages(statement: str) -> str:
+    """The same SQL over what is left when broken messages have been rejected."""
+    return statement.replace("WHERE errors = '')", "WHERE errors = '' AND k NOT IN (33, 36))")
+
+
+@query("q_stream_decisions", _of_messages(sql(DECISIONS_SQL, "dec")))
+def q_stream_decisions(spark, sf_dir):
+    """Raw topic through the stateful scoring stream, read back from the scored topic."""
+    topics, checkpoints = _published(spark, sf_dir)
+    _finish(jobs.start_scoring(spark, topics, checkpoints))
+    scored = topics.table(spark, config.TOPIC_SCORED)
+    return _flat(contract.valid(contract.decode_decisions(scored)))
+
+
+@query(
+    "q_stream_dead_letters",
+    sql(
+        f"""SELECT 'detector' AS source, replace(errors, ';', '; ') AS error, count(*) AS messages
+        FROM ({DECODED_SQL}) WHERE errors <> '' GROUP BY ALL""",
+        "checked",
+    ),
+)
+def q_stream_dead_letters(spark, sf_dir):
+    topics, checkpoints = _published(spark, sf_dir)
+    _finish(jobs.start_rejects(spark, topics, checkpoints))
+    return dead_letter.profile(topics.table(spark, config.TOPIC_DEAD_LETTER))
+
+
+@query(
+    "q_stream_store",
+    _of_messages(
+        sql(
+            """SELECT transaction_id, customer_id, CAST(amount AS DECIMAL(14, 2)) AS amount,
+                decision, CAST(risk_score AS SMALLINT) AS risk_score, rules AS triggered_rules
+            FROM dec""",
+            "dec",
+        )
+    ),
+)
+def q_stream_store(spark, sf_dir):
+    """Raw topic, scored topic, decision table; stored twice, compacted in between."""
+    topics, checkpoints = _published(spark, sf_dir)
+    table = f"{topics.root}/table"
+    _finish(jobs.start_scoring(spark, topics, checkpoints))
+    _finish(*jobs.start_store(spark, topics, table, checkpoints))
+    store.compact(spark, table)
+    _finish(*jobs.start_store(spark, topics, table, f"{checkpoints}/again"))
+    return store.read_table(spark, table).select(
+        "transaction_id",
+        "customer_id",
+        "amount",
+        "decision",
+        "risk_score",
+        F.array_join("triggered_rules", ",").alias("triggered_rules"),
+    )
+
+
+@query(
+    "q_stream_alerts",
+    _of_messages(
+        sql(
+            """SELECT 'FRAUD_ALERT transaction_id=' || transaction_id || ' customer_id='
+                || customer_id || ' decision=' || decision || ' risk_score=' || risk_score
+                || ' amount=' || amount || ' ' || currency || ' rules=' || rules AS line
+            FROM dec WHERE decision <> 'approve'""",
+            "dec",
+        )
+    ),
+)
+def q_stream_alerts(spark, sf_dir):
+    """Raw, scored and alert topic, down to the lines of the alert log."""
+    topics, checkpoints = _published(spark, sf_dir)
+    _finish(jobs.start_scoring(spark, topics, checkpoints))
+    _finish(jobs.start_alert_routing(spark, topics, checkpoints))
+    _finish(*jobs.start_alert_log(spark, topics, f"{topics.root}/lines", checkpoints))
+    return spark.read.text(f"{topics.root}/lines").withColumnRenamed("value", "line")
+
+
+def _refuse_declined(payload: str) -> None:
+    if '"decision":"decline"' in payload:
+        raise ConnectionError("refused")
+
+
+@query(
+    "q_alert_delivery",
+    sql(
+        """SELECT transaction_id, CASE WHEN decision = 'decline' THEN 3 ELSE 1 END AS attempts,
+            decision <> 'decline' AS delivered FROM dec WHERE decision <> 'approve'""",
+        "dec",
+    ),
+)
+def q_alert_delivery(spark, sf_dir):
+    """Three attempts per alert against a receiver that refuses declined payments."""
+    flagged = ops.alerts(_decisions(spark, sf_dir))
+    messages = contract.to_message(
+        flagged, "customer_id", scoring.DECISION_COLUMNS, keep=("transaction_id",)
+    )
+    quick = config.Settings(alert_backoff_seconds=0.0)
+    return deliver_alerts(messages, _refuse_declined, quick).select(
+        "transaction_id", "attempts", "delivered"
+    )

@@ -181,6 +181,19 @@ def start_delivery(
     return _start(messages.writeStream.foreachBatch(send), f"{checkpoints}/delivery", every)
 
 
+def processing_times(spark: SparkSession, query: StreamingQuery) -> DataFrame:
+    """Events and seconds per event of the batches that the query still remembers.
+
+    Spark keeps a fixed number of progress records, so this is always a small table.
+    """
+    rows = [
+        (p["batchId"], p["numInputRows"], p["batchDuration"] / 1000 / p["numInputRows"])
+        for p in query.recentProgress
+        if p["numInputRows"]
+    ]
+    return spark.createDataFrame(rows, "batch long, events long, seconds double")
+
+
 LEDGER = ("topic", "partition", "offset", "source")
 
 

@@ -83,7 +83,11 @@ def test_stream_equals_batch_on_ordered_input(spark, place):
     topics, root = place
     events = random_events(12, count=80)
     publish(spark, topics, [message(e) for e in events])
-    finish(jobs.start_scoring(spark, topics, f"{root}/ck"))
+    query = jobs.start_scoring(spark, topics, f"{root}/ck")
+    finish(query)
+    times = jobs.processing_times(spark, query).agg(F.sum("events"), F.min("seconds")).first()
+    assert times[0] == 80 and times[1] > 0
+    assert sum(p["observedMetrics"]["decisions"].scored for p in query.recentProgress) == 80
     names = ["transaction_id", "risk_score", "rule_risk_score", "fraud_probability", "decision",
              "triggered_rules", "features", "detector_version"]
     streamed = decode_decisions(topics.table(spark, SCORED)).select(*names).collect()
