@@ -77,11 +77,12 @@ def threshold_quality(scored: DataFrame, threshold: float = 0.5) -> DataFrame:
 
 
 def quantile_edges(counts: DataFrame, bins: int) -> list[float]:
-    """Inner bin edges of the scores, linearly interpolated between neighbours.
+    """Inner bin edges of stored score counts, linearly interpolated between neighbours.
 
     Returns at most 2 * (bins - 1) numbers to the driver, whatever the table's size.
     """
-    ranked = running_totals(counts, ["score"], {"upto": F.col("pos") + F.col("neg")})
+    n = F.col("pos") + F.col("neg")
+    ranked = running_totals(counts, ["score"], {"upto": n}, is_stored=True)
     total = ranked.agg(F.max("upto")).first()[0]
     if not total:
         return []

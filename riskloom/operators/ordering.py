@@ -2,8 +2,8 @@
 
 `Window.orderBy` without a partition would sort everything in a single task.  Here
 the rows are range-partitioned into pieces, the pieces' totals (one row per piece,
-so at most as many rows as shuffle partitions) give each piece its starting value,
-and the running part is local to a piece.  With a unique key no piece can be much
+a few thousand for billions of rows) give each piece its starting value, and the
+running part is local to a piece.  With a unique key no piece can be much
 larger than another, whatever the distribution of the values.
 """
 
@@ -13,15 +13,21 @@ from pyspark.sql import functions as F
 from riskloom.session import stored
 
 
-def in_pieces(df: DataFrame, keys: list[str]) -> DataFrame:
+# Rows that one task sorts; the number of pieces follows from it.
+ROWS_PER_PIECE = 5_000_000
+
+
+def in_pieces(df: DataFrame, keys: list[str], is_stored: bool = False) -> DataFrame:
     """Adds `piece`, ascending in key order, and stores the rows with it.
 
     Range bounds are sampled anew by every job, so totals and rows have to be read
-    from one stored cut.
+    from one stored cut.  Sampling reads the rows a second time: unless `is_stored`
+    says that they can be read cheaply, they are stored before.
     """
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cut = df.repartitionByRange(parts, *keys).withColumn("piece", F.spark_partition_id())
-    return stored(cut)
+    rows = df if is_stored else stored(df)
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(least, -(-rows.count() // ROWS_PER_PIECE))
+    return stored(rows.repartitionByRange(parts, *keys).withColumn("piece", F.spark_partition_id()))
 
 
 def _starts(pieces: DataFrame, totals: dict[str, Column]) -> DataFrame:
@@ -36,12 +42,14 @@ def _starts(pieces: DataFrame, totals: dict[str, Column]) -> DataFrame:
     )
 
 
-def running_totals(df: DataFrame, keys: list[str], totals: dict[str, Column]) -> DataFrame:
+def running_totals(
+    df: DataFrame, keys: list[str], totals: dict[str, Column], is_stored: bool = False
+) -> DataFrame:
     """Adds, per entry of `totals`, the sum of its value over all rows up to this one.
 
     `keys` must order the rows totally.
     """
-    pieces = in_pieces(df, keys)
+    pieces = in_pieces(df, keys, is_stored)
     upto = (
         Window.partitionBy("piece")
         .orderBy(*keys)
@@ -55,12 +63,14 @@ def running_totals(df: DataFrame, keys: list[str], totals: dict[str, Column]) ->
     return joined.select(*df.columns, *running)
 
 
-def rows_at_ranks(df: DataFrame, keys: list[str], ranks: list[int]) -> DataFrame:
+def rows_at_ranks(
+    df: DataFrame, keys: list[str], ranks: list[int], is_stored: bool = False
+) -> DataFrame:
     """The rows whose 0-based position in key order is in `ranks`, with their `position`.
 
     Only the pieces that hold a wanted position are sorted.
     """
-    pieces = in_pieces(df, keys)
+    pieces = in_pieces(df, keys, is_stored)
     starts = _starts(pieces, {"n": F.lit(1)})
     sizes = pieces.groupBy("piece").agg(F.count("*").alias("size"))
     wanted = F.array(*[F.lit(rank).cast("long") for rank in ranks])

@@ -199,6 +199,9 @@ def compact(spark: SparkSession, root: str) -> int:
         table.repartitionByRange(*layout)
         .sortWithinPartitions(*layout)
         .write.mode("overwrite")
+        # Serves lookups by transaction, which no sort order of the table helps.
+        .option("parquet.bloom.filter.enabled#transaction_id", "true")
+        .option("parquet.bloom.filter.adaptive.enabled", "true")
         .partitionBy("event_date")
         .parquet(f"{root}/base/v={version + 1}")
     )

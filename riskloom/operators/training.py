@@ -31,11 +31,13 @@ def split_column(rows: DataFrame, count: int | None = None) -> Column:
     """train / calibration / test by position in (event_time, seq) order, never shuffled.
 
     Only the two cut rows are looked up; the split itself is then a comparison, so it
-    can be pushed to the rows wherever they are.
+    can be pushed to the rows wherever they are.  `rows` are read several times: pass a
+    stored table.
     """
     n = rows.count() if count is None else count
     cuts = (int(n * TRAIN_SHARE), int(n * CALIBRATION_END))
-    found = rows_at_ranks(rows.select("event_time", "seq"), ["event_time", "seq"], list(cuts))
+    keys = ["event_time", "seq"]
+    found = rows_at_ranks(rows.select(*keys), keys, list(cuts), is_stored=True)
     at = {
         row.position: (row.micros, row.seq)
         for row in found.select(F.unix_micros("event_time").alias("micros"), "seq", "position")

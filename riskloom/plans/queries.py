@@ -16,7 +16,7 @@ from riskloom.functions import contract, scoring
 from riskloom.functions.text import alert_line
 from riskloom.operators import dead_letter, evaluation, monitoring, ops, store, training
 from riskloom.operators.features import with_feature_vector, with_features
-from riskloom.plans.batch import decide, score_transactions
+from riskloom.plans.batch import decide, decide_messages, score_transactions
 from riskloom.plans.oracle import MODEL, sql
 from riskloom.session import checkpoint_dir, prepare, stored
 from riskloom.sources import derived
@@ -1188,7 +1188,7 @@ def q_throughput(spark, sf_dir):
     )
 
 
-# --- streaming jobs ------------------------------------------------------------------------------------
+# --- messages end to end, streaming jobs ------------------------------------------------------------------------------------
 
 
 def _published(spark, sf_dir) -> tuple[Topics, str]:
@@ -1209,6 +1209,12 @@ def _of_messages(statement: str) -> str:
     return statement.replace("WHERE errors = '')", "WHERE errors = '' AND k NOT IN (33, 36))")
 
 
+@query("q_message_decisions", _of_messages(sql(DECISIONS_SQL, "dec")))
+def q_message_decisions(spark, sf_dir):
+    """The batch counterpart of the stream: JSON messages in arrival order."""
+    return _flat(decide_messages(derived.raw_messages(spark, sf_dir)))
+
+
 @query("q_stream_decisions", _of_messages(sql(DECISIONS_SQL, "dec")))
 def q_stream_decisions(spark, sf_dir):
     """Raw topic through the stateful scoring stream, read back from the scored topic."""
