@@ -31,7 +31,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     names = docs.columns
     plain = rows.join(odd, same_document(rows, odd), "left_anti").select(names)
     again = odd.where("kept")
-    repeated = rows.join(again, same_document(rows, again)).select(*names, "__id", "__hash")
+    repeated = rows.join(again, same_document(rows, again), "left_semi")
     one = Window.partitionBy("__id", "__hash").orderBy(F.lit(0))
     first = repeated.withColumn("__n", F.row_number().over(one)).where("__n = 1").select(names)
     return plain.unionByName(first)

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import by_document, documents, in_slices, same_document
+from riskloom.llm.common import documents, in_slices
 from riskloom.session import stored
 
 UNITS = {
@@ -66,7 +66,7 @@ def digested(docs: DataFrame, unit: str, min_words: int) -> DataFrame:
                         digests.append(d)
                         seen.add(d)
             at = np.array(spans, np.int32).reshape(-1, 2)
-            h = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
+            h = np.array([np.frombuffer(d, np.int64) for d in digests], np.int64).reshape(-1, 2)
             take = pa.array(rows, pa.int32())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id").take(take), batch.column("text_hash").take(take)]
@@ -113,11 +113,11 @@ def dedup(
     exclusive, neighbours joined; what lies between them is `kept_text`, in order, so every kept
     character's original place follows from them.
     """
-    found = removals(documents(docs, id_col, text_col), unit, min_words)
-    texts = by_document(docs.select(id_col, text_col), id_col, text_col)
-    joined = texts.join(found, same_document(texts, found), "left").select(
-        F.col("__id").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), "spans"
-    )
+    texts = documents(docs, id_col, text_col)
+    found = removals(texts, unit, min_words)
+    rows = texts.toDF("doc_id", "text", "hash")
+    of_row = rows["doc_id"].eqNullSafe(found["id"]) & (rows["hash"] == found["text_hash"])
+    joined = rows.join(found, of_row, "left").select("doc_id", "text", "spans")
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_slices(batches):

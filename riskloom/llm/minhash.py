@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import by_document, documents, in_slices, same_document
+from riskloom.llm.common import documents, in_slices
 from riskloom.llm.components import components
 from riskloom.session import stored
 
@@ -311,10 +311,9 @@ def near_duplicates(
     tied = ties(shared.join(nodes.select("node", "sig"), "node"))
     families = stored(components(tied).withColumnRenamed("root", "family"))
     wanted = nodes.join(families, "node").select("node", "family", "n", "id", "text_hash")
-    all_texts = by_document(docs.select(id_col, text_col), id_col, text_col)
-    members = all_texts.join(wanted, same_document(all_texts, wanted)).select(
-        "family", "node", "n", F.col(text_col).alias("text")
-    )
+    every = texts.toDF("doc_id", "text", "hash")
+    of_row = every["doc_id"].eqNullSafe(wanted["id"]) & (every["hash"] == wanted["text_hash"])
+    members = every.join(wanted, of_row).select("family", "node", "n", "text")
 
     def full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_slices(batches):
