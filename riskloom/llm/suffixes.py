@@ -3,6 +3,7 @@
 Suffix arrays are built where repeats can be, not over the corpus as one text:
 1. Texts are cut into segments by window fingerprints (`fingerprints`), so equal windows meet under one
    key.  Copies of a whole text within a task are sent once; whether a text occurs twice is a count.
+   Segments that repeat inside a text, as all do in periodic ones, are repeats at once and sent once.
 2. Keys are read as sorted streams.  Equal segments are repeats at once; one of each kind of
    segment under a key that has several kinds is contested.
 3. Only contested segments fetch their bytes.  Those of a key are concatenated and suffix-sorted in
@@ -125,8 +126,11 @@ def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
 
 
 def _segmented(texts: DataFrame, length: int) -> DataFrame:
-    """key, digest, text_hash, n, lo, hi of the segments; a text once per task."""
-    names = ["key", "digest", "text_hash", "n", "lo", "hi"]
+    """key, digest, text_hash, n, lo, hi of the segments; a text once per task, equal segments of a text once.
+
+    Rows with `here` are repeats within their text already; their key only spreads them.
+    """
+    names = ["key", "digest", "text_hash", "n", "lo", "hi", "here"]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = set()
@@ -138,11 +142,26 @@ def _segmented(texts: DataFrame, length: int) -> DataFrame:
                     continue
                 seen.add((h, len(data)))
                 key, digest, lo, hi = segments(data, length)
-                columns.append((key.view(np.int64), digest.view(np.int64), np.full(len(key), h), np.full(len(key), len(data), np.int32), lo.astype(np.int32), hi.astype(np.int32)))
+                order = np.lexsort((digest, key))
+                again = np.zeros(len(key) + 1, bool)  # equal to the one before, in this order
+                again[1:-1] = (key[order[1:]] == key[order[:-1]]) & (digest[order[1:]] == digest[order[:-1]])
+                once, here = order[~again[:-1]], np.sort(order[again[:-1] | again[1:]])
+                if len(here):  # neighbours as one row
+                    cuts = np.flatnonzero(lo[here[1:]] > hi[here[:-1]] + length) + 1
+                    first, last = np.append(0, cuts), np.append(cuts, len(here)) - 1
+                    lo = np.concatenate([lo[once], lo[here[first]]])
+                    hi = np.concatenate([hi[once], hi[here[last]]])
+                    spread = np.full(len(first), h, np.int64).view(np.uint64)
+                    key, digest = np.append(key[once], spread), np.append(digest[once], spread)
+                local = np.arange(len(key)) >= len(once)
+                columns.append(
+                    (key.view(np.int64), digest.view(np.int64), np.full(len(key), h, np.int64),
+                     np.full(len(key), len(data), np.int32), lo.astype(np.int32), hi.astype(np.int32), local)
+                )
             if columns:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*columns, strict=True)], names)
 
-    return texts.mapInArrow(cut, "key long, digest long, text_hash long, n int, lo int, hi int")
+    return texts.mapInArrow(cut, "key long, digest long, text_hash long, n int, lo int, hi int, here boolean")
 
 
 def _classified(rows: DataFrame) -> DataFrame:
@@ -155,7 +174,10 @@ def _classified(rows: DataFrame) -> DataFrame:
         twice = several = False
         for batch in batches:
             out = []
-            for row in zip(*(batch.column(c).to_pylist() for c in columns), strict=True):
+            for *row, here in zip(*(batch.column(c).to_pylist() for c in [*columns, "here"]), strict=True):
+                if here:
+                    out.append((row[0], *row[2:], True))
+                    continue
                 if row == last:
                     continue  # the same place, sent by another task
                 last = row
@@ -172,7 +194,7 @@ def _classified(rows: DataFrame) -> DataFrame:
                     out.append((key, *row[2:], False))
                 else:
                     several = False
-                key, digest, first, twice = row[0], row[1], row[2:], False
+                key, digest, first, twice = row[0], row[1], tuple(row[2:]), False
             yield _batch(out, schema)
 
     columns = ["key", "digest", "text_hash", "n", "lo", "hi"]
