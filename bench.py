@@ -31,6 +31,8 @@ HEADLINE = (
     "q_latency_percentiles",
     "q_lag_alerts",
     "q_stall_alerts",
+    "q_message_decisions",
+    "q_stream_decisions",
 )
 SCORED = "q_decisions"
 

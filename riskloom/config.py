@@ -108,6 +108,7 @@ PUBLISHED_ARTIFACT = {
 class Settings:
     """Tunable thresholds; the defaults are the ones the decisions are defined with."""
 
+    # Thresholds of the rules, the decisions and the delivery.
     high_amount_threshold: float = 2_500
     velocity_window_seconds: int = 300
     velocity_count_threshold: int = 5
@@ -115,6 +116,7 @@ class Settings:
     decline_score_threshold: int = 70
     alert_max_attempts: int = 3
     alert_backoff_seconds: float = 0.5
+    # Own values, which no result depends on.
     # A (customer, time slot) group above this many rows is spread over several tasks.
     hot_group_rows: int = 4_000_000
     # Arrival numbers per chunk when arrival order is replayed in batch.

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from riskloom.operators.ordering import running_totals
 from riskloom.session import stored
 
+# The tolerances of the artifact comparison.
 PARAM_REL_TOL = 1e-5
 PARAM_ABS_TOL = 1e-7
 METRIC_ABS_TOL = 5e-3
@@ -126,6 +127,7 @@ def reliability(scored: DataFrame, bins: int = 5) -> DataFrame:
 # --- artifacts as rows ---------------------------------------------------------------------------
 
 ARTIFACT_ROWS = "field string, position int, kind string, text string, number double"
+# The fields of an artifact, by the way they are compared.
 CONTRACT = ("artifact_version", "model_version", "feature_names", "decision_threshold")
 TRAINING = ("samples", "fraud_rate", "seed", "split", "training_data_start")
 VECTORS = ("scaler_mean", "scaler_scale", "coefficients")

@@ -6,6 +6,7 @@ Each function takes decisions: the whole table, or `latest_n` of it as a dashboa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# The columns of the published views.
 LATEST_COLUMNS = (
     "transaction_id",
     "customer_id",

@@ -12,6 +12,7 @@ from riskloom.operators.ordering import rows_at_ranks
 
 MINIMUM_ROWS = 1_000
 TRAIN_SHARE, CALIBRATION_END = 0.7, 0.8
+# Fixed value: how the artifact names its split.
 SPLIT_TEXT = "first 70% train, next 10% calibration, final 20% test"
 INVERSE_PENALTY = 1.0
 

@@ -38,8 +38,9 @@ CTES = {
     "txn": (
         ["p"],
         f"""SELECT event_id AS seq, '1.0' AS schema_version, k, user_id, us,
-            '00000000-0000-4000-8000-' || lpad(CAST(event_id AS VARCHAR), 12, '0')
-                AS transaction_id,
+            '00000000-' || lpad(CAST(event_id // 1000000000000000 AS VARCHAR), 4, '0') || '-4000-8'
+                || lpad(CAST(event_id // 1000000000000 % 1000 AS VARCHAR), 3, '0') || '-'
+                || lpad(CAST(event_id % 1000000000000 AS VARCHAR), 12, '0') AS transaction_id,
             'customer-' || user_id AS customer_id, 'card-' || user_id AS card_id,
             'merchant-' || merchant_category AS merchant_id, merchant_category,
             CASE WHEN k = 13 THEN -gross ELSE gross END AS amount,

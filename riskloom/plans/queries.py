@@ -1195,7 +1195,7 @@ def _published(spark, sf_dir) -> tuple[Topics, str]:
     """A fresh set of file topics whose raw topic holds all messages of the tables."""
     root = f"{checkpoint_dir(spark)}/topics-{uuid.uuid4().hex}"
     topics = Topics(root=root)
-    topics.append(derived.raw_messages(spark, sf_dir), config.TOPIC_RAW)
+    topics.append(derived.raw_messages(spark, sf_dir), config.TOPIC_RAW, ordered=True)
     return topics, f"{root}/checkpoints"
 
 
@@ -1238,6 +1238,26 @@ def q_stream_dead_letters(spark, sf_dir):
     return dead_letter.profile(topics.table(spark, config.TOPIC_DEAD_LETTER))
 
 
+@query(
+    "q_replay_again",
+    sql(
+        f"""SELECT c.customer_id AS "key", count(*) AS messages
+        FROM checked c JOIN ({DECODED_SQL}) d ON c.seq = d."offset" WHERE d.errors <> ''
+        GROUP BY 1""",
+        "checked",
+    ),
+)
+def q_replay_again(spark, sf_dir):
+    """Rejected, replayed, rejected and replayed: the second replay has all messages again."""
+    topics, checkpoints = _published(spark, sf_dir)
+    for _ in range(2):
+        _finish(jobs.start_rejects(spark, topics, checkpoints))
+        last = jobs.replay(spark, topics, f"{topics.root}/ledger")
+    return last.groupBy(F.col("key").cast("string").alias("key")).agg(
+        F.count("*").alias("messages")
+    )
+
+
 @query(
     "q_stream_store",
     _of_messages(

@@ -80,12 +80,19 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     amount = F.when(k == 13, -F.col("gross")).otherwise(F.col("gross"))
     user = F.col("user_id").cast("string")
     number = F.col("event_id").cast("string")
+    digits = F.lpad(number, 19, "0")
     return placed.select(
         F.col("event_id").alias("seq"),
         F.lit("1.0").alias("schema_version"),
-        F.concat(F.lit("00000000-0000-4000-8000-"), F.lpad(number, 12, "0")).alias(
-            "transaction_id"
-        ),
+        # All 19 digits that an event id can have, in the places of a UUID that are free.
+        F.concat(
+            F.lit("00000000-"),
+            F.substring(digits, 1, 4),
+            F.lit("-4000-8"),
+            F.substring(digits, 5, 3),
+            F.lit("-"),
+            F.substring(digits, 8, 12),
+        ).alias("transaction_id"),
         F.concat(F.lit("customer-"), user).alias("customer_id"),
         F.concat(F.lit("card-"), user).alias("card_id"),
         F.concat(F.lit("merchant-"), F.col("merchant_category")).alias("merchant_id"),

@@ -2,7 +2,9 @@
 
 `files` topics are Parquet folders of the same shape, for runs without a broker; there a
 message keeps the partition and offset of the message it was made from, so writing the
-same batch again gives the same rows.  The Kafka options are configuration only and need
+same batch again gives the same rows.  Where order matters, a partition is a log: `append` then
+writes consecutive ranges of offsets one after the other, each partition's rows in one file, so a
+stream meets them in order however many files a micro-batch takes.  The Kafka options are configuration only and need
 the spark-sql-kafka connector on the classpath.
 """
 
@@ -12,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
+from riskloom.session import stored
+
 MESSAGE_COLUMNS = {
     "key": "binary",
     "value": "binary",
@@ -34,6 +38,8 @@ class Topics:
     # Bounds one micro-batch and with it what a single customer can bring into a task.
     files_per_batch: int = 200
     offsets_per_batch: int = 5_000_000
+    # Offsets in one file of a partition, and so what one task of a stream reads at least.
+    offsets_per_file: int = 1_000_000
     options: dict = field(default_factory=dict)
 
     def path(self, topic: str) -> str:
@@ -77,8 +83,8 @@ class Topics:
             )
         return named.writeStream.format("parquet").option("path", self.path(topic))
 
-    def append(self, messages: DataFrame, topic: str) -> None:
-        """Publishes a batch of messages."""
+    def append(self, messages: DataFrame, topic: str, ordered: bool = False) -> None:
+        """Publishes a batch of messages; `ordered` keeps each partition's order by offset."""
         named = as_messages(messages, topic)
         if self.brokers:
             (
@@ -89,8 +95,19 @@ class Topics:
                 .option("topic", topic)
                 .save()
             )
-        else:
+            return
+        if not ordered:
             named.write.mode("append").parquet(self.path(topic))
+            return
+        rows = stored(named)
+        ends = rows.agg(F.min("offset").alias("low"), F.max("offset").alias("high")).first()
+        if ends["low"] is None:
+            return
+        # Files are found in the order of their times, which are those of their commits.
+        for start in range(ends["low"], ends["high"] + 1, self.offsets_per_file):
+            span = F.col("offset").between(start, start + self.offsets_per_file - 1)
+            part = rows.where(span).repartition("partition").sortWithinPartitions("offset")
+            part.write.mode("append").parquet(self.path(topic))
 
 
 def as_messages(messages: DataFrame, topic: str) -> DataFrame:

@@ -35,6 +35,7 @@ from riskloom.functions.scoring import DECISION_COLUMNS, decision_records, with_
 from riskloom.functions.text import alert_line
 from riskloom.operators.dead_letter import dead_letters, replayable
 from riskloom.operators.ops import alerts
+from riskloom.operators.ordering import running_totals
 from riskloom.operators.store import store_rows, write_delta
 from riskloom.session import prepare
 from riskloom.sources.topics import POSITION, Topics
@@ -172,7 +173,9 @@ def start_delivery(
     messages = readable.select("transaction_id", "key", "value", *POSITION)
 
     def send(batch: DataFrame, number: int) -> None:
-        place = f"{outcomes}/batch={number:010d}"
+        # Follows the checkpoint: a query started on a new one must not replace old outcomes.
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        place = f"{outcomes}/query={query}/batch={number:010d}"
         deliver_alerts(batch, deliver, settings).write.mode("overwrite").parquet(place)
         failed = batch.sparkSession.read.parquet(place).where(~F.col("delivered"))
         letters = dead_letters(failed, SOURCE_DELIVERY, DELIVERY_EXHAUSTED, keep=POSITION)
@@ -224,12 +227,30 @@ def replay(
     run = f"{ledger}/pending"
     letters.write.mode("overwrite").parquet(run)
     chosen = spark.read.parquet(run)
-    topics.append(chosen.select("key", "value", "partition", "offset", "timestamp"), target)
+    again = chosen.select("key", "value", "partition", "offset", "timestamp")
+    if not topics.brokers:  # a broker gives positions itself
+        again = _repositioned(spark, topics, target, chosen)
+    topics.append(again, target, ordered=True)
     chosen.select(*LEDGER).write.mode("append").parquet(f"{ledger}/done")
     return chosen
 
 
+def _repositioned(spark: SparkSession, topics: Topics, target: str, messages: DataFrame) -> DataFrame:
+    """Messages with offsets behind all of the topic's, so that a message that is rejected again
+    is another letter; their order stays."""
+    behind = None
+    if _exists(spark, topics.path(target)):
+        behind = topics.table(spark, target).agg(F.max("offset")).first()[0]
+    ranked = running_totals(messages, ["partition", "offset", "source"], {"rank": F.lit(1)}, True)
+    return ranked.select(
+        "key", "value", "partition", (F.col("rank") + (behind or 0)).alias("offset"), "timestamp"
+    )
+
+
 def _ledger(spark: SparkSession, ledger: str) -> DataFrame | None:
-    place = spark._jvm.org.apache.hadoop.fs.Path(f"{ledger}/done")
-    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
-    return spark.read.parquet(f"{ledger}/done") if system.exists(place) else None
+    return spark.read.parquet(f"{ledger}/done") if _exists(spark, f"{ledger}/done") else None
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)

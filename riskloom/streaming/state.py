@@ -27,10 +27,14 @@ CARRIED_NAMES = [column.strip().split(" ")[0] for column in CARRIED.split(", ")]
 
 
 class SeenValues:
-    """A set of texts in a map state; known members are looked up once per batch."""
+    """A set of texts in a map state; known members are looked up once per batch.
 
-    def __init__(self, state) -> None:
+    With `refresh`, a member's time to live starts again with every batch that uses it.
+    """
+
+    def __init__(self, state, refresh: bool) -> None:
         self._state = state
+        self._refresh = refresh
         self._known: dict[str, bool] = {}
 
     def start(self) -> None:
@@ -40,8 +44,8 @@ class SeenValues:
         known = self._known.get(value)
         if known is None:
             known = self._state.containsKey((value,))
-        if not known:
-            self._state.updateValue((value,), (True,))
+            if not known or self._refresh:
+                self._state.updateValue((value,), (True,))
         self._known[value] = True
         return not known
 
@@ -54,10 +58,12 @@ class CustomerHistory(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._times = handle.getListState("times", "at long", self._ttl_ms)
         self._devices = SeenValues(
-            handle.getMapState("devices", "value string", "seen boolean", self._ttl_ms)
+            handle.getMapState("devices", "value string", "seen boolean", self._ttl_ms),
+            self._ttl_ms is not None,
         )
         self._countries = SeenValues(
-            handle.getMapState("countries", "value string", "seen boolean", self._ttl_ms)
+            handle.getMapState("countries", "value string", "seen boolean", self._ttl_ms),
+            self._ttl_ms is not None,
         )
         self._known_customer = handle.getValueState("known", "seen boolean", self._ttl_ms)
 

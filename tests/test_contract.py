@@ -231,3 +231,18 @@ def test_absent_rule_score_defaults_to_zero(make):
     )
     row = decode_decisions(messages.withColumn("value", text.cast("binary"))).first()
     assert row.rule_risk_score == 0
+
+
+def test_ids_stay_apart_beyond_twelve_digits(spark, tmp_path):
+    from riskloom.sources.tables import transactions
+
+    first = 10**12 - 2
+    events = spark.range(first, first + 5).selectExpr(
+        "id AS event_id", "timestamp_ntz'2024-01-01 00:00:00' AS ts", "id AS user_id",
+        "'view' AS event_type", "1.0 AS value", """'{"k": 1}' AS props""",
+    )
+    large = events.withColumn("event_id", F.col("event_id") * 9 * 10**6)
+    events.unionByName(large).write.parquet(f"{tmp_path}/events.parquet")
+    ids = [r.transaction_id for r in transactions(spark, str(tmp_path)).collect()]
+    assert len(set(ids)) == 10 and {len(i) for i in ids} == {36}
+    assert "00000000-0000-4000-8000-999999999998" in ids

@@ -129,7 +129,7 @@ def test_alert_line(make):
     row = decide(make({"amount": 5000.0, "merchant_category": "electronics"}))
     line = row.select(alert_line()).first()[0]
     assert line == (
-        "FRAUD_ALERT transaction_id=0a93d3eb-5fbd-4c4e-9736-27c7be35aaf1 customer_id=customer-1 "
+        "FRAUD_ALERT transaction_id=11111111-2222-4333-8444-555555555555 customer_id=customer-81 "
         "decision=decline risk_score=80 amount=5000.0 USD rules=high_amount,risky_merchant_amount"
     )
 

@@ -43,7 +43,7 @@ def publish(spark, topics, bodies, first=0):
     frame = spark.createDataFrame(
         rows, "key binary, value binary, partition int, offset long, timestamp timestamp"
     )
-    topics.append(frame.coalesce(1), RAW)
+    topics.append(frame.coalesce(1), RAW, ordered=True)
 
 
 def finish(queries):
@@ -79,6 +79,22 @@ def test_stream_is_the_fold_over_arrivals_across_batches_and_a_restart(spark, pl
     assert scored_features(spark, topics) == fold(events)
 
 
+@pytest.mark.parametrize("files", [1, 3, 200])
+def test_stream_does_not_depend_on_the_files_of_a_batch(spark, tmp_path, files):
+    topics = Topics(root=str(tmp_path / "topics"), files_per_batch=files, offsets_per_file=15)
+    events = random_events(16, count=90, disorder=900, ties=True)
+    stamp = datetime(2026, 1, 1, tzinfo=UTC)
+    rows = [
+        (b"k", json.dumps(message(e)).encode(), len(e[1]) % 3, i, stamp)
+        for i, e in enumerate(events)
+    ]
+    schema = "key binary, value binary, partition int, offset long, timestamp timestamp"
+    # Dealt over many tasks, as other jobs write their topics.
+    topics.append(spark.createDataFrame(rows, schema).repartition(7), RAW, ordered=True)
+    finish(jobs.start_scoring(spark, topics, f"{tmp_path}/ck"))
+    assert scored_features(spark, topics) == fold(events)
+
+
 def test_stream_equals_batch_on_ordered_input(spark, place):
     topics, root = place
     events = random_events(12, count=80)
@@ -177,6 +193,28 @@ def test_replay_with_limit_resume_and_dry_run(spark, place):
     assert jobs.replay(spark, topics, ledger, target="again", dry_run=True).count() == 0
 
 
+def test_messages_rejected_twice_are_replayed_twice(spark, place):
+    topics, root = place
+    publish(spark, topics, [b"bad-0", b"bad-1"])
+    for run in range(3):
+        finish(jobs.start_rejects(spark, topics, f"{root}/ck"))
+        sent = jobs.replay(spark, topics, f"{root}/ledger")
+        assert sorted(bytes(r.value) for r in sent.collect()) == [b"bad-0", b"bad-1"], run
+    assert topics.table(spark, RAW).select("offset").distinct().count() == 8
+
+
+def test_outcomes_of_a_new_checkpoint_do_not_replace_older_ones(spark, place):
+    topics, root = place
+    publish(spark, topics, [message(e) for e in random_events(17, count=30)])
+    finish(jobs.start_scoring(spark, topics, f"{root}/ck"))
+    finish(jobs.start_alert_routing(spark, topics, f"{root}/ck"))
+    counts = []
+    for run in ("a", "b"):
+        finish(jobs.start_delivery(spark, topics, lambda _: None, f"{root}/out", f"{root}/ck-{run}"))
+        counts.append(spark.read.parquet(f"{root}/out").count())
+    assert counts[0] > 0 and counts[1] == 2 * counts[0]
+
+
 def test_attempts_wait_longer_each_time():
     calls, waits = [], []
 
