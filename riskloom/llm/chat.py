@@ -3,7 +3,7 @@
 Messages are rows of a tree: `tree_id`, `node_id` (unique), `parent_id` (null, or a node that
 does not exist: a root), `role`, `text`, `score`.  Paths are found by pointer doubling: round
 k joins every node's pointer with the pointer found there, so 2**k ancestors are summed after
-k joins, whatever the shape of the tree.  Only paths chosen by rank are enumerated, by the
+k joins, whatever the shape of the tree; nodes whose path is summed take no part in later rounds.  Only paths chosen by rank are enumerated, by the
 same pointers, and every join is on single nodes: a tree with a third of all messages is
 spread like any other.
 
@@ -19,6 +19,7 @@ columns are ignored.
 import hashlib
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -66,7 +67,7 @@ def path_scores(messages: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
     """
     nodes = messages.select("node_id", "parent_id", F.coalesce("score", F.lit(0.0)).alias("score"))
     parents = nodes.select(F.col("node_id").alias("parent_id"), F.lit(True).alias("found"))
-    state = stored(
+    step = stored(
         nodes.join(parents, "parent_id", "left").select(
             "node_id",
             F.when(F.col("found"), F.col("parent_id")).alias("up"),
@@ -74,27 +75,30 @@ def path_scores(messages: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
             F.col("score").cast("double").alias("path_score"),
         )
     )
-    pointers = []
-    size = state.count()
-    while size and state.where("up IS NOT NULL").limit(1).count():
-        if 2 ** len(pointers) > size:  # what still points up now is on a cycle
-            break
-        pointers.append(state.where("up IS NOT NULL").select("node_id", "up"))
-        above = state.select(
+    size = step.count()
+    done, pointers = [step.where("up IS NULL")], []
+    active = step.where("up IS NOT NULL")
+    # What still points up after this many rounds is on a cycle.
+    while 2 ** len(pointers) <= size and active.limit(1).count():
+        pointers.append(active.select("node_id", "up"))
+        above = reduce(DataFrame.unionByName, [*done, active]).select(
             F.col("node_id").alias("up"),
             F.col("up").alias("next"),
             F.col("depth").alias("more"),
             F.col("path_score").alias("gain"),
         )
-        state = stored(
-            state.join(above, "up", "left").select(
+        step = stored(
+            active.join(above, "up").select(
                 "node_id",
                 F.col("next").alias("up"),
-                (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"),
-                (F.col("path_score") + F.coalesce("gain", F.lit(0.0))).alias("path_score"),
+                (F.col("depth") + F.col("more")).alias("depth"),
+                (F.col("path_score") + F.col("gain")).alias("path_score"),
             )
         )
-    return state.where("up IS NULL").select("node_id", "depth", "path_score"), pointers
+        done.append(step.where("up IS NULL"))
+        active = step.where("up IS NOT NULL")
+    rooted = reduce(DataFrame.unionByName, done)
+    return rooted.select("node_id", "depth", "path_score"), pointers
 
 
 def best_paths(messages: DataFrame, per_tree: int = 1) -> DataFrame:
@@ -112,24 +116,19 @@ def best_paths(messages: DataFrame, per_tree: int = 1) -> DataFrame:
     rank = F.row_number().over(
         Window.partitionBy("tree_id").orderBy(F.desc("mean_score"), "node_id")
     )
-    paths = (
-        leaves.withColumn("rank", rank)
-        .where(F.col("rank") <= per_tree)
-        .select(F.col("node_id").alias("path_id"), "tree_id", "depth", "node_id", F.lit(0).cast("long").alias("up"))
-    )
+    names = ["path_id", "tree_id", "depth", "node_id", "up"]
+    chosen = leaves.withColumn("rank", rank).where(F.col("rank") <= per_tree)
+    ends = chosen.select(F.col("node_id").alias("path_id"), "tree_id", "depth", "node_id", F.lit(0).cast("long").alias("up"))
+    found = [stored(ends)]
     for k, pointer in enumerate(pointers):
+        # Every row of a path is made by exactly one join.
+        here = reduce(DataFrame.unionByName, found).where(F.col("up") + 2**k < F.col("depth"))
         jump = pointer.select("node_id", F.col("up").alias("ancestor"))
-        both = F.array(
-            F.struct("node_id", "up"),
-            F.struct(F.col("ancestor").alias("node_id"), (F.col("up") + 2**k).alias("up")),
-        )
-        paths = (
-            paths.join(jump, "node_id", "left")
-            .select("path_id", "tree_id", "depth", F.explode(both).alias("n"))
-            .where("n.node_id IS NOT NULL")
-            .select("path_id", "tree_id", "depth", "n.node_id", "n.up")
+        further = here.join(jump, "node_id").select(
+            "path_id", "tree_id", "depth", F.col("ancestor").alias("node_id"), (F.col("up") + 2**k).alias("up")
         )
-    return paths.select(
+        found.append(stored(further.select(names)))
+    return reduce(DataFrame.unionByName, found).select(
         "path_id", "tree_id", (F.col("depth") - 1 - F.col("up")).alias("position"), "node_id"
     )
 
