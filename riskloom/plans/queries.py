@@ -658,9 +658,21 @@ def q_investigation_queue(spark, sf_dir):
     ),
 )
 def q_decision_lookup(spark, sf_dir):
-    return ops.decision_lookup(
-        _decisions(spark, sf_dir), "00000000-0000-4000-8000-000000000123"
-    ).withColumn("fraud_probability", r9("fraud_probability"))
+    """One transaction from the compacted decision table; the filter reaches its files."""
+    root = f"{checkpoint_dir(spark)}/table-{uuid.uuid4().hex}"
+    rows = store.store_rows(decide(transactions(spark, sf_dir), keep=("seq",)))
+    store.write_delta(rows.withColumnRenamed("seq", "arrival"), root, "batch", 0)
+    store.compact(spark, root)
+    found = ops.decision_lookup(
+        store.read_table(spark, root), "00000000-0000-4000-8000-000000000123"
+    )
+    return found.withColumns(
+        {
+            "risk_score": F.col("risk_score").cast("int"),
+            "rule_risk_score": F.col("rule_risk_score").cast("int"),
+            "fraud_probability": r9("fraud_probability"),
+        }
+    )
 
 
 # --- training and evaluation -------------------------------------------------------------------------
@@ -1012,11 +1024,12 @@ def q_duration_histogram(spark, sf_dir):
 )
 def q_consumer_lag(spark, sf_dir):
     samples = derived.offset_samples(spark, sf_dir)
-    ends = samples.select("topic", "partition", "seq", "high")
-    commits = samples.select("group", "topic", "partition", "seq", "committed")
-    on = ("topic", "partition", "seq")
-    return monitoring.consumer_lag(ends, commits, on).select(
-        "seq", "group", "topic", "partition", "lag"
+    return samples.select(
+        "seq",
+        "group",
+        "topic",
+        "partition",
+        monitoring.lag(F.col("high"), F.col("committed")).alias("lag"),
     )
 
 

@@ -45,6 +45,17 @@ def test_query_equals_sql(spark, tables, name):
     assert plain(frame.select(*columns).collect()) == plain(expected)
 
 
+def test_plans_of_lookup_and_lag(spark):
+    def plan(name):
+        return QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+
+    lookup = plan("q_decision_lookup")
+    assert "PushedFilters: [IsNotNull(transaction_id), EqualTo(transaction_id" in lookup
+    assert "Exchange" not in lookup
+    # The running offsets read the table twice; the lag itself adds no scan.
+    assert plan("q_consumer_lag").count("FileScan") == 2
+
+
 def test_entry(spark):
     rows = entry_points.entry(spark).collect()
     assert {r.decision: r.transactions for r in rows} == {
