@@ -77,6 +77,17 @@ def threshold_quality(scored: DataFrame, threshold: float = 0.5) -> DataFrame:
     )
 
 
+def holdout_report(scored: DataFrame, threshold: float = 0.5) -> DataFrame:
+    """Sizes and all measures of one slice, in one row; `scored` is read twice."""
+    quality = threshold_quality(scored, threshold).withColumn("one", F.lit(1))
+    ranking = ranking_quality(scored).withColumn("one", F.lit(1))
+    positives = F.col("true_positive") + F.col("false_negative")
+    return quality.join(ranking, "one").select(
+        (positives + F.col("true_negative") + F.col("false_positive")).alias("holdout_samples"),
+        positives.alias("positives"), "roc_auc", "average_precision", "precision", "recall", "brier_score",
+    )
+
+
 def quantile_edges(counts: DataFrame, bins: int) -> list[float]:
     """Inner bin edges of stored score counts, linearly interpolated between neighbours.
 

@@ -63,6 +63,41 @@ def _counter_names(outcomes: dict[str, bool]) -> Column:
     return names
 
 
+def sink_counters(stored_from: DataFrame, alerted: DataFrame, outcomes: DataFrame) -> DataFrame:
+    """What the sinks did: decisions stored or unreadable, alerts received, dispatched or failed.
+
+    `stored_from` and `alerted` are decoded messages with `errors`; `outcomes` has a `delivered` flag per
+    alert that was sent out.
+    """
+
+    def named(rows: DataFrame, *pairs: tuple[str, Column]) -> DataFrame:
+        entries = [F.struct(F.lit(name).alias("counter"), label.alias("label")) for name, label in pairs]
+        return rows.select("value", F.inline(F.array(*entries))).where("label IS NOT NULL")
+
+    def by_decision(checked: DataFrame) -> DataFrame:
+        unread = F.size("errors") > 0
+        return checked.groupBy(
+            F.when(~unread, F.col("decision")).alias("decision"), unread.alias("unread")
+        ).agg(F.count("*").alias("value"))
+
+    failed = F.when(F.col("unread"), "validation")
+    kept = named(by_decision(stored_from), ("store_decisions", F.col("decision")), ("store_failures", failed))
+    logged = F.when(~F.col("unread"), "log")
+    received = named(
+        by_decision(alerted),
+        ("alerts_received", F.col("decision")), ("alerts_dispatched", logged), ("alert_failures", failed),
+    )
+    sent = outcomes.groupBy("delivered").agg(F.count("*").alias("value"))
+    reached = F.when(F.col("delivered"), "webhook")
+    delivered = named(
+        sent,
+        ("alerts_dispatched", F.coalesce(reached, F.lit("dead_letter"))),
+        ("alert_failures", F.when(~F.col("delivered"), "webhook")),
+    )
+    every = kept.unionByName(received).unionByName(delivered)
+    return every.groupBy("counter", "label").agg(F.sum("value").alias("value"))
+
+
 def histogram(
     rows: DataFrame, value: str, bounds: tuple[float, ...], keys: tuple[str, ...] = ()
 ) -> DataFrame:
@@ -297,6 +332,18 @@ def bucket_quantile(buckets: DataFrame, quantile: float, keys: tuple[str, ...] =
     )
 
 
+def bucket_rate_quantile(
+    samples: DataFrame, quantile: float, keys: list[str], window_seconds: int = 300
+) -> DataFrame:
+    """Quantile from the growth of cumulative bucket counters (`le`, `value`) within the window, per sample.
+
+    The rate is the growth over a constant, which the quantile does not depend on.
+    """
+    grown = increase(samples, [*keys, "le"], window_seconds).where("increase IS NOT NULL")
+    buckets = grown.withColumnRenamed("increase", "bucket_count")
+    return bucket_quantile(buckets, quantile, (*keys, "sampled_at"))
+
+
 def latency_percentiles(
     requests: DataFrame, keys: list[str], fractions: tuple[float, ...] = PERCENTILES
 ) -> DataFrame:
@@ -328,3 +375,23 @@ def throughput(requests: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
         elapsed.alias("elapsed_seconds"),
         F.when(elapsed > 0, F.count("*") / elapsed).alias("per_second"),
     )
+
+
+def pipeline_throughput(accepted: DataFrame, kept: DataFrame) -> DataFrame:
+    """Rates of what came in (`accepted_at`) and of what reached the store (`processed_at`).
+
+    Both count from the first acceptance; without any elapsed time a rate is null.
+    """
+    start, end = F.unix_micros(F.min("accepted_at")), F.unix_micros(F.max("accepted_at"))
+    came = accepted.agg(F.count("*").alias("accepted"), start.alias("start"), end.alias("end"))
+    stays = kept.agg(F.count("*").alias("stored"), F.unix_micros(F.max("processed_at")).alias("done"))
+    both = came.withColumn("one", F.lit(1)).join(stays.withColumn("one", F.lit(1)), "one")
+
+    def rate(count: str, until: str) -> Column:
+        seconds = (F.col(until) - F.col("start")) / 1_000_000
+        return F.when(seconds > 0, F.col(count) / seconds)
+
+    return both.select(
+        "accepted", "stored",
+        rate("accepted", "end").alias("ingest_per_second"), rate("stored", "done").alias("end_to_end_per_second"),
+    )

@@ -5,7 +5,7 @@ transaction ids touches would rewrite the table.  So the table is kept as a base
 one delta per batch:
 
     <root>/base/v=<n>/event_date=.../     unique transactions
-    <root>/folded/v=<n>/                  which deltas base n contains; commits base n
+    <root>/folded/v=<n>/                  the last batch of each query in base n; commits base n
     <root>/deltas/query=<id>/batch=<n>/   rows of one batch, overwritten on a retry
 
 Reading brings both together, `compact` folds the deltas into the next base.  Nothing
@@ -125,14 +125,17 @@ def _folder(spark: SparkSession, path: str):
     return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
 
 
-def _committed(spark: SparkSession, path: str) -> list[str]:
-    """Sub-folders whose write has finished."""
+def _committed(spark: SparkSession, path: str, after: int = -1) -> list[int]:
+    """Numbers above `after` of the sub-folders `name=<number>` whose write has finished."""
     system, place = _folder(spark, path)
     if not system.exists(place):
         return []
     names = [entry.getPath().getName() for entry in system.listStatus(place) if entry.isDirectory()]
+    numbered = sorted((int(n.split("=")[1]), n) for n in names if "=" in n)
     done = spark._jvm.org.apache.hadoop.fs.Path
-    return sorted(n for n in names if system.exists(done(f"{path}/{n}/_SUCCESS")))
+    return [
+        number for number, n in numbered if number > after and system.exists(done(f"{path}/{n}/_SUCCESS"))
+    ]
 
 
 def write_delta(rows: DataFrame, root: str, query: str, batch: int) -> None:
@@ -141,38 +144,45 @@ def write_delta(rows: DataFrame, root: str, query: str, batch: int) -> None:
     stamped.write.mode("overwrite").parquet(f"{root}/deltas/query={query}/batch={batch:010d}")
 
 
-def _delta_paths(spark: SparkSession, root: str) -> list[str]:
+def _open_deltas(spark: SparkSession, root: str, folded: dict[str, int]) -> list[tuple[str, int]]:
+    """(query, batch) of the deltas that no base contains yet.
+
+    A query commits its batches in order, so its last folded one tells which are open.
+    """
     system, place = _folder(spark, f"{root}/deltas")
     if not system.exists(place):
         return []
-    queries = [entry.getPath().getName() for entry in system.listStatus(place)]
+    queries = sorted(entry.getPath().getName().removeprefix("query=") for entry in system.listStatus(place))
     return [
-        f"{query}/{batch}"
-        for query in sorted(queries)
-        for batch in _committed(spark, f"{root}/deltas/{query}")
+        (query, batch)
+        for query in queries
+        for batch in _committed(spark, f"{root}/deltas/query={query}", folded.get(query, -1))
     ]
 
 
-def _version(spark: SparkSession, root: str) -> tuple[int, set[str]]:
-    """Newest committed base and the deltas it contains."""
-    versions = [int(name.split("=")[1]) for name in _committed(spark, f"{root}/folded")]
+def _version(spark: SparkSession, root: str) -> tuple[int, dict[str, int]]:
+    """Newest committed base and, per query, the last batch it contains: one row per query, however many batches."""
+    versions = _committed(spark, f"{root}/folded")
     if not versions:
-        return 0, set()
+        return 0, {}
     newest = max(versions)
-    names = spark.read.schema("delta string").json(f"{root}/folded/v={newest}").collect()
-    return newest, {row.delta for row in names}
+    marks = spark.read.schema("query string, batch long").json(f"{root}/folded/v={newest}").collect()
+    return newest, {row.query: row.batch for row in marks}
 
 
 def read_table(spark: SparkSession, root: str) -> DataFrame:
     """The current decision table; dates prune the base through `event_date`."""
     version, folded = _version(spark, root)
-    open_deltas = [d for d in _delta_paths(spark, root) if d not in folded]
+    return _table(spark, root, version, _open_deltas(spark, root, folded))
+
+
+def _table(spark: SparkSession, root: str, version: int, open_deltas: list[tuple[str, int]]) -> DataFrame:
     base = spark.read.parquet(f"{root}/base/v={version}") if version else None
     if not open_deltas:
         if base is None:
             raise FileNotFoundError(f"no decisions under {root}")
         return base.drop("event_date")
-    paths = [f"{root}/deltas/{delta}" for delta in open_deltas]
+    paths = [f"{root}/deltas/query={query}/batch={batch:010d}" for query, batch in open_deltas]
     changed = with_rule_score(spark.read.option("mergeSchema", "true").parquet(*paths))
     if base is None:
         return latest_decisions(changed)
@@ -191,8 +201,9 @@ def compact(spark: SparkSession, root: str) -> int:
     decision and time, so row-group statistics serve the other access paths.
     """
     version, folded = _version(spark, root)
-    deltas = set(_delta_paths(spark, root))
-    table = read_table(spark, root).withColumn("event_date", F.to_date("event_time"))
+    # Listed once: what is written to the base is what the marks say.
+    deltas = _open_deltas(spark, root, folded)
+    table = _table(spark, root, version, deltas).withColumn("event_date", F.to_date("event_time"))
     layout = ["event_date", "decision", "event_time", "transaction_id"]
     (
         # By range, so a date that holds a large share of the rows gets as many writers.
@@ -205,6 +216,7 @@ def compact(spark: SparkSession, root: str) -> int:
         .partitionBy("event_date")
         .parquet(f"{root}/base/v={version + 1}")
     )
-    names = spark.createDataFrame([(name,) for name in sorted(deltas | folded)], "delta string")
-    names.coalesce(1).write.mode("overwrite").json(f"{root}/folded/v={version + 1}")
+    # Deltas are in ascending order, so the last one of a query stays.
+    marks = spark.createDataFrame(sorted((folded | dict(deltas)).items()), "query string, batch long")
+    marks.coalesce(1).write.mode("overwrite").json(f"{root}/folded/v={version + 1}")
     return version + 1

@@ -18,6 +18,44 @@ _TERMS = " + ".join(
 )
 _A, _B = MODEL["calibration"]["a"], MODEL["calibration"]["b"]
 
+_OCTET = "(25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
+# Field, what breaks it, reason.
+_CHECKS = (
+    ("schema_version", "schema_version <> '1.0'", "choice"),
+    (
+        "transaction_id",
+        "NOT regexp_full_match(transaction_id, '[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}')",
+        "syntax",
+    ),
+    ("customer_id", "length(trim(customer_id)) NOT BETWEEN 1 AND 64", "length"),
+    ("card_id", "length(trim(card_id)) NOT BETWEEN 1 AND 64", "length"),
+    ("merchant_id", "length(trim(merchant_id)) NOT BETWEEN 1 AND 64", "length"),
+    ("merchant_category", "length(trim(merchant_category)) NOT BETWEEN 1 AND 64", "length"),
+    ("amount", "NOT (amount > 0 AND amount <= 1000000)", "range"),
+    ("currency", "currency NOT IN ('USD', 'EUR', 'GBP', 'CAD')", "choice"),
+    ("country_code", "NOT regexp_full_match(country_code, '[A-Z]{2}')", "pattern"),
+    ("city", "length(trim(city)) NOT BETWEEN 1 AND 100", "length"),
+    ("latitude", "latitude NOT BETWEEN -90 AND 90", "range"),
+    ("longitude", "longitude NOT BETWEEN -180 AND 180", "range"),
+    ("device_id", "length(trim(device_id)) NOT BETWEEN 1 AND 64", "length"),
+    (
+        "ip_address",
+        f"NOT regexp_full_match(ip_address, '({_OCTET}[.]){{3}}{_OCTET}|[0-9a-f]{{1,4}}(:[0-9a-f]{{0,4}}){{2,7}}')",
+        "syntax",
+    ),
+    ("channel", "channel NOT IN ('card_present', 'ecommerce', 'mobile')", "choice"),
+)
+
+
+def _reasons(first: dict[str, str] | None = None, last: str = "NULL") -> str:
+    """The broken fields as one text; `first` has cases that go before a field's check."""
+    cases = [
+        f"CASE {(first or {}).get(field, '')} WHEN {broken} THEN '{field}:{reason}' END"
+        for field, broken, reason in _CHECKS
+    ]
+    return f"concat_ws(';', {', '.join(cases)}, {last})"
+
+
 CTES = {
     "e": (
         [],
@@ -60,31 +98,44 @@ CTES = {
             END AS label
         FROM p""",
     ),
-    "checked": (
+    "checked": (["txn"], f"SELECT *, {_reasons()} AS errors FROM txn"),
+    # One field broken or written unusually, as in derived.faulty_messages.
+    "faulty": (
         ["txn"],
-        """SELECT *, concat_ws(';',
-            CASE WHEN schema_version <> '1.0' THEN 'schema_version:choice' END,
-            CASE WHEN NOT regexp_full_match(transaction_id,
-                '[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}')
-                THEN 'transaction_id:syntax' END,
-            CASE WHEN length(trim(customer_id)) NOT BETWEEN 1 AND 64 THEN 'customer_id:length' END,
-            CASE WHEN length(trim(card_id)) NOT BETWEEN 1 AND 64 THEN 'card_id:length' END,
-            CASE WHEN length(trim(merchant_id)) NOT BETWEEN 1 AND 64 THEN 'merchant_id:length' END,
-            CASE WHEN length(trim(merchant_category)) NOT BETWEEN 1 AND 64
-                THEN 'merchant_category:length' END,
-            CASE WHEN NOT (amount > 0 AND amount <= 1000000) THEN 'amount:range' END,
-            CASE WHEN currency NOT IN ('USD', 'EUR', 'GBP', 'CAD') THEN 'currency:choice' END,
-            CASE WHEN NOT regexp_full_match(country_code, '[A-Z]{2}') THEN 'country_code:pattern' END,
-            CASE WHEN length(trim(city)) NOT BETWEEN 1 AND 100 THEN 'city:length' END,
-            CASE WHEN latitude NOT BETWEEN -90 AND 90 THEN 'latitude:range' END,
-            CASE WHEN longitude NOT BETWEEN -180 AND 180 THEN 'longitude:range' END,
-            CASE WHEN length(trim(device_id)) NOT BETWEEN 1 AND 64 THEN 'device_id:length' END,
-            CASE WHEN NOT regexp_full_match(ip_address, '[0-9]{1,3}([.][0-9]{1,3}){3}')
-                THEN 'ip_address:syntax' END,
-            CASE WHEN channel NOT IN ('card_present', 'ecommerce', 'mobile')
-                THEN 'channel:choice' END
-        ) AS errors
-        FROM txn""",
+        """SELECT * REPLACE (
+            CASE fault WHEN 1 THEN repeat('x', 65) WHEN 29 THEN NULL ELSE customer_id END AS customer_id,
+            CASE fault WHEN 3 THEN '' ELSE card_id END AS card_id,
+            CASE fault WHEN 4 THEN '   ' ELSE merchant_id END AS merchant_id,
+            CASE fault WHEN 5 THEN repeat('m', 64) ELSE merchant_category END AS merchant_category,
+            CASE fault WHEN 6 THEN repeat('é', 100) WHEN 7 THEN repeat('é', 101) ELSE city END AS city,
+            CASE fault WHEN 10 THEN NULL ELSE transaction_id END AS transaction_id,
+            CASE fault WHEN 12 THEN 'JPY' WHEN 13 THEN 'usd' ELSE currency END AS currency,
+            CASE fault WHEN 14 THEN '256.1.1.1' WHEN 15 THEN '2001:db8::1' WHEN 16 THEN '1.2.3'
+                ELSE ip_address END AS ip_address,
+            CASE fault WHEN 17 THEN 'phone' ELSE channel END AS channel,
+            CASE fault WHEN 18 THEN 180.5 WHEN 19 THEN -180.0 ELSE longitude END AS longitude,
+            CASE fault WHEN 20 THEN -90.5 ELSE latitude END AS latitude,
+            CASE fault WHEN 21 THEN 1000000.01::DOUBLE WHEN 22 THEN 1000000::DOUBLE
+                WHEN 30 THEN 12.5::DOUBLE WHEN 31 THEN NULL ELSE amount END AS amount,
+            CASE fault WHEN 23 THEN '2.0' ELSE schema_version END AS schema_version,
+            CASE fault WHEN 24 THEN 'us' WHEN 25 THEN NULL ELSE country_code END AS country_code,
+            CASE fault WHEN 26 THEN NULL ELSE device_id END AS device_id)
+        FROM (SELECT *, seq % 32 AS fault FROM txn)""",
+    ),
+    "refused": (
+        ["faulty"],
+        "SELECT *, "
+        + _reasons(
+            {
+                "transaction_id": "WHEN transaction_id IS NULL THEN 'transaction_id:type'",
+                "customer_id": "WHEN customer_id IS NULL THEN 'customer_id:type'",
+                "amount": "WHEN amount IS NULL THEN 'amount:type'",
+                "country_code": "WHEN country_code IS NULL THEN 'country_code:missing'",
+                "device_id": "WHEN device_id IS NULL THEN 'device_id:missing'",
+            },
+            "CASE fault WHEN 27 THEN 'event_time:missing' WHEN 28 THEN 'simulation:type' END",
+        )
+        + " AS errors FROM faulty",
     ),
     "ok": (["checked"], "SELECT * FROM checked WHERE errors = ''"),
     "feat": (
@@ -192,6 +243,15 @@ CTES = {
                 WHEN lag(v) OVER w IS NOT NULL THEN v END AS grown
         FROM ms WINDOW w AS (PARTITION BY metric ORDER BY taken)""",
     ),
+    "fm": (
+        ["dec"],
+        f"""SELECT metric, {EPOCH} + (m + 1) * 60000000 AS taken,
+            sum(added) OVER (PARTITION BY metric, m >= 120 ORDER BY m) AS v
+        FROM (SELECT (us - {EPOCH}) // 60000000 AS m, 'store_failures' AS metric,
+                count(*) FILTER (WHERE seq % 16 = 1) AS added FROM dec GROUP BY 1
+            UNION ALL SELECT (us - {EPOCH}) // 60000000, 'alert_failures',
+                count(*) FILTER (WHERE decision = 'decline') FROM dec GROUP BY 1)""",
+    ),
     "req": (
         ["e"],
         """SELECT event_id AS request_id, event_type AS route, us AS started,
@@ -200,6 +260,8 @@ CTES = {
     ),
 }
 
+CTES["fsteps"] = (["fm"], CTES["steps"][1].replace("FROM ms", "FROM fm"))
+
 
 def sql(statement: str, *needs: str) -> str:
     """`statement` with the common table expressions it needs, in dependency order."""

@@ -17,7 +17,7 @@ from riskloom.functions.text import alert_line
 from riskloom.operators import dead_letter, evaluation, monitoring, ops, store, training
 from riskloom.operators.features import with_feature_vector, with_features
 from riskloom.plans.batch import decide, decide_messages, score_transactions
-from riskloom.plans.oracle import MODEL, sql
+from riskloom.plans.oracle import EPOCH, MODEL, sql
 from riskloom.session import checkpoint_dir, prepare, stored
 from riskloom.sources import derived
 from riskloom.sources.tables import transactions
@@ -149,6 +149,49 @@ def q_decode_transactions(spark, sf_dir):
     )
 
 
+@query(
+    "q_contract_faults",
+    sql(
+        """SELECT seq AS "offset", errors, trim(customer_id) AS customer_id, city, amount,
+            CASE WHEN fault = 11 THEN 'derived' ELSE transaction_id END AS transaction_id
+        FROM refused""",
+        "refused",
+    ),
+)
+def q_contract_faults(spark, sf_dir):
+    """Every rule of the contract at its limit, just beyond it, and in unusual forms."""
+    decoded = contract.decode_transactions(derived.faulty_messages(spark, sf_dir))
+    given = F.col("offset") % 32 != 11
+    derived_id = F.when(F.col("transaction_id").rlike(contract.CANONICAL_UUID_PATTERN), "derived")
+    return decoded.select(
+        "offset",
+        F.array_join("errors", ";").alias("errors"),
+        "customer_id",
+        "city",
+        "amount",
+        F.when(given, F.col("transaction_id")).otherwise(derived_id).alias("transaction_id"),
+    )
+
+
+@query(
+    "q_decision_faults",
+    sql(
+        """SELECT seq, CASE seq % 16 WHEN 1 THEN 'risk_score:range' WHEN 2 THEN 'fraud_probability:range'
+            WHEN 3 THEN 'decision:choice' WHEN 4 THEN 'triggered_rules:type' WHEN 5 THEN 'features:missing'
+            WHEN 6 THEN 'features:range' WHEN 8 THEN 'currency:choice' WHEN 9 THEN 'transaction_id:type'
+            WHEN 10 THEN 'processed_at:type' WHEN 11 THEN 'detector_version:missing'
+            WHEN 12 THEN 'risk_score:type' WHEN 13 THEN 'features:type'
+            WHEN 14 THEN 'simulation_is_fraud:type' WHEN 15 THEN 'amount:type' ELSE '' END AS errors,
+            CASE WHEN seq % 16 = 7 THEN 0 ELSE rule_risk_score END AS rule_risk_score
+        FROM dec""",
+        "dec",
+    ),
+)
+def q_decision_faults(spark, sf_dir):
+    decoded = contract.decode_decisions(derived.faulty_decisions(spark, sf_dir))
+    return decoded.select("seq", F.array_join("errors", ";").alias("errors"), "rule_risk_score")
+
+
 @query(
     "q_acceptance",
     sql(
@@ -675,6 +718,29 @@ def q_decision_lookup(spark, sf_dir):
     )
 
 
+@query(
+    "q_store_top_risk",
+    sql(
+        """SELECT transaction_id, CAST(risk_score AS INTEGER) AS risk_score, true AS stamped FROM log
+        QUALIFY row_number() OVER (PARTITION BY transaction_id ORDER BY processed_us DESC, seq DESC) = 1
+            AND risk_score >= 90""",
+        "log",
+    ),
+)
+def q_store_top_risk(spark, sf_dir):
+    """High risks from the compacted table of all copies, with the stamp that storing them left."""
+    root = f"{checkpoint_dir(spark)}/table-{uuid.uuid4().hex}"
+    began = spark.range(1).select(F.current_timestamp().alias("t")).first().t
+    store.write_delta(store.store_rows(_log(spark, sf_dir)), root, "batch", 0)
+    store.compact(spark, root)
+    found = store.read_table(spark, root).where(F.col("risk_score") >= 90)
+    return found.select(
+        "transaction_id",
+        F.col("risk_score").cast("int").alias("risk_score"),
+        (F.col("ingested_at") >= F.lit(began)).alias("stamped"),
+    )
+
+
 # --- training and evaluation -------------------------------------------------------------------------
 
 
@@ -801,6 +867,33 @@ def q_reliability(spark, sf_dir):
     )
 
 
+@query(
+    "q_holdout_report",
+    sql(
+        f"""SELECT holdout_samples, positives, round(roc_auc, 9) AS roc_auc,
+            round(average_precision, 9) AS average_precision, round(precision, 9) AS precision,
+            round(recall, 9) AS recall, round(brier_score, 9) AS brier_score
+        FROM (SELECT count(*) AS holdout_samples, count(*) FILTER (WHERE label) AS positives,
+                coalesce(count(*) FILTER (WHERE s >= 0.5 AND label)::DOUBLE
+                    / nullif(count(*) FILTER (WHERE s >= 0.5), 0), 0) AS precision,
+                coalesce(count(*) FILTER (WHERE s >= 0.5 AND label)::DOUBLE
+                    / nullif(count(*) FILTER (WHERE label), 0), 0) AS recall,
+                avg((s - CAST(label AS DOUBLE)) * (s - CAST(label AS DOUBLE))) AS brier_score
+            FROM cut WHERE split = 'test'),
+            ({AUC_SQL.replace("FROM lab", "FROM cut WHERE split = 'test'")}),
+            ({AP_SQL.replace("FROM lab", "FROM cut WHERE split = 'test'")})""",
+        "cut",
+    ),
+)
+def q_holdout_report(spark, sf_dir):
+    """The published model on the last fifth of the labelled rows."""
+    artifact = config.published_artifact()
+    test = scoring.with_probability(_split(spark, sf_dir).where("split = 'test'"), artifact)
+    report = evaluation.holdout_report(test, artifact.decision_threshold)
+    counts = ("holdout_samples", "positives")
+    return report.select(*[c if c in counts else r9(c).alias(c) for c in report.columns])
+
+
 def _candidate(spark, sf_dir):
     """Artifact rows with everything that can be measured on the tables measured anew."""
     rows = _split(spark, sf_dir)
@@ -1083,6 +1176,20 @@ def q_failure_alerts(spark, sf_dir):
     return monitoring.failure_alerts(failures, ["metric", "label"])
 
 
+@query(
+    "q_sink_failure_alerts",
+    sql(
+        f"""SELECT metric, CASE metric WHEN 'store_failures' THEN 'validation' ELSE 'webhook' END AS label,
+            make_timestamp(taken) AS sampled_at, CAST(grown AS DOUBLE) AS increase
+        FROM ({INCREASES.format(w=300000000).replace('steps', 'fsteps')}) WHERE grown > 0""",
+        "fsteps",
+    ),
+)
+def q_sink_failure_alerts(spark, sf_dir):
+    """The rules for the store and the webhook."""
+    return monitoring.failure_alerts(derived.failure_samples(spark, sf_dir), ["metric", "label"])
+
+
 _STALLED = f"""SELECT a.taken // 60000000 AS tick
     FROM ({INCREASES.format(w=600000000)}) s JOIN ({INCREASES.format(w=600000000)}) a
         ON s.taken = a.taken AND s.metric = 'detector_transactions' AND a.metric = 'api_transactions'
@@ -1165,6 +1272,43 @@ def q_bucket_quantile(spark, sf_dir):
     )
 
 
+_BUCKET_STEPS = f"""SELECT metric, taken, lag(taken) OVER w AS prior,
+        CASE WHEN v >= lag(v) OVER w THEN v - lag(v) OVER w WHEN lag(v) OVER w IS NOT NULL THEN v END AS grown
+    FROM (SELECT route || '|' || CAST(le AS VARCHAR) AS metric, (m + 1) * 60000000 AS taken,
+            sum(c) OVER (PARTITION BY route, le, m - {EPOCH} // 60000000 >= 120 ORDER BY m) AS v
+        FROM (SELECT route, m, bucket.le AS le, bucket.c AS c FROM (
+            SELECT route, m, unnest(buckets) AS bucket FROM (
+                SELECT route, started // 60000000 AS m, [{_LE}] AS buckets FROM req GROUP BY route, m))))
+    WINDOW w AS (PARTITION BY metric ORDER BY taken)"""
+
+
+@query(
+    "q_bucket_rate_quantile",
+    sql(
+        f"""SELECT route, make_timestamp(taken) AS sampled_at,
+            round(CASE WHEN le = 'inf'::DOUBLE THEN lower
+                ELSE lower + (le - lower) * coalesce((0.95::DOUBLE * n - below)
+                    / nullif(c - below, 0), 0) END, 9) AS quantile_value
+        FROM (SELECT *, lag(le, 1, 0.0::DOUBLE) OVER b AS lower, lag(c, 1, 0) OVER b AS below,
+                max(c) OVER (PARTITION BY route, taken) AS n
+            FROM (SELECT split_part(metric, '|', 1) AS route, CAST(split_part(metric, '|', 2) AS DOUBLE) AS le,
+                    taken, CAST(grown AS DOUBLE) AS c
+                FROM (WITH steps AS ({_BUCKET_STEPS}) {INCREASES.format(w=300000000)})
+                WHERE grown IS NOT NULL)
+            WINDOW b AS (PARTITION BY route, taken ORDER BY le))
+        WHERE c >= 0.95::DOUBLE * n
+        QUALIFY row_number() OVER (PARTITION BY route, taken ORDER BY le) = 1""",
+        "req",
+    ),
+)
+def q_bucket_rate_quantile(spark, sf_dir):
+    """The 95th percentile from the five-minute growth of each route's bucket counters."""
+    samples = derived.bucket_samples(spark, sf_dir)
+    return monitoring.bucket_rate_quantile(samples, 0.95, ["route"]).withColumn(
+        "quantile_value", r9("quantile_value")
+    )
+
+
 _PLACES = ", ".join(
     f"max(seconds) FILTER (WHERE i = least(n - 1, CAST(floor(n * {f}::DOUBLE) AS BIGINT)))"
     f" AS p{round(f * 100)}"
@@ -1201,6 +1345,25 @@ def q_throughput(spark, sf_dir):
     )
 
 
+@query(
+    "q_pipeline_throughput",
+    sql(
+        """SELECT accepted, stored, round(accepted / ((last_in - first_in) / 1000000), 9) AS ingest_per_second,
+            round(stored / ((last_out - first_in) / 1000000), 9) AS end_to_end_per_second
+        FROM (SELECT count(*) AS accepted, min(us) AS first_in, max(us) AS last_in FROM ok),
+            (SELECT count(DISTINCT transaction_id) AS stored, max(processed_us) AS last_out FROM (
+                SELECT * FROM log QUALIFY row_number() OVER (PARTITION BY transaction_id
+                    ORDER BY processed_us DESC, seq DESC) = 1))""",
+        "log",
+    ),
+)
+def q_pipeline_throughput(spark, sf_dir):
+    accepted = _valid(spark, sf_dir).select(F.col("event_time").alias("accepted_at"))
+    kept = store.latest_decisions(_log(spark, sf_dir).select("transaction_id", "processed_at", "arrival"))
+    rates = monitoring.pipeline_throughput(accepted, kept)
+    return rates.withColumns({c: r9(c) for c in ("ingest_per_second", "end_to_end_per_second")})
+
+
 # --- messages end to end, streaming jobs ------------------------------------------------------------------------------------
 
 
@@ -1344,3 +1507,31 @@ def q_alert_delivery(spark, sf_dir):
     return deliver_alerts(messages, _refuse_declined, quick).select(
         "transaction_id", "attempts", "delivered"
     )
+
+
+@query(
+    "q_sink_counters",
+    sql(
+        """SELECT counter, label, count(*) AS value FROM (
+            SELECT unnest(CASE WHEN NOT fine THEN [{'counter': 'store_failures', 'label': 'validation'},
+                    CASE WHEN decision <> 'approve' THEN {'counter': 'alert_failures', 'label': 'validation'} END]
+                WHEN decision = 'approve' THEN [{'counter': 'store_decisions', 'label': decision}]
+                ELSE [{'counter': 'store_decisions', 'label': decision},
+                    {'counter': 'alerts_received', 'label': decision},
+                    {'counter': 'alerts_dispatched', 'label': 'log'},
+                    {'counter': 'alerts_dispatched',
+                        'label': CASE decision WHEN 'decline' THEN 'dead_letter' ELSE 'webhook' END},
+                    CASE decision WHEN 'decline' THEN {'counter': 'alert_failures', 'label': 'webhook'} END]
+                END, recursive := true)
+            FROM (SELECT decision, seq % 16 IN (0, 7) AS fine FROM dec)) WHERE counter IS NOT NULL
+        GROUP BY ALL""",
+        "dec",
+    ),
+)
+def q_sink_counters(spark, sf_dir):
+    """Stored, unreadable, dispatched and undelivered, counted from what happened to broken messages."""
+    decoded = stored(contract.decode_decisions(derived.faulty_decisions(spark, sf_dir)))
+    alerted = decoded.where("routed")
+    quick = config.Settings(alert_backoff_seconds=0.0)
+    outcomes = deliver_alerts(contract.valid(alerted).select("value"), _refuse_declined, quick)
+    return monitoring.sink_counters(decoded, alerted, outcomes)

@@ -1,11 +1,13 @@
 """Tables that the pipeline would see in operation, derived from the driver's events."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.config import TOPIC_RAW
-from riskloom.functions.contract import TRANSACTION_FIELDS, check_transactions
-from riskloom.operators.monitoring import HOUR_US
+from riskloom.functions.contract import TRANSACTION_FIELDS, check_transactions, to_message
+from riskloom.functions.scoring import DECISION_COLUMNS
+from riskloom.operators.monitoring import DURATION_BUCKETS, HOUR_US, INFINITE
+from riskloom.operators.ops import flagged
 from riskloom.operators.ordering import chunked_running
 from riskloom.plans.batch import decide
 from riskloom.session import stored
@@ -40,6 +42,10 @@ def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
     )
     text = F.when(k == 33, F.left(body, F.lit(40))).otherwise(body)
+    return _in_topic(txns, text)
+
+
+def _in_topic(txns: DataFrame, text: Column) -> DataFrame:
     return txns.select(
         F.col("customer_id").cast("binary").alias("key"),
         text.cast("binary").alias("value"),
@@ -50,6 +56,100 @@ def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _chosen(name: str, number: Column, others: dict) -> Column:
+    """The column, or what `others` has for this number; None leaves the field out."""
+    value = F.col(name)
+    for fault, other in others.items():
+        value = F.when(number == fault, other).otherwise(value)
+    return value.alias(name)
+
+
+def faulty_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON bodies in topic shape; by seq mod 32, one field is broken or written unusually.
+
+    Rules are met at their limits (a length of 64 or 100, -180 degrees, the largest amount) and broken
+    just beyond them; 2, 8, 9, 11, 15 and 30 are unusual forms that the contract accepts.
+    """
+    txns = transactions(spark, sf_dir)
+    fault = F.col("seq") % 32
+    tid, customer = F.col("transaction_id"), F.col("customer_id")
+    changes = {
+        "schema_version": {23: "2.0"},
+        "transaction_id": {
+            8: F.replace(tid, F.lit("-"), F.lit("")),
+            9: F.concat(F.lit("urn:uuid:"), tid),
+            10: F.left(tid, F.lit(35)),
+            11: None,
+        },
+        "customer_id": {1: "x" * 65, 2: F.concat(F.lit(" "), customer, F.lit("  "))},
+        "card_id": {3: ""},
+        "merchant_id": {4: "   "},
+        "merchant_category": {5: "m" * 64},
+        "amount": {21: 1_000_000.01, 22: 1_000_000.0},
+        "currency": {12: "JPY", 13: "usd"},
+        "country_code": {24: "us", 25: None},
+        "city": {6: "é" * 100, 7: "é" * 101},
+        "latitude": {20: -90.5},
+        "longitude": {18: 180.5, 19: -180.0},
+        "device_id": {26: None},
+        "ip_address": {14: "256.1.1.1", 15: "2001:db8::1", 16: "1.2.3"},
+        "channel": {17: "phone"},
+    }
+    time_text = F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    simulation = F.struct(F.col("label").alias("is_fraud"))
+    text = F.to_json(
+        F.struct(
+            *[_chosen(name, fault, others) for name, others in changes.items()],
+            F.when(fault != 27, time_text).alias("event_time"),
+            F.when(F.col("label").isNotNull() & (fault != 28), simulation).alias("simulation"),
+        )
+    )
+    written = {
+        28: (r"\}$", ',"simulation":"yes"}'),
+        29: ('"customer_id":"[^"]*"', '"customer_id":7'),
+        30: ('"amount":[^,]*', '"amount":"12.5"'),
+        31: ('"amount":[^,]*', '"amount":true'),
+    }
+    return _in_topic(txns, _rewritten(text, fault, written))
+
+
+def _rewritten(text: Column, number: Column, changes: dict[int, tuple[str, str]]) -> Column:
+    out = text
+    for fault, (pattern, other) in changes.items():
+        out = F.when(number == fault, F.regexp_replace(text, pattern, other)).otherwise(out)
+    return out
+
+
+def faulty_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Decision messages with `seq` and `routed` (an alert); by seq mod 16, one field is broken.
+
+    0 is as it was written, 7 lacks rule_risk_score, which has a default.
+    """
+    changes = {
+        1: ('"risk_score":[0-9]+', '"risk_score":101'),
+        2: ('"fraud_probability":[^,]+', '"fraud_probability":1.5'),
+        3: ('"decision":"[a-z]+"', '"decision":"maybe"'),
+        4: (r'"triggered_rules":\[[^\]]*\]', '"triggered_rules":[null]'),
+        5: (r'"features":\{[^}]*\},', ""),
+        6: ('"transaction_count_5m":[0-9]+', '"transaction_count_5m":0'),
+        7: ('"rule_risk_score":[0-9]+,', ""),
+        8: ('"currency":"[A-Z]+"', '"currency":"XXX"'),
+        9: ('"transaction_id":"[^"]*"', '"transaction_id":"x"'),
+        10: ('"processed_at":"[^"]*"', '"processed_at":"2024-01-01T00:00:00"'),
+        11: ('"detector_version":"[^"]*",', ""),
+        12: ('"risk_score":[0-9]+', '"risk_score":10.5'),
+        13: ('"is_new_device":(true|false)', '"is_new_device":"maybe"'),
+        14: ('"simulation_is_fraud":(true|false|null)', '"simulation_is_fraud":"often"'),
+        15: ('("event_time":"[^"]*","amount":)[^,]+', '$1"abc"'),
+    }
+    sent = decide(transactions(spark, sf_dir), processed_at=F.col("event_time"), keep=("seq",))
+    messages = to_message(
+        sent.withColumn("routed", flagged()), "customer_id", DECISION_COLUMNS, keep=("seq", "routed")
+    )
+    text = _rewritten(F.col("value").cast("string"), F.col("seq") % 16, changes)
+    return messages.withColumn("value", text.cast("binary"))
+
+
 def tied_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event times cut to whole minutes, so a customer has equal ones."""
     return transactions(spark, sf_dir).withColumn(
@@ -127,20 +227,55 @@ def metric_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
             " 'detector_transactions', 'scored', scored,"
             " 'detector_failures', 'validation', failed) AS (metric, label, added)"
         ),
-    ).withColumns(
+    )
+    return _counters(long, ["metric", "label"])
+
+
+def _counters(growth: DataFrame, keys: list[str]) -> DataFrame:
+    """Running counters, sampled at the end of each `minute`, of what was `added` in it.
+
+    Stored like a metric history would be: a few rows per minute of the whole table.
+    """
+    timed = growth.withColumns(
         {
             "life": (F.col("minute") >= RESTART_MINUTE).cast("int"),
             "at": F.lit(EPOCH_2024_US) + (F.col("minute") + 1) * 60_000_000,
         }
     )
-    hourly = long.withColumn("hour", F.expr(f"at div {HOUR_US}"))
+    hourly = timed.withColumn("hour", F.expr(f"at div {HOUR_US}"))
     samples = chunked_running(
-        hourly, ["metric", "label", "life"], "hour", ["at"], {"value": ("sum", F.col("added"))}
+        hourly, [*keys, "life"], "hour", ["at"], {"value": ("sum", F.col("added"))}
     )
-    # Stored like a metric history would be: three rows per minute of the whole table.
-    return stored(
-        samples.select("metric", "label", "value", F.timestamp_micros("at").alias("sampled_at"))
+    return stored(samples.select(*keys, "value", F.timestamp_micros("at").alias("sampled_at")))
+
+
+def failure_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counters of the sinks' failures: decisions that the store could not read, alerts not delivered."""
+    sent = decide(transactions(spark, sf_dir), processed_at=F.col("event_time"), keep=("seq",))
+    minute = F.expr(f"(unix_micros(event_time) - {EPOCH_2024_US}) div 60000000")
+    per_minute = sent.groupBy(minute.alias("minute")).agg(
+        F.count_if(F.col("seq") % 16 == 1).alias("unread"),
+        F.count_if(F.col("decision") == "decline").alias("undelivered"),
+    )
+    long = per_minute.select(
+        "minute",
+        F.expr(
+            "stack(2, 'store_failures', 'validation', unread,"
+            " 'alert_failures', 'webhook', undelivered) AS (metric, label, added)"
+        ),
+    )
+    return _counters(long, ["metric", "label"])
+
+
+def bucket_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cumulative buckets of a duration histogram per route, as running counters."""
+    minute = F.expr(f"(unix_micros(started_at) - {EPOCH_2024_US}) div 60000000")
+    bounds = (*DURATION_BUCKETS, INFINITE)
+    counts = request_log(spark, sf_dir).groupBy("route", minute.alias("minute")).agg(
+        *[F.count_if(F.col("seconds") <= bound).alias(f"b{i}") for i, bound in enumerate(bounds)]
     )
+    pairs = [F.struct(F.lit(bound).alias("le"), F.col(f"b{i}").alias("added")) for i, bound in enumerate(bounds)]
+    return _counters(counts.select("route", "minute", F.inline(F.array(*pairs))), ["route", "le"])
 
 
 def request_log(spark: SparkSession, sf_dir: str) -> DataFrame:

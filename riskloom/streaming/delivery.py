@@ -12,33 +12,50 @@ from riskloom.config import DEFAULTS, Settings
 OUTCOME = "attempts int, delivered boolean"
 
 
-def attempt(
+def attempt_all(
     deliver: Callable[[str], None],
-    payload: str,
+    payloads: list[str],
     max_attempts: int,
     backoff_seconds: float,
     sleep: Callable[[float], None] = time.sleep,
-) -> tuple[int, bool]:
-    """Calls `deliver` until it does not raise; waits twice as long after each failure.
+) -> list[tuple[int, bool]]:
+    """Calls `deliver` for all payloads, waits, and calls it again for those that raised.
 
-    There is no wait after the last attempt.
+    The wait doubles after each round and is taken once for all that failed; there is none after the last.
     """
+    outcome = [(max_attempts, False)] * len(payloads)
+    waiting = list(range(len(payloads)))
     for number in range(1, max_attempts + 1):
-        try:
-            deliver(payload)
-            return number, True
-        except Exception:
-            if number < max_attempts:
-                sleep(backoff_seconds * 2 ** (number - 1))
-    return max_attempts, False
+        failed = []
+        for i in waiting:
+            try:
+                deliver(payloads[i])
+                outcome[i] = (number, True)
+            except Exception:
+                failed.append(i)
+        waiting = failed
+        if not waiting:
+            break
+        if number < max_attempts:
+            sleep(backoff_seconds * 2 ** (number - 1))
+    return outcome
+
+
+def attempt(
+    deliver: Callable[[str], None],
+    payload: str,
+    max_attempts: int,
+    backoff_seconds: float,
+    sleep: Callable[[float], None] = time.sleep,
+) -> tuple[int, bool]:
+    """The same for one payload."""
+    return attempt_all(deliver, [payload], max_attempts, backoff_seconds, sleep)[0]
 
 
 def _attempt_batches(batches, deliver, max_attempts, backoff_seconds, sleep):
     for batch in batches:
-        tried = [
-            attempt(deliver, bytes(value).decode(), max_attempts, backoff_seconds, sleep)
-            for value in batch["value"]
-        ]
+        payloads = [bytes(value).decode() for value in batch["value"]]
+        tried = attempt_all(deliver, payloads, max_attempts, backoff_seconds, sleep)
         yield batch.assign(
             attempts=pd.Series([t[0] for t in tried], dtype="int32", index=batch.index),
             delivered=[t[1] for t in tried],

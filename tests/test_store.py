@@ -112,6 +112,17 @@ def test_table_over_batches_replays_and_compaction(make, spark, tmp_path):
     assert as_set(store.read_table(spark, root))[:3] == expected
 
 
+def test_marks_stay_one_row_per_query(make, spark, tmp_path):
+    root = str(tmp_path / "table")
+    for batch in range(3):
+        store.write_delta(decided(make, {}), root, "q1", batch)
+        version = store.compact(spark, root)
+    store.write_delta(decided(make, {}), root, "q2", 0)
+    assert [(d[0], d[1]) for d in store._open_deltas(spark, root, {"q1": 2})] == [("q2", 0)]
+    marks = spark.read.json(f"{root}/folded/v={version}").collect()
+    assert [(m["query"], m["batch"]) for m in marks] == [("q1", 2)]
+
+
 def test_unfinished_base_is_not_read(make, spark, tmp_path):
     root = str(tmp_path / "table")
     store.write_delta(decided(make, {}), root, "q1", 0)

@@ -14,7 +14,7 @@ from riskloom.operators import dead_letter, store
 from riskloom.plans.batch import decide
 from riskloom.sources.topics import Topics
 from riskloom.streaming import jobs
-from riskloom.streaming.delivery import attempt, deliver_alerts
+from riskloom.streaming.delivery import attempt, attempt_all, deliver_alerts
 
 from conftest import BASE
 from test_features import fold, random_events
@@ -233,6 +233,19 @@ def test_attempts_wait_longer_each_time():
     assert len(calls) == 3 and waits == [0.5, 1.0]
 
 
+def test_failed_alerts_share_one_wait():
+    calls, waits = [], []
+
+    def deliver(payload):
+        calls.append(payload)
+        if payload == "never" or (payload == "late" and calls.count("late") < 2):
+            raise RuntimeError
+
+    found = attempt_all(deliver, ["never", "now", "late"], 3, 0.5, waits.append)
+    assert found == [(3, False), (1, True), (2, True)]
+    assert waits == [0.5, 1.0] and calls.count("now") == 1
+
+
 def test_delivery_keeps_every_alert(spark):
     frame = spark.range(50).select("id", F.col("id").cast("string").cast("binary").alias("value"))
 
