@@ -1,14 +1,17 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
 Words are lower-cased runs between white space and ASCII punctuation.  Items are taken in blocks of
 bounded size, and all documents are searched against each block:
-1. the items' n-grams (seeds) are counted over all documents;
-2. an item's seeds that are far more frequent than its median seed say nothing and are dropped: a copied
-   item raises all its seeds, so its copies cannot hide it;
-3. each run of an item's seeds in a document, widened by the item's length on both sides, is aligned
-   with the item: 2 for an equal word, -1 for another, -1 for a missing one.  The score over that of the
-   item with itself says how much of it is there, edits included.
-Alignments of all candidates of an item run together, row by row of the table.
+1. the items' n-grams (seeds) are looked up in each document, every one of them: how often a seed occurs
+   elsewhere says nothing about this document, so results do not depend on the size of the corpus;
+2. each run of an item's seeds in a document, widened on both sides by the most words that an alignment
+   reaching the score can span, is a window.  Frequent seeds make many windows, and most of them lack the
+   words of the item: the score is at most 2 for each word of the item that the window has, so what
+   stays under the score by this bound is left out without loss;
+3. the others are aligned with the item: 2 for an equal word, -1 for another, -1 for a missing one.  The
+   score over that of the item with itself says how much of it is there, edits included.
+Found is every place that reaches the score and has a seed unchanged.  Alignments of all candidates of an
+item run together, row by row of the table.
 
 Defined cases: null texts and items are empty; an item without words matches nothing; one shorter than a
 seed is its own seed; rows that repeat id and text give equal rows, of which one is returned per item;
@@ -30,10 +33,10 @@ from riskloom.session import stored
 
 SEED = 3
 MIN_SCORE = 0.5
-# How much more frequent than the item's median a seed may be, and what is never too frequent.
-RARE, ALWAYS_RARE = 4, 16
 # Characters of items in a block: what the driver and every task hold.
 BLOCK_CHARS = 4_000_000
+# Cells of a row of alignments that run together, and how many windows at most.
+ROW_CELLS, TOGETHER = 1_000_000, 256
 WORD_CACHE = 200_000
 MATCH, OTHER, GAP = 2, -1, 1
 
@@ -92,18 +95,13 @@ class Seeds:
         return np.concatenate(places), np.concatenate(numbers)
 
 
-def seeds_of(items: list[str], size: int, frequency: dict[int, int] | None = None) -> Seeds | None:
-    """The items' seeds; with their frequencies in the corpus, only the rare ones."""
+def seeds_of(items: list[str], size: int) -> Seeds | None:
+    """All seeds of the items."""
     words = [word_hashes(t) for t in items]
     rows = []
     for i, w in enumerate(words):
         h = grams(w, min(size, len(w))) if len(w) else w
-        if frequency is not None and len(h):
-            f = np.array([frequency.get(int(x), 0) for x in h])
-            h_keep = f <= max(ALWAYS_RARE, RARE * float(np.median(f)))
-        else:
-            h_keep = np.ones(len(h), bool)
-        rows += [(int(h[p]), i, p) for p in np.flatnonzero(h_keep).tolist()]
+        rows += [(x, i, p) for p, x in enumerate(h.tolist())]
     if not rows:
         return None
     h, item, place = (np.array(c, t) for c, t in zip(zip(*rows, strict=True), ("u8", "i8", "i8"), strict=True))
@@ -134,7 +132,14 @@ def smith_waterman(item: np.ndarray, windows: np.ndarray, lengths: np.ndarray) -
     return best, end
 
 
-def regions(places: np.ndarray, numbers: np.ndarray, seeds: Seeds) -> Iterator[tuple[int, int, int]]:
+def longest(words: int, min_score: float) -> int:
+    """Words that an alignment with an item of `words` words spans at most when it reaches the score."""
+    return words + int(max(0.0, 1 - min_score) * MATCH * words / GAP)
+
+
+def regions(
+    places: np.ndarray, numbers: np.ndarray, seeds: Seeds, min_score: float
+) -> Iterator[tuple[int, int, int]]:
     """(item, start, end) of the windows of a text, in words, that its seeds point to."""
     n = seeds.first[numbers + 1] - seeds.first[numbers]
     at = np.repeat(places, n)
@@ -146,17 +151,26 @@ def regions(places: np.ndarray, numbers: np.ndarray, seeds: Seeds) -> Iterator[t
     new = np.flatnonzero((np.diff(item) != 0) | (np.diff(at) > length[1:])) + 1
     cuts = np.concatenate([[0], new, [len(at)]]).tolist()
     for start, end in zip(cuts[:-1], cuts[1:], strict=True):
-        reach = int(length[start]) + SEED
+        reach = longest(int(length[start]), min_score)
         yield int(item[start]), max(0, int(at[start]) - reach), int(at[end - 1]) + reach
 
 
+def reachable(item: np.ndarray, window: np.ndarray, min_score: float) -> bool:
+    """Whether the window has enough words of the item, in any order, to reach the score."""
+    return np.isin(item, window).sum() * MATCH >= min_score * MATCH * len(item)
+
+
 def _aligned(candidates: dict[int, list], seeds: Seeds, min_score: float):
     """(row, item, score, start, end) of candidates that reach the score."""
     for i, found in candidates.items():
         item = seeds.words[i]
         found.sort(key=lambda c: len(c[2]))
-        for lo in range(0, len(found), 256):
-            part = found[lo : lo + 256]
+        lo = 0
+        while lo < len(found):
+            hi = lo + 1
+            while hi < len(found) and hi - lo < TOGETHER and (hi + 1 - lo) * len(found[hi][2]) <= ROW_CELLS:
+                hi += 1
+            part, lo = found[lo:hi], hi
             lengths = np.array([len(c[2]) for c in part])
             windows = np.zeros((len(part), lengths.max()), np.uint64)
             for k, (_, _, w) in enumerate(part):
@@ -169,23 +183,6 @@ def _aligned(candidates: dict[int, list], seeds: Seeds, min_score: float):
                 yield row, i, float(best[k] / (MATCH * len(item))), offset + int(end[k] - length[0]), offset + int(end[k])
 
 
-def _counted(docs: DataFrame, seeds: Seeds) -> dict[int, int]:
-    """In how many documents each seed of the block occurs."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(len(seeds.hashes), np.int64)
-        for batch in in_slices(batches):
-            for text in batch.column("text"):
-                total[np.unique(seeds.find(word_hashes(text.as_py()))[1])] += 1
-        there = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(seeds.hashes[there].view(np.int64)), pa.array(total[there])], ["seed", "n"]
-        )
-
-    rows = docs.select("text").mapInArrow(count, "seed long, n long").groupBy("seed").agg(F.sum("n").alias("n"))
-    return {r["seed"] & (2**64 - 1): r["n"] for r in rows.collect()}  # at most the block's seeds
-
-
 def contaminated(
     docs: DataFrame,
     items: DataFrame,
@@ -211,11 +208,9 @@ def contaminated(
     for block in range(blocks):
         part = table.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == block).collect()
         names, written = [r["item_id"] for r in part], [r["text"] for r in part]
-        everything = seeds_of(written, seed)
-        if everything is None:
-            continue
-        rare = seeds_of(written, seed, _counted(texts, everything))
-        found = found.unionByName(_search(texts, names, rare, min_score, schema))
+        seeds = seeds_of(written, seed)
+        if seeds is not None:
+            found = found.unionByName(_search(texts, names, seeds, min_score, schema))
     best = F.max(F.struct("score", "first_word", "end_word")).alias("best")
     return found.groupBy("id", "text_hash", "item_id").agg(best).select(
         "id", "text_hash", "item_id", "best.score", "best.first_word", "best.end_word"
@@ -230,8 +225,9 @@ def _search(texts: DataFrame, names: list, seeds: Seeds, min_score: float, schem
                 words = word_hashes(text.as_py())
                 places, numbers = seeds.find(words)
                 if len(places):
-                    for item, start, end in regions(places, numbers, seeds):
-                        candidates.setdefault(item, []).append((row, start, words[start:end]))
+                    for item, start, end in regions(places, numbers, seeds, min_score):
+                        if reachable(seeds.words[item], words[start:end], min_score):
+                            candidates.setdefault(item, []).append((row, start, words[start:end]))
             rows = list(_aligned(candidates, seeds, min_score))
             take = pa.array([r[0] for r in rows], pa.int32())
             yield pa.RecordBatch.from_arrays(

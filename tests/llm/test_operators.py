@@ -442,6 +442,35 @@ def test_copies_and_edits_are_found_and_clean_texts_left(spark):
     assert decontam.contaminated(docs, bench.limit(0)).collect() == []
 
 
+def test_edited_variants_are_found_however_many_carry_them(spark):
+    rng = random.Random(11)
+    items, rows = [], []
+    for carriers in (1, 16, 17, 500):
+        for step in (4, 5):
+            items.append(prose(rng, 40))
+            words = [f"new{k}" if k % step == step - 1 else w for k, w in enumerate(items[-1].split())]
+            rows += [f"{prose(rng, 9)} {' '.join(words)} {prose(rng, 9)}" for _ in range(carriers)]
+    # Half an item, and one with as many words put between its own as the score allows.
+    rows += [f"{prose(rng, 9)} {' '.join(items[0].split()[:21])}" for _ in range(20)]
+    words = items[1].split()
+    rows += [" ".join(words[:4] + [w for k, v in enumerate(words[4:]) for w in (f"more{k}", v)]) for _ in range(20)]
+    rows += [prose(rng, 60) + " " + " ".join(items[k % 8].split()[:3]) for k in range(40)]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    found = {(r["id"], r["item_id"]): r["score"] for r in decontam.contaminated(docs, bench).collect()}
+    hashed = [decontam.word_hashes(t) for t in rows]
+    lengths = np.array([len(w) for w in hashed])
+    windows = np.zeros((len(rows), lengths.max()), np.uint64)
+    for k, w in enumerate(hashed):
+        windows[k, : len(w)] = w
+    expected = {}
+    for i, item in enumerate(items):
+        scores = decontam.smith_waterman(decontam.word_hashes(item), windows, lengths)[0] / 80
+        expected |= {(k, i): scores[k] for k in np.flatnonzero(scores >= 0.5).tolist()}
+    assert len(expected) >= 2 * (1 + 16 + 17 + 500) + 40
+    assert found == expected
+
+
 def test_alignment_equals_the_plain_table():
     rng = np.random.default_rng(1)
     for _ in range(30):
