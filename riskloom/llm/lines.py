@@ -3,9 +3,12 @@ r"""Substring dedup by hashing lines, paragraphs or sentences.
 Texts are cut into units: at blank lines (`paragraph`), at line breaks (`line`), or at line
 breaks and after sentence ends (`sentence`, the default: passages that were pasted into the
 middle of a line are found, too).  Units are normalised (lower case, runs of white space as
-one blank) and digested to 128 bits.  The digests of units of `min_words` words or more
-are grouped over all documents; the occurrence in the smallest id stays, the first one there,
-and all others are removed with the separator behind them.  Shorter units stay: they repeat by
+one blank).  What repeats is a run of neighbouring units, over line breaks and blank lines, too, that has
+`min_words` words or more together: one long sentence, a line of short ones, or a passage of them.
+Digested to 128 bits are the shortest such runs, from each unit on and up to each unit: they cover every
+longer run.  The digests are grouped over all documents; the occurrence in the smallest id stays, the first
+one there, and all others are removed with the separator behind them.  A run that overlaps its first
+occurrence in a text is no repeat of it.  What repeats with fewer words stays: it does so by
 nature.  The digests are pre-aggregated to one smallest and largest id, so a line that a
 third of all documents share is a few rows per task.
 
@@ -15,7 +18,9 @@ stays, but for repeats within a text; empty tables give empty results; other col
 """
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -44,27 +49,44 @@ def units(text: str, unit: str = "sentence") -> Iterator[tuple[int, int, list[st
         yield at, len(text), text[at:].lower().split()
 
 
-def digest(words: list[str]) -> bytes:
-    return xxhash.xxh3_128_digest(" ".join(words).encode())
+def runs(lengths: list[int], min_words: int) -> list[tuple[int, int]]:
+    """First and last unit of the shortest runs of `min_words` words, from each unit on and up to each."""
+    before = [0, *accumulate(lengths)]
+    found = set()
+    for i in range(len(lengths)):
+        if lengths[i] >= min_words:
+            found.add((i, i))
+            continue
+        last = bisect_left(before, before[i] + min_words) - 1
+        if last < len(lengths):
+            found.add((i, last))
+        first = bisect_right(before, before[i + 1] - min_words) - 1
+        if first >= 0:
+            found.add((first, i))
+    return sorted(found)
+
+
+def digest(units: list[str]) -> bytes:
+    return xxhash.xxh3_128_digest("\n".join(units).encode())
 
 
 def digested(docs: DataFrame, unit: str, min_words: int) -> DataFrame:
-    """The units long enough: id, text_hash, start, end, repeat (not the text's first), h1, h2."""
+    """The shortest runs: id, text_hash, start, end, repeat (behind the text's first), h1, h2."""
     names = ["id", "text_hash", "start", "end", "repeat", "h1", "h2"]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_slices(batches):
             rows, spans, repeats, digests = [], [], [], []
             for row, text in enumerate(batch.column("text")):
-                seen = set()
-                for start, end, words in units(text.as_py(), unit):
-                    if len(words) >= min_words:
-                        d = digest(words)
-                        rows.append(row)
-                        spans.append((start, end))
-                        repeats.append(d in seen)
-                        digests.append(d)
-                        seen.add(d)
+                there = [u for u in units(text.as_py(), unit) if len(u[2]) >= min(1, min_words)]
+                written = [" ".join(words) for _, _, words in there]
+                seen: dict[bytes, int] = {}
+                for i, j in runs([len(words) for _, _, words in there], min_words):
+                    d = digest(written[i : j + 1])
+                    rows.append(row)
+                    spans.append((there[i][0], there[j][1]))
+                    repeats.append(seen.setdefault(d, j) < i)
+                    digests.append(d)
             at = np.array(spans, np.int32).reshape(-1, 2)
             h = np.array([np.frombuffer(d, np.int64) for d in digests], np.int64).reshape(-1, 2)
             take = pa.array(rows, pa.int32())
@@ -81,7 +103,7 @@ def digested(docs: DataFrame, unit: str, min_words: int) -> DataFrame:
 
 
 def removals(docs: DataFrame, unit: str = "sentence", min_words: int = MIN_WORDS) -> DataFrame:
-    """Per document with any: id, text_hash, spans (start and end of every unit to remove, in order).
+    """Per document with any: id, text_hash, spans (start and end of every run to remove, in order).
 
     `docs` has the columns of `common.documents`.
     """
@@ -107,10 +129,10 @@ def removals(docs: DataFrame, unit: str = "sentence", min_words: int = MIN_WORDS
 def dedup(
     docs: DataFrame, unit: str = "sentence", min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """Per row of `docs`: doc_id, n_removed, removed_chars, spans, kept_text.
+    """Per row of `docs`: doc_id, n_removed (units with words), removed_chars, spans, kept_text.
 
     `spans` are `start:end` of the removed units in the original text, code points, end
-    exclusive, neighbours joined; what lies between them is `kept_text`, in order, so every kept
+    exclusive, neighbours and overlaps joined; what lies between them is `kept_text`, in order, so every kept
     character's original place follows from them.
     """
     texts = documents(docs, id_col, text_col)
@@ -125,17 +147,17 @@ def dedup(
             for text, spans in zip(batch.column("text"), batch.column("spans").to_pylist(), strict=True):
                 text, merged, at, parts = text.as_py(), [], 0, []
                 for span in spans or ():
-                    if merged and merged[-1][1] == span["start"]:
-                        merged[-1][1] = span["end"]
+                    if merged and merged[-1][1] >= span["start"]:
+                        merged[-1][1] = max(merged[-1][1], span["end"])
                     else:
                         merged.append([span["start"], span["end"]])
                 for start, end in merged:
                     parts.append(text[at:start])
                     at = end
                 kept = "".join([*parts, text[at:]])
-                rows.append(
-                    (len(spans or ()), len(text) - len(kept), ",".join(f"{s}:{e}" for s, e in merged), kept)
-                )
+                # A run starts and ends with units, so each span cuts into the same units as the text.
+                removed = sum(len(words) >= min(1, min_words) for s, e in merged for _, _, words in units(text[s:e], unit))
+                rows.append((removed, len(text) - len(kept), ",".join(f"{s}:{e}" for s, e in merged), kept))
             types = [pa.int64(), pa.int64(), pa.string(), pa.string()]
             columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)]
             yield pa.RecordBatch.from_arrays(

@@ -209,6 +209,41 @@ def test_units_later_than_the_first_go(docs, empty):
     assert lines.dedup(docs, unit="paragraph").count() == docs.count()
 
 
+def test_repeated_runs_of_short_sentences_go(spark):
+    rng = random.Random(3)
+    short = [f"{prose(rng, k)}." for k in (1, 2, 3, 3, 4, 5, 7, 9)]
+    line = "Yes it is. No it is not. We see. Ask us."
+    passage = " ".join(f"{prose(rng, 4)}." for _ in range(15))
+    rows = [f"{prose(rng, 12)}\n{line}\n{prose(rng, 9)}. {passage} {prose(rng, 12)}\n" for _ in range(12)]
+    for _ in range(60):
+        rows.append("".join(rng.choice(short) + rng.choice("  \n") for _ in range(rng.randint(1, 14))))
+    rows += ["A b. " * 9, "A b. " * 4 + "\n\n" + "A b.", "Thank you.", "Thank you."]
+    expected, earlier, gone_units = [], set(), []
+    for text in rows:
+        there = [u for u in lines.units(text) if u[2]]
+        every = [
+            (i, j, tuple(" ".join(u[2]) for u in there[i : j + 1]))
+            for i in range(len(there))
+            for j in range(i, len(there))
+            if sum(len(u[2]) for u in there[i : j + 1]) >= lines.MIN_WORDS
+        ]
+        first, gone, units = {}, set(), set()
+        for i, j, run in every:
+            if run in earlier or first.setdefault(run, j) < i:
+                gone |= set(range(there[i][0], there[j][1]))
+                units |= set(range(i, j + 1))
+        earlier |= {run for _, _, run in every}
+        expected.append("".join(c for k, c in enumerate(text) if k not in gone))
+        gone_units.append(len(units))
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").repartition(3)
+    found = sorted(lines.dedup(docs).collect(), key=lambda r: r["doc_id"])
+    assert [r["kept_text"] for r in found] == expected
+    assert [r["n_removed"] for r in found] == gone_units
+    assert line in found[0]["kept_text"] and passage in found[0]["kept_text"]
+    for r in found[1:12]:
+        assert line not in r["kept_text"] and not any(s in r["kept_text"] for s in re.findall(r"[^.]+\.", passage))
+
+
 def test_offsets_point_into_the_original(docs):
     texts = dict(plain(docs))
     for row in lines.dedup(docs).where("doc_id <> 2").collect():
