@@ -21,16 +21,19 @@ def classify_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group: five-word shingles, 80 of 100; of repeated rows, one."""
+    """Keeps one document of each group: five-word shingles, 80 of 100; of repeated rows, one.
+
+    That is the one with the smallest id, missing ids last, also where ids repeat.  Documents without words stay.
+    """
     found = minhash.near_duplicates(docs)
     counts = found.groupBy("id", "text_hash").agg(
-        F.count("*").alias("rows"), F.min("kept").alias("kept"), F.max("n_shingles").alias("shingles")
+        F.count("*").alias("rows"), F.min("chosen").alias("chosen"), F.max("n_shingles").alias("shingles")
     )
-    odd = counts.where("NOT kept OR (rows > 1 AND shingles > 0)").select("id", "text_hash", "kept")
+    odd = counts.where("NOT chosen OR (rows > 1 AND shingles > 0)").select("id", "text_hash", "chosen")
     rows = by_document(docs)
     names = docs.columns
     plain = rows.join(odd, same_document(rows, odd), "left_anti").select(names)
-    again = odd.where("kept")
+    again = odd.where("chosen")
     repeated = rows.join(again, same_document(rows, again), "left_semi")
     one = Window.partitionBy("__id", "__hash").orderBy(F.lit(0))
     first = repeated.withColumn("__n", F.row_number().over(one)).where("__n = 1").select(names)

@@ -292,7 +292,11 @@ def near_duplicates(
     docs: DataFrame, size: int = 5, percent: int = 80, permutations: int = 64, id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """Per row of `docs`: id, text_hash, n_shingles, component_id, kept."""
+    """Per row of `docs`: id, text_hash, n_shingles, component_id, kept, chosen.
+
+    `chosen` is one document of each component, also where ids are missing or repeated: that with the
+    smallest id, missing ones last, and of its texts with the smallest hash.
+    """
     texts = documents(docs, id_col, text_col)
     rows = stored(sketches(texts, size, permutations))
     classes = rows.where("n > 0").groupBy("set_id").agg(
@@ -326,13 +330,20 @@ def near_duplicates(
     sets = stored(members.mapInArrow(full, "family long, node long, n long, set binary"))
     grouped = components(verified(sets, percent))
     labelled = nodes.join(grouped, "node", "left").select(
-        "set_id", "id", F.coalesce("root", "node").alias("root")
+        "set_id", "id", "text_hash", F.coalesce("root", "node").alias("root")
+    )
+    smallest = labelled.groupBy("root").agg(
+        F.min(F.struct(F.col("id").isNull().alias("none"), "id", "text_hash")).alias("one")
+    )
+    of_set = labelled.join(smallest, "root").select(
+        "set_id", F.col("one.id").alias("component_id"), F.col("one.text_hash").alias("chosen_hash")
+    )
+    answers = rows.where("n > 0").join(of_set, "set_id").select("id", "text_hash", "n", "component_id", "chosen_hash")
+    alone = rows.where("n = 0").select(
+        "id", "text_hash", "n", F.col("id").alias("component_id"), F.col("text_hash").alias("chosen_hash")
     )
-    smallest = labelled.groupBy("root").agg(F.min("id").alias("component_id"))
-    of_set = labelled.join(smallest, "root").select("set_id", "component_id")
-    answers = rows.where("n > 0").join(of_set, "set_id").select("id", "text_hash", "n", "component_id")
-    alone = rows.where("n = 0").select("id", "text_hash", "n", F.col("id").alias("component_id"))
     return answers.unionByName(alone).select(
         "id", "text_hash", F.col("n").alias("n_shingles"), "component_id",
         F.col("id").eqNullSafe(F.col("component_id")).alias("kept"),
+        (F.col("id").eqNullSafe(F.col("component_id")) & (F.col("text_hash") == F.col("chosen_hash"))).alias("chosen"),
     )

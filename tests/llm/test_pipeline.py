@@ -76,6 +76,20 @@ def test_repeated_rows_leave_one(spark):
     assert sorted(str(r["doc_id"]) for r in kept.collect()) == ["1", "3", "3", "4", "None"]
 
 
+def test_missing_and_repeated_ids_leave_one_of_a_group(spark):
+    groups = [" ".join(f"{name}{k}" for k in range(40)) for name in "abc"]
+    rows = [(None, groups[0]), (None, groups[0] + " more"), (None, groups[0])]
+    rows += [(7, groups[1]), (7, groups[1] + " more"), (9, groups[1] + " else")]
+    rows += [(None, groups[2]), (8, groups[2] + " more"), (None, ""), (None, " ")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [(r["doc_id"], r["text"]) for r in corpus_pipeline.drop_near_duplicates(spark, docs, SF).collect()]
+    assert set(kept) <= set(rows)
+    of = {name: [r for r in kept if r[1].startswith(name)] for name in "abc"}
+    assert [len(of[name]) for name in "abc"] == [1, 1, 1]
+    assert of["b"][0][0] == 7 and of["c"] == [(8, groups[2] + " more")]
+    assert sorted(t for _, t in kept if not t.strip()) == ["", " "]
+
+
 def test_queries_are_registered():
     assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
     assert set(QUERIES) | {"pipeline"} <= set(entry_points.queries())
