@@ -5,8 +5,8 @@ sequence length.  Full pieces are sequences of their own.  The others are dealt
 shards of about SHARD pieces (a random share of all lengths, which costs at most about one
 sequence per shard), and each shard is packed best-fit first, largest pieces first.  Local search
 then works on the underfull sequences: pieces of the emptiest one are moved to, or
-exchanged one-for-one or two-for-one with, others where that raises the sum of squared fills,
-until it is empty or nothing helps.
+exchanged one-for-one or two-for-one with, any of the others where that raises the sum of squared fills,
+until it is empty or nothing helps, and so on with the next, until a lower bound is reached or all were tried.
 
 Defined cases: null or empty text is one piece, the end id; every row is packed, repeated ones each on
 their own; ties in length go by row; a text is tokenised whole, word by word, with a bounded cache;
@@ -138,59 +138,126 @@ def best_fit(lengths: np.ndarray, capacity: int) -> list[list[int]]:
     return bins
 
 
-def local_search(bins: list[list[int]], lengths: np.ndarray, capacity: int, near: int = 64) -> list[list[int]]:
-    """Empties the least filled bins by moves and exchanges that raise the sum of squared fills.
-
-    A piece of the emptiest bin goes to another bin, for nothing, for one smaller piece, or for two
-    that are smaller together.  Of the underfull bins the `near` with most room are looked at per piece.
+def least_bins(lengths: np.ndarray, capacity: int) -> int:
+    """A number of bins below which the pieces cannot be packed (the bound L2 of Martello and Toth)."""
+    sizes = np.sort(np.asarray(lengths, np.int64))
+    total = np.concatenate([[0], np.cumsum(sizes)])
+    half = np.searchsorted(sizes, capacity // 2, side="right")
+    small = np.unique(np.concatenate([[0], sizes[:half]]))
+    large = np.maximum(np.searchsorted(sizes, capacity - small, side="right"), half)
+    room = (large - half) * capacity - (total[large] - total[half])
+    rest = total[half] - total[np.searchsorted(sizes, small)]
+    return int((len(sizes) - half + np.maximum(0, -(-(rest - room) // capacity))).max())
+
+
+class _Underfull:
+    """The pieces of bins as one sorted array of (bin, size), searched for all bins at once."""
+
+    def __init__(self, bins, size, fill, capacity):
+        self.bins, self.size, self.fill, self.capacity = bins, size, fill, capacity
+        self.keys = self.pieces = self.bin_of = self.sizes = np.empty(0, np.int64)
+        self.open = np.zeros(len(bins), bool)
+
+    def add(self, b: int) -> None:
+        self.add_all([b])
+
+    def add_all(self, some: list[int]) -> None:
+        self.open[some] = True
+        pieces = np.array([i for b in some for i in self.bins[b]], np.int64)
+        bin_of, sizes = np.repeat(some, [len(self.bins[b]) for b in some]), self.size[pieces]
+        order = np.lexsort((sizes, bin_of))
+        pieces, bin_of, sizes = pieces[order], bin_of[order], sizes[order]
+        keys = bin_of * (self.capacity + 1) + sizes
+        at = np.searchsorted(self.keys, keys)
+        self.keys, self.pieces = np.insert(self.keys, at, keys), np.insert(self.pieces, at, pieces)
+        self.bin_of, self.sizes = np.insert(self.bin_of, at, bin_of), np.insert(self.sizes, at, sizes)
+
+    def remove(self, b: int) -> None:
+        self.open[b] = False
+        gone = slice(*np.searchsorted(self.keys, [b * (self.capacity + 1), (b + 1) * (self.capacity + 1)]))
+        self.keys, self.pieces = np.delete(self.keys, gone), np.delete(self.pieces, gone)
+        self.bin_of, self.sizes = np.delete(self.bin_of, gone), np.delete(self.sizes, gone)
+
+    def best_step(self, size: int, above: int) -> tuple[int, tuple[int, ...]] | None:
+        """The bin, and the pieces it gives back, that end fullest, and over `above`, after taking a piece of `size`."""
+        best, most = None, above
+        fits = np.flatnonzero(self.open & (self.fill <= self.capacity - size))
+        if len(fits):
+            b = int(fits[self.fill[fits].argmax()])
+            if self.fill[b] + size > most:
+                best, most = (b, ()), int(self.fill[b]) + size
+        if most == self.capacity:
+            return best
+        keys, pieces, bins, sizes = self.keys, self.pieces, self.bin_of, self.sizes
+        after = self.fill[bins] + size
+        need = after - self.capacity
+        able = (need > 0) & (sizes < size)
+        one = np.flatnonzero(able & (sizes >= need))
+        if len(one):
+            e = one[(after[one] - sizes[one]).argmax()]
+            if after[e] - sizes[e] > most:
+                best, most = (int(bins[e]), (int(pieces[e]),)), int(after[e] - sizes[e])
+        if most == self.capacity:
+            return best
+        # The smallest partner that makes enough room, of the same bin.
+        two = np.flatnonzero(able & (sizes < need))
+        other = np.searchsorted(keys, keys[two] - 2 * sizes[two] + need[two])
+        other += other == two
+        two, other = two[other < len(keys)], other[other < len(keys)]
+        good = (bins[other] == bins[two]) & (sizes[two] + sizes[other] < size)
+        two, other = two[good], other[good]
+        if len(two):
+            end = after[two] - sizes[two] - sizes[other]
+            k = end.argmax()
+            if end[k] > most:
+                best = int(bins[two[k]]), (int(pieces[two[k]]), int(pieces[other[k]]))
+        return best
+
+
+def local_search(bins: list[list[int]], lengths: np.ndarray, capacity: int) -> list[list[int]]:
+    """Empties bins, the least filled first, by moves and exchanges that raise the sum of squared fills.
+
+    A piece goes to another underfull bin, for nothing, for one smaller piece, or for two that are smaller
+    together; all underfull bins are looked at.  Ends when there are as few bins as there can be, or when
+    every underfull bin has been tried.
     """
-    size = [int(s) for s in lengths]
-    fill = [sum(size[i] for i in b) for b in bins]
-    under = sorted((b for b in range(len(bins)) if fill[b] < capacity), key=lambda b: (-fill[b], b))
-    while under:
-        source = under.pop()
+    size = np.asarray(lengths, np.int64)
+    bins = sorted((list(b) for b in bins), key=lambda b: -size[b].sum())
+    fill = np.array([size[b].sum() for b in bins], np.int64)
+    spare = len(bins) - least_bins(size, capacity)
+    sources = np.flatnonzero(fill < capacity).tolist()
+    under = _Underfull(bins, size, fill, capacity)
+    if spare > 0:
+        under.add_all(sources)
+    while sources and spare > 0:
+        source = sources.pop()
+        if fill[source] == capacity:
+            continue
+        under.remove(source)
         improved = True
         while improved and bins[source]:
             improved = False
-            targets = [b for b in under if fill[b] < capacity][-near:]
-            for i in sorted(bins[source], key=lambda i: -size[i]):
-                step = _best_step(i, targets, bins, size, fill, capacity)
+            first = {int(size[i]): i for i in reversed(bins[source])}
+            for s in sorted(first, reverse=True):
+                step = under.best_step(s, int(fill[source]))
                 if step is None:
                     continue
-                target, back = step
-                moved = size[i] - sum(size[j] for j in back)
+                i, (target, back) = first[s], step
+                moved = s - sum(int(size[j]) for j in back)
+                under.remove(target)
                 bins[source] = [j for j in bins[source] if j != i] + list(back)
                 bins[target] = [j for j in bins[target] if j not in back] + [i]
                 fill[source] -= moved
                 fill[target] += moved
+                if fill[target] < capacity:
+                    under.add(target)
                 improved = True
                 break
         if bins[source]:
-            return [b for b in bins if b]  # the emptiest cannot be emptied: nothing is left to gain
-    return [b for b in bins if b]
-
-
-def _best_step(i, targets, bins, size, fill, capacity):
-    """The target, and what it gives back, that end fullest after taking piece `i`."""
-    best, most = None, 0
-    for target in targets:
-        room = capacity - fill[target]
-        if size[i] <= room:
-            options = [((), size[i])]
+            under.add(source)
         else:
-            inside = sorted(bins[target], key=lambda j: size[j])
-            one = [((j,), size[i] - size[j]) for j in inside]
-            two = [
-                ((j, k), size[i] - size[j] - size[k])
-                for a, j in enumerate(inside)
-                for k in inside[a + 1 :]
-                if size[j] + size[k] < size[i]
-            ] if len(inside) <= 64 else []
-            options = [(back, gain) for back, gain in one + two if 0 < gain <= room]
-        for back, gain in options:
-            if fill[target] + gain > most:
-                best, most = (target, back), fill[target] + gain
-    return best
+            spare -= 1
+    return [b for b in bins if b]
 
 
 def pack(parts: DataFrame, length: int = LENGTH, shard: int = SHARD) -> DataFrame:

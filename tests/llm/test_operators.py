@@ -307,6 +307,33 @@ def test_local_search_empties_a_bin():
     assert len(found) < len(start) and all(lengths[b].sum() <= 12 for b in found)
 
 
+def test_local_search_looks_at_all_bins_and_pairs():
+    # Only an exchange for two of 70 pieces empties the last bin.
+    lengths = np.array([10] * 68 + [100, 100, 800, 300])
+    assert len(packing.local_search([[*range(70)], [70], [71]], lengths, 1000)) == 2
+    # The emptiest bin cannot be emptied, the next ones can.
+    rng = random.Random(2)
+    lengths = np.array([rng.randint(1200, 1500) for _ in range(300)])
+    start = packing.best_fit(lengths, 4096)
+    found = packing.local_search(start, lengths, 4096)
+    assert sorted(i for b in found for i in b) == list(range(300)) and all(lengths[b].sum() <= 4096 for b in found)
+    assert len(found) <= 0.96 * len(start)
+
+
+def test_fewest_bins_are_not_overstated():
+    rng = random.Random(6)
+    for _ in range(60):
+        lengths = [rng.randint(1, 12) for _ in range(7)]
+
+        def fewest(rest, rooms):
+            if not rest:
+                return len(rooms)
+            tried = [fewest(rest[1:], rooms[:k] + [r - rest[0]] + rooms[k + 1 :]) for k, r in enumerate(rooms) if r >= rest[0]]
+            return min([*tried, fewest(rest[1:], [*rooms, 12 - rest[0]])])
+
+        assert -(-sum(lengths) // 12) <= packing.least_bins(np.array(lengths), 12) <= fewest(lengths, [])
+
+
 # --- near duplicates ------------------------------------------------------------------------------
 
 
