@@ -10,8 +10,8 @@ No pair of a bucket is listed.  The steps, with `node` a distinct set of shingle
 2. Buckets are read as sorted streams.  A set further than `TIGHT` from all leaders of its bucket becomes a
    leader; it is tied to those within `LOOSE`.  Distances between signatures obey the triangle
    inequality, so linked sets are tied to a common leader; only a spanning forest of the ties leaves.
-3. The ties' components are families.  Their full sets, each shuffled once, are cut into blocks of
-   bounded size, and each pair of blocks is searched in one task: prefix filter, then the exact
+3. The ties' components are families.  Their full sets are cut into blocks of bounded
+   size, and each pair of blocks is searched in one task, so a set is shuffled once per block of its family: prefix filter, then the exact
    Jaccard condition in integers; again only a spanning forest leaves.
 4. Components of the verified links are the result.
 
