@@ -40,3 +40,87 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     failures & 3 <> 0 AS base_failed, failures = 0 AS kept, failures
 FROM ledger
 """
+
+
+def _codes_sql(rounds: int = 6) -> str:
+    """Six rounds of assignment and floored means, one pair of tables after the other."""
+    distance = "list_sum(list_transform(range(1, len(q) + 1), lambda i: (q[i] - c[i]) * (q[i] - c[i])))"
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""
+assigned{r} AS MATERIALIZED (
+    SELECT vec_id, label, p, any_value(q) AS q, min({distance}::HUGEINT * 16 + book{r}.entry) AS best
+    FROM parts JOIN book{r} USING (p) GROUP BY vec_id, label, p)""")
+        if r < rounds:
+            steps.append(f"""
+means{r} AS MATERIALIZED (
+    SELECT p, entry, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY i) AS c FROM (
+        SELECT p, entry, i, sum(v) AS s, count(*) AS n FROM (
+            SELECT p, (best % 16)::BIGINT AS entry, unnest(q) AS v, unnest(range(len(q))) AS i FROM assigned{r})
+        GROUP BY p, entry, i)
+    GROUP BY p, entry),
+book{r + 1} AS MATERIALIZED (
+    SELECT p, entry, coalesce(means{r}.c, book{r}.c) AS c FROM book{r} LEFT JOIN means{r} USING (p, entry))""")
+    return f"""
+WITH kept AS (
+    SELECT vec_id, label, embedding AS e, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM embeddings
+    WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+parts AS MATERIALIZED (
+    SELECT vec_id, label, entry, p, list_transform(
+        list_slice(e, p * (len(e) // 8) + 1, (p + 1) * (len(e) // 8)), lambda x: floor(4096 * x::DOUBLE)::BIGINT) AS q
+    FROM (SELECT *, unnest(range(8)) AS p FROM kept)),
+book0 AS MATERIALIZED (SELECT p, entry, q AS c FROM parts WHERE entry < 16),{",".join(steps)},
+coded AS (
+    SELECT vec_id, label, string_agg(printf('%02x', (best % 16)::BIGINT), '' ORDER BY p) AS code,
+        sum(best // 16)::BIGINT AS error
+    FROM assigned{rounds} GROUP BY vec_id, label),
+digest AS (
+    SELECT sha256(string_agg(list_aggregate(c, 'string_agg', ','), ',' ORDER BY p, entry)) AS codebooks_sha256
+    FROM book{rounds})
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+FROM coded, digest
+"""
+
+
+CODES_SQL = _codes_sql()
+
+AUDIT_SQL = r"""
+WITH given AS (
+    SELECT doc_id, coalesce(text, '') AS t, coalesce(lang, '') AS part,
+        regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+least AS (SELECT t, min(doc_id) AS least FROM given GROUP BY t),
+marks AS (
+    SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id),
+failing AS (
+    SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+        (CASE WHEN len(words) < 100 THEN 1 ELSE 0 END
+        + CASE WHEN 100 * len(list_distinct(words)) < 80 * len(words) THEN 2 ELSE 0 END
+        + CASE WHEN 100 * len(regexp_extract_all(t, '[A-Z]')) > 10 * length(t) THEN 4 ELSE 0 END
+        + CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END
+        + CASE WHEN doc_id > least THEN 16 ELSE 0 END) AS mask
+    FROM given JOIN least USING (t) LEFT JOIN marks USING (doc_id)),
+cells AS (
+    SELECT part, mask, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM failing GROUP BY part, mask),
+letters AS (SELECT unnest(range(5)) AS k, unnest(['A', 'B', 'C', 'D', 'E']) AS letter),
+orders AS (
+    SELECT a.letter || b.letter || c.letter || d.letter || e.letter AS filter_order, [a.k, b.k, c.k, d.k, e.k] AS ks
+    FROM letters a, letters b, letters c, letters d, letters e
+    WHERE len(list_distinct([a.k, b.k, c.k, d.k, e.k])) = 5),
+steps AS (
+    SELECT filter_order, step, ks[step] AS k,
+        coalesce(list_sum(list_transform(ks[1:step - 1], lambda x: 1 << x)), 0)::BIGINT AS before
+    FROM (SELECT *, unnest(range(1, 6)) AS step FROM orders)),
+counted AS (
+    SELECT part, filter_order, step, k,
+        sum(CASE WHEN mask & (before | (1 << k)) = 0 THEN n ELSE 0 END) AS kept,
+        sum(CASE WHEN mask & before = 0 AND mask & (1 << k) <> 0 THEN n ELSE 0 END) AS removed,
+        sum(CASE WHEN mask & before <> 0 AND mask & (1 << k) <> 0 THEN n ELSE 0 END) AS redundant,
+        sum(CASE WHEN mask = (1 << k) THEN n ELSE 0 END) AS unique_fails,
+        sum(CASE WHEN mask & before = 0 AND mask & (1 << k) <> 0 THEN good ELSE 0 END) AS good_lost,
+        sum(CASE WHEN mask & before = 0 AND mask & (1 << k) <> 0 THEN toxic ELSE 0 END) AS toxic_lost
+    FROM cells, steps GROUP BY part, filter_order, step, k)
+SELECT part, filter_order, step::INT AS step, kept::BIGINT AS kept, removed::BIGINT AS removed,
+    redundant::BIGINT AS redundant, unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost,
+    toxic_lost::BIGINT AS toxic_lost, (sum(removed) OVER (PARTITION BY part, k))::BIGINT AS shapley
+FROM counted
+"""

@@ -3,8 +3,10 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import chat, decontam, lines, minhash, packing, quality, rules, secrets, suffixes, urls
-from riskloom.llm.oracle import RULES_SQL
+from riskloom.llm import (
+    audit, chat, codes, decontam, language, lines, minhash, packing, quality, rules, secrets, suffixes, urls,
+)
+from riskloom.llm.oracle import AUDIT_SQL, CODES_SQL, RULES_SQL
 from riskloom.session import stored
 
 QUERIES, ORACLES = {}, {}
@@ -98,3 +100,20 @@ def op9(spark, sf_dir):
 @query("op10_suffix_dedup")
 def op10(spark, sf_dir):
     return suffixes.dedup(table(spark, sf_dir, "documents"))
+
+
+@query("op11_language_id")
+def op11(spark, sf_dir):
+    """The language of every document; learnt outside the held-out fold."""
+    docs = table(spark, sf_dir, "documents")
+    return language.predict(docs, language.train(docs))
+
+
+@query("op12_vector_codes", CODES_SQL)
+def op12(spark, sf_dir):
+    return codes.compress(table(spark, sf_dir, "embeddings"))
+
+
+@query("op13_filter_audit", AUDIT_SQL)
+def op13(spark, sf_dir):
+    return audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

@@ -91,7 +91,7 @@ def test_missing_and_repeated_ids_leave_one_of_a_group(spark):
 
 
 def test_queries_are_registered():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(entry_points.queries())
 
 
@@ -99,7 +99,8 @@ def test_queries_are_registered():
 def test_query_equals_sql(spark, name):
     duckdb = pytest.importorskip("duckdb")
     connection = duckdb.connect()
-    connection.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
+    for name_of in ("documents", "embeddings", "labels"):
+        connection.execute(f"CREATE VIEW {name_of} AS SELECT * FROM '{SF}/{name_of}.parquet'")
     result = connection.execute(ORACLES[name])
     names = [c[0] for c in result.description]
     frame = QUERIES[name](spark, SF)
