@@ -1,14 +1,14 @@
 """Fits the scaler, the logistic model and its calibration, and exports the artifact."""
 
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.config import FEATURE_NAMES, Artifact
 from riskloom.functions.scoring import feature_values, raw_logit, with_probability
 from riskloom.operators.evaluation import ranking_quality, threshold_quality
+from riskloom.operators.logistic import fit_logistic
 from riskloom.operators.ordering import rows_at_ranks
+from riskloom.session import stored
 
 MINIMUM_ROWS = 1_000
 TRAIN_SHARE, CALIBRATION_END = 0.7, 0.8
@@ -71,27 +71,6 @@ def scaler(train: DataFrame) -> DataFrame:
     return train.agg(*means, *spreads)
 
 
-def _fit_logistic(rows: DataFrame, inputs: list[Column], weight: Column, count: int):
-    """Penalised logistic fit; the penalty is per summed weight, which equals the row count."""
-    data = rows.select(
-        array_to_vector(F.array(*inputs)).alias("features"),
-        F.col("label").cast("double").alias("target"),
-        weight.cast("double").alias("weight"),
-    )
-    estimator = LogisticRegression(
-        featuresCol="features",
-        labelCol="target",
-        weightCol="weight",
-        regParam=1.0 / (INVERSE_PENALTY * count),
-        elasticNetParam=0.0,
-        standardization=False,
-        tol=1e-12,
-        maxIter=1_000,
-    )
-    model = estimator.fit(data)
-    return [float(c) for c in model.coefficients], float(model.intercept)
-
-
 def _class_counts(rows: DataFrame) -> tuple[int, int]:
     found = rows.agg(F.count_if("label").alias("p"), F.count("*").alias("n")).first()
     if found.p in (0, found.n):
@@ -99,23 +78,24 @@ def _class_counts(rows: DataFrame) -> tuple[int, int]:
     return found.p, found.n
 
 
-def fit_balanced(train: DataFrame, mean: list[float], scale: list[float]):
+def fit_balanced(train: DataFrame, mean: list[float], scale: list[float]) -> tuple[list[float], float]:
     """Logistic fit on standardised inputs, both labels carrying equal total weight."""
     p, n = _class_counts(train)
-    inputs = [
-        (F.col(name) - F.lit(m)) / F.lit(s)
+    inputs = {
+        name: (F.col(name) - F.lit(m)) / F.lit(s)
         for name, m, s in zip(FEATURE_NAMES, mean, scale, strict=True)
-    ]
+    }
     weight = F.when(F.col("label"), n / (2.0 * p)).otherwise(n / (2.0 * (n - p)))
-    return _fit_logistic(train, inputs, weight, n)
+    fit = fit_logistic(train, inputs, F.col("label"), weight, 1 / INVERSE_PENALTY)
+    return fit.weights, fit.intercept
 
 
-def fit_platt(calibration: DataFrame, uncalibrated: Artifact):
+def fit_platt(calibration: DataFrame, uncalibrated: Artifact) -> tuple[float, float]:
     """Slope and offset that map the raw logit to a calibrated one."""
-    _, n = _class_counts(calibration)
+    _class_counts(calibration)
     logits = calibration.select(raw_logit(uncalibrated).alias("logit"), "label")
-    (slope,), offset = _fit_logistic(logits, [F.col("logit")], F.lit(1.0), n)
-    return slope, offset
+    fit = fit_logistic(logits, {"logit": F.col("logit")}, F.col("label"), F.lit(1.0), 1 / INVERSE_PENALTY)
+    return fit.weights[0], fit.intercept
 
 
 def train(
@@ -126,10 +106,11 @@ def train(
 ) -> dict:
     """Artifact document fitted on labelled feature rows in time order.
 
-    Pass a stored feature table: the fit reads it many times.  The split is by time, so
-    `seed` plays no part in the result and is only recorded.
+    The inputs are stored once, with their part of the split as the folder they are in: a fit
+    reads its own part in every step and nothing else.  The split is by time, so `seed` plays no
+    part in the result and is only recorded.
     """
-    rows = training_set(features)
+    rows = stored(training_set(features))
     size = rows.agg(
         F.count("*").alias("n"),
         F.avg(F.col("label").cast("double")).alias("rate"),
@@ -137,7 +118,7 @@ def train(
     ).first()
     if size.n < MINIMUM_ROWS:
         raise ValueError(f"{size.n} labelled rows, at least {MINIMUM_ROWS} are required")
-    split = rows.withColumn("split", split_column(rows, size.n))
+    split = stored(rows.withColumn("split", split_column(rows, size.n)), by=["split"])
     part = {name: split.where(F.col("split") == name) for name in ("train", "calibration", "test")}
 
     fitted = scaler(part["train"]).first()

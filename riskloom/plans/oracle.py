@@ -263,6 +263,42 @@ CTES = {
 CTES["fsteps"] = (["fm"], CTES["steps"][1].replace("FROM ms", "FROM fm"))
 
 
+
+
+def newton_sql(source: str, inputs: list[str], steps: int = 25) -> str:
+    """The body of a recursive table (step, w0, w1, ...) of Newton steps for a logistic fit; the last weight is the
+    intercept and the only one without penalty.  `source` has the inputs, `y` and `wt`.
+
+    A step sums up gradient and Hessian, and solves for the next weights by elimination, one unknown a layer.
+    """
+    n = len(inputs) + 1
+    terms = [*inputs, "1::DOUBLE"]
+    weights = ", ".join(f"w{i}" for i in range(n))
+    score = " + ".join(f"w{i} * {term}" for i, term in enumerate(terms))
+    ridge = [1.0] * (n - 1) + [0.0]
+    gradient = [f"sum(wt * (p - y) * {t}) + {r}::DOUBLE * w{i} AS b{i}" for i, (t, r) in enumerate(zip(terms, ridge, strict=True))]
+    bends = [
+        f"sum(wt * p * (1 - p) * {terms[i]} * {terms[j]}) + {ridge[i] if i == j else 0}::DOUBLE AS h{i}_{j}"
+        for i in range(n)
+        for j in range(n)
+    ]
+    layer = f"""SELECT step, {weights}, {", ".join(gradient + bends)}
+        FROM (SELECT *, 1 / (1 + exp(-({score}))) AS p FROM fit, {source}) WHERE step < {steps} GROUP BY step, {weights}"""
+    for k in range(n):
+        rest = [
+            f"h{i}_{j} - h{i}_{k} / h{k}_{k} * h{k}_{j} AS h{i}_{j}" for i in range(k + 1, n) for j in range(k + 1, n)
+        ]
+        rest += [f"b{i} - h{i}_{k} / h{k}_{k} * b{k} AS b{i}" for i in range(k + 1, n)]
+        done = [f"h{i}_{j}" for i in range(k + 1) for j in range(i, n)] + [f"b{i}" for i in range(k + 1)]
+        layer = f"SELECT step, {weights}, {', '.join(done + rest)} FROM ({layer})"
+    for k in reversed(range(n)):
+        known = "".join(f" - h{k}_{j} * d{j}" for j in range(k + 1, n))
+        layer = f"SELECT *, (b{k}{known}) / h{k}_{k} AS d{k} FROM ({layer})"
+    start = ", ".join(f"0::DOUBLE AS w{i}" for i in range(n))
+    after = ", ".join(f"w{i} - d{i}" for i in range(n))
+    return f"SELECT 0 AS step, {start} UNION ALL SELECT step + 1, {after} FROM ({layer})"
+
+
 def sql(statement: str, *needs: str) -> str:
     """`statement` with the common table expressions it needs, in dependency order."""
     ordered: list[str] = []

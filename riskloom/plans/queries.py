@@ -17,7 +17,7 @@ from riskloom.functions.text import alert_line
 from riskloom.operators import dead_letter, evaluation, monitoring, ops, store, training
 from riskloom.operators.features import with_feature_vector, with_features
 from riskloom.plans.batch import decide, decide_messages, score_transactions
-from riskloom.plans.oracle import EPOCH, MODEL, sql
+from riskloom.plans.oracle import EPOCH, MODEL, newton_sql, sql
 from riskloom.session import checkpoint_dir, prepare, stored
 from riskloom.sources import derived
 from riskloom.sources.tables import transactions
@@ -1016,16 +1016,67 @@ def q_artifact_diff(spark, sf_dir):
     return evaluation.artifact_differences(committed, candidate)
 
 
-@query("q_train_model")
+def _training_sql() -> str:
+    """The whole fit in SQL: scaler, balanced fit, calibration, and how it does on the test rows."""
+    names = range(len(config.FEATURE_NAMES))
+    scaled = ", ".join(f"(x{i} - m{i}) / s{i} AS z{i}" for i in names)
+    scales = ", ".join(
+        f"avg(x{i}) AS m{i}, CASE WHEN stddev_pop(x{i}) = 0 THEN 1 ELSE stddev_pop(x{i}) END AS s{i}" for i in names
+    )
+    last = len(config.FEATURE_NAMES)
+    logit = " + ".join([*(f"w{i} * z{i}" for i in names), f"w{last}"])
+    final = "(SELECT * FROM {0} ORDER BY step DESC LIMIT 1)"
+    numbers = [
+        *(f"SELECT 'scaler_mean', {i}, m{i} FROM scales" for i in names),
+        *(f"SELECT 'scaler_scale', {i}, s{i} FROM scales" for i in names),
+        *(f"SELECT 'coefficients', {i}, w{i} FROM weights" for i in names),
+        f"SELECT 'intercept', 0, w{last} FROM weights",
+        "SELECT 'calibration.a', 0, a FROM platt",
+        "SELECT 'calibration.b', 0, b FROM platt",
+        f"SELECT 'training.metrics.roc_auc', 0, round(roc_auc, 4) FROM ({AUC_SQL.replace('FROM lab', 'FROM tested')})",
+        "SELECT 'training.metrics.average_precision', 0, round(average_precision, 4) FROM "
+        f"({AP_SQL.replace('FROM lab', 'FROM tested')})",
+        *(f"SELECT 'training.metrics.confusion_matrix.{c}', 0, {c} FROM cells" for c in evaluation.CELLS),
+        """SELECT 'training.metrics.precision_at_0_5', 0, round(coalesce(true_positive::DOUBLE
+            / nullif(true_positive + false_positive, 0), 0), 4) FROM cells""",
+        """SELECT 'training.metrics.recall_at_0_5', 0, round(coalesce(true_positive::DOUBLE
+            / nullif(true_positive + false_negative, 0), 0), 4) FROM cells""",
+    ]
+    tables = f"""
+        parts AS MATERIALIZED (SELECT * FROM cut),
+        scales AS MATERIALIZED (SELECT {scales} FROM parts WHERE split = 'train'),
+        scaled AS MATERIALIZED (SELECT split, label, label::INT::DOUBLE AS y, {scaled} FROM parts, scales),
+        counts AS (SELECT count(*)::DOUBLE AS n, count(*) FILTER (WHERE label) AS p FROM parts WHERE split = 'train'),
+        balanced AS MATERIALIZED (SELECT s.*, CASE WHEN label THEN n / (2 * p) ELSE n / (2 * (n - p)) END AS wt
+            FROM scaled s, counts WHERE split = 'train'),
+        steps AS (WITH RECURSIVE fit AS ({newton_sql("balanced", [f"z{i}" for i in names])}) SELECT * FROM fit),
+        weights AS MATERIALIZED {final.format("steps")},
+        raw_scores AS MATERIALIZED (SELECT split, label, y, 1::DOUBLE AS wt, {logit} AS l FROM scaled, weights),
+        held AS MATERIALIZED (SELECT * FROM raw_scores WHERE split = 'calibration'),
+        platt_steps AS (WITH RECURSIVE fit AS ({newton_sql("held", ["l"])}) SELECT * FROM fit),
+        platt AS MATERIALIZED (SELECT w0 AS a, w1 AS b FROM {final.format("platt_steps")}),
+        tested AS MATERIALIZED (SELECT label, 1 / (1 + exp(-(a * l + b))) AS s FROM raw_scores, platt
+            WHERE split = 'test'),
+        cells AS (SELECT {CELLS_SQL} FROM tested)"""
+    statement = " UNION ALL ".join(numbers)
+    return sql(
+        f"""SELECT field, CAST(position AS INTEGER) AS position, round(number::DOUBLE, 6) AS number
+        FROM ({statement}) AS t(field, position, number)""",
+        "cut",
+    ).replace("\nSELECT field, CAST(position", f",{tables}\nSELECT field, CAST(position", 1)
+
+
+@query("q_train_model", _training_sql())
 def q_train_model(spark, sf_dir):
-    """Fit on the tables; no SQL counterpart, tests compare it with a Newton solve."""
-    document = training.train(stored(_features(spark, sf_dir)))
+    """The numbers of an artifact fitted on the tables, from the scaler to the metrics of the test rows."""
+    document = training.train(_features(spark, sf_dir))
     fitted = [
         (field, position, number)
         for field, position, _, _, number in evaluation.artifact_rows(document)
         if number is not None
     ]
-    return spark.createDataFrame(fitted, "field string, position int, number double")
+    numbers = spark.createDataFrame(fitted, "field string, position int, number double")
+    return numbers.withColumn("number", F.round("number", 6))
 
 
 # --- monitoring ----------------------------------------------------------------------------------------

@@ -44,12 +44,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
-def stored(df: DataFrame) -> DataFrame:
+def stored(df: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Computes `df` once, into a table in the checkpoint folder, and reads it from there.
 
+    With `by`, rows are kept in one folder per value of those columns, so a filter on them reads no other.
+
     Like a checkpoint it cuts the lineage and survives lost executors; unlike one it runs
     the last stage once instead of twice, and later reads take only the columns they need.
     """
     path = f"{checkpoint_dir(df.sparkSession)}/stored-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    writer = df.write.partitionBy(*by) if by else df.write
+    writer.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)

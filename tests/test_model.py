@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from riskloom.config import FEATURE_NAMES, PUBLISHED_ARTIFACT, Artifact
 from riskloom.operators import evaluation, training
+from riskloom.operators.logistic import fit_logistic
 from riskloom.operators.ordering import chunked_running, rows_at_ranks, running_totals
 
 
@@ -153,6 +154,39 @@ def newton(x, y, weight, penalty):
     return w
 
 
+def plain_loss(x, y, weight, penalty, w):
+    z = np.column_stack([x, np.ones(len(x))]) @ w
+    return penalty / 2 * (w[:-1] ** 2).sum() + (weight * (np.logaddexp(0, z) - y * z)).sum()
+
+
+@pytest.mark.parametrize("case", ["mixed", "separable", "far apart", "repeated input", "constant input"])
+def test_logistic_fits_reach_the_minimum(spark, case):
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(300, 2))
+    y = (x[:, 0] + (0 if case == "separable" else 1) * rng.normal(size=300) > 0).astype(float)
+    if case == "far apart":
+        x[:, 0] = 1e4 * (2 * y - 1)
+    elif case == "repeated input":
+        x[:, 1] = x[:, 0]
+    elif case == "constant input":
+        x[:, 1] = 3.0
+    weight = rng.uniform(0.1, 5, 300)
+    rows = spark.createDataFrame(
+        [(float(a), float(b), bool(c), float(d)) for (a, b), c, d in zip(x, y, weight, strict=True)],
+        "a double, b double, label boolean, n double",
+    ).checkpoint()
+    fit = fit_logistic(rows, {"a": F.col("a"), "b": F.col("b")}, F.col("label"), F.col("n"), 0.5)
+    found = np.array([*fit.weights, fit.intercept])
+    design = np.column_stack([x, np.ones(300)])
+    slope = design.T @ (weight * (1 / (1 + np.exp(-np.clip(design @ found, -700, 700))) - y))
+    slope[:2] += 0.5 * found[:2]
+    assert np.abs(slope / np.abs(design).max(axis=0)).max() < 1e-6
+    least = plain_loss(x, y, weight, 0.5, found)
+    for _ in range(50):
+        moved = found * (1 + 1e-3 * rng.normal(size=3)) + 1e-6 * rng.normal(size=3)
+        assert least <= plain_loss(x, y, weight, 0.5, moved)
+
+
 def test_training_matches_newton(spark):
     rows = feature_rows(1500)
     document = training.train(spark.createDataFrame(rows, FEATURE_TYPES).checkpoint())
@@ -167,13 +201,13 @@ def test_training_matches_newton(spark):
     weight = np.where(y[train] == 1, 1 / (2 * share), 1 / (2 * (1 - share)))
     z = (x - mean) / scale
     w = newton(z[train], y[train], weight, 1.0)
-    assert document["coefficients"] == pytest.approx(w[:5], rel=1e-5, abs=1e-7)
-    assert document["intercept"] == pytest.approx(w[5], rel=1e-5, abs=1e-7)
+    assert document["coefficients"] == pytest.approx(w[:5], rel=1e-9, abs=1e-11)
+    assert document["intercept"] == pytest.approx(w[5], rel=1e-9, abs=1e-11)
 
     logit = z @ w[:5] + w[5]
     a, b = newton(logit[held, None], y[held], np.ones(150), 1.0)
-    assert document["calibration"]["a"] == pytest.approx(a, rel=1e-4)
-    assert document["calibration"]["b"] == pytest.approx(b, rel=1e-4)
+    assert document["calibration"]["a"] == pytest.approx(a, rel=1e-9)
+    assert document["calibration"]["b"] == pytest.approx(b, rel=1e-9)
 
     p = 1 / (1 + np.exp(-(a * logit[1200:] + b)))
     cells = document["training"]["metrics"]["confusion_matrix"]
