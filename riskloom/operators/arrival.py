@@ -4,16 +4,20 @@ A consumer that remembers event times and, at each event, forgets those older th
 the window sees late events differently from a time-ordered count: what a newer
 event made it forget stays forgotten, and a late event still counts the newer times
 it remembers.  So an event leaves the memory at the first later arrival that is more
-than one window ahead of it, and
-
-    count at an arrival = arrivals so far - departures so far.
+than one window ahead of it.
 
 Arrival numbers are cut into chunks, which bounds what one task has to replay even
-for a customer that owns most events.  Departures inside a chunk come from a small
-fold; an event that outlives its chunk is matched with the chunk that ends it through
-the chunks' latest times, and there with the arrival itself.
+for a customer that owns most events.  A fold over one chunk counts its own events and
+ends with those it still remembers.  Each of these looks for the first later chunk whose
+latest time is beyond its reach, in one pass over survivors beside chunk maxima, and then
+for the arrival in that chunk.  The count at an arrival is
+
+    what its chunk remembers + what the chunk took over - what of that has left since.
+
+No row carries a list: a survivor is one row in each step, however many chunks it outlives.
 """
 
+from bisect import bisect_left
 from functools import partial
 from heapq import heappop, heappush
 
@@ -22,18 +26,20 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.config import Settings
-from riskloom.operators.ordering import chunked_running
 from riskloom.session import stored
 
 KEYS = ["customer_id", "chunk"]
+SURVIVOR, PEAK = 0, 1
+CARRIED, LEFT, ARRIVED = 0, 1, 2
 
 
-def _leave_within_chunk(batches, window_us: int):
-    """Rows come sorted by customer, chunk, seq; `left_at` stays null for survivors.
+def _replayed(batches, window_us: int):
+    """Rows come sorted by customer, chunk, seq; one row per arrival with its count `n`, and at the end of a
+    chunk one per event that it still remembers, without a count.
 
     Holds only the times that are still remembered, not the group.
     """
-    columns = [*KEYS, "seq", "at", "left_at"]
+    columns = [*KEYS, "seq", "at", "n"]
     group, remembered = None, []
 
     def survivors():
@@ -47,67 +53,86 @@ def _leave_within_chunk(batches, window_us: int):
                 done += survivors()
                 group, remembered = (customer, chunk), []
             while remembered and remembered[0][0] < at - window_us:
-                gone_at, gone = heappop(remembered)
-                done.append((*group, gone, gone_at, seq))
+                heappop(remembered)
             heappush(remembered, (at, seq))
-        yield pd.DataFrame(done, columns=columns).astype({"left_at": "Int64"})
-    yield pd.DataFrame(survivors(), columns=columns).astype({"left_at": "Int64"})
+            done.append((customer, chunk, seq, at, len(remembered)))
+        yield pd.DataFrame(done, columns=columns).astype({"n": "Int64"})
+    yield pd.DataFrame(survivors(), columns=columns).astype({"n": "Int64"})
 
 
-def _later_peaks(batches, window_us: int):
-    """Rows come sorted by customer, then latest chunk first, one row per chunk.
+def _first_beyond(batches):
+    """Rows come sorted by customer and share, latest chunk first, survivors of a chunk before its peak.
 
-    For each chunk: the following chunks that reach a new latest time, up to the first
-    that is out of reach for every event of this chunk.
+    Per survivor the first later chunk whose peak is above its limit, if there is one.  Peaks are kept while no
+    earlier chunk has a greater one, so they rise with distance and the one looked for is found by bisection.
     """
-    customer, ahead = None, []
+    columns = ["customer_id", "chunk", "limit"]
+    group, chunks, falling = None, [], []
     for batch in batches:
-        peaks = []
-        for who, chunk, latest in zip(batch.customer_id, batch.chunk, batch.latest, strict=True):
-            if who != customer:
-                customer, ahead = who, []
-            reach = []
-            for later, peak in reversed(ahead):
-                reach.append({"chunk": later, "latest": peak})
-                if peak > latest + window_us:
-                    break
-            peaks.append(reach)
-            while ahead and ahead[-1][1] <= latest:
-                ahead.pop()
-            ahead.append((chunk, latest))
-        yield batch[KEYS].assign(peaks=peaks)
-
-
-def _departures(events: DataFrame, window_us: int) -> DataFrame:
-    """(customer, arrival that ends an event's stay), one row per event that ever leaves."""
-    # Read twice below; stored, so that the fold runs once.
-    local = stored(
-        events.repartition(*KEYS)
-        .sortWithinPartitions(*KEYS, "seq")
-        .mapInPandas(
-            partial(_leave_within_chunk, window_us=window_us),
-            "customer_id string, chunk long, seq long, at long, left_at long",
+        found = []
+        rows = zip(batch.customer_id, batch.share, batch.chunk, batch.kind, batch.value, strict=True)
+        for customer, share, chunk, kind, value in rows:
+            if (customer, share) != group:
+                group, chunks, falling = (customer, share), [], []
+            if kind == PEAK:
+                while falling and -falling[-1] <= value:
+                    falling.pop()
+                    chunks.pop()
+                falling.append(-value)
+                chunks.append(chunk)
+                continue
+            above = bisect_left(falling, -value)
+            if above:
+                found.append((customer, chunks[above - 1], value))
+        yield pd.DataFrame(found, columns=columns).astype({"chunk": "int64", "limit": "int64"})
+
+
+def _chunks(events: DataFrame, rows_per_share: int) -> DataFrame:
+    """Per customer and chunk: its latest time, whether others follow, and the shares its survivors are dealt to.
+
+    A customer gets a share for every `rows_per_share` events, so the work on its survivors spreads with its size;
+    its chunk maxima, few beside the events, are repeated in each.
+    """
+    own = Window.partitionBy("customer_id")
+    summary = events.groupBy(*KEYS).agg(F.max("at").alias("latest"), F.count("*").alias("size"))
+    return stored(
+        summary.select(
+            *KEYS,
+            "latest",
+            (F.col("chunk") < F.max("chunk").over(own)).alias("is_followed"),
+            (F.col("chunk") > F.min("chunk").over(own)).alias("follows"),
+            (F.expr(f"sum(size) OVER (PARTITION BY customer_id) div {rows_per_share}") + 1).alias("shares"),
         )
     )
-    peaks = (
-        events.groupBy(*KEYS)
-        .agg(F.max("at").alias("latest"))
-        .repartition("customer_id")
-        .sortWithinPartitions("customer_id", F.desc("chunk"))
-        .mapInPandas(
-            partial(_later_peaks, window_us=window_us),
-            "customer_id string, chunk long, peaks array<struct<chunk: long, latest: long>>",
-        )
+
+
+def _ends(survivors: DataFrame, chunks: DataFrame, window_us: int) -> DataFrame:
+    """(customer, chunk in which a survivor is forgotten, limit): the chunk's first arrival above the limit does it."""
+    several = chunks.where("is_followed OR follows")
+    asked = survivors.select(
+        "customer_id",
+        F.pmod(F.xxhash64("seq"), F.col("shares")).alias("share"),
+        "chunk",
+        F.lit(SURVIVOR).alias("kind"),
+        (F.col("at") + window_us).alias("value"),
     )
-    limit = F.col("at") + window_us
-    ending = F.get(F.filter("peaks", lambda peak: peak["latest"] > F.col("limit")), F.lit(0))
-    carried = (
-        local.where(F.col("left_at").isNull())
-        .withColumn("limit", limit)
-        .join(peaks, KEYS)
-        .select("customer_id", ending["chunk"].alias("chunk"), "limit")
-        .where(F.col("chunk").isNotNull())
+    peaks = several.select(
+        "customer_id",
+        F.explode(F.sequence(F.lit(0).cast("long"), F.col("shares") - 1)),
+        "chunk",
+        F.lit(PEAK),
+        "latest",
     )
+    return (
+        asked.unionAll(peaks)
+        .repartition("customer_id", "share")
+        .sortWithinPartitions("customer_id", "share", F.desc("chunk"), "kind")
+        .mapInPandas(_first_beyond, "customer_id string, chunk long, limit long")
+    )
+
+
+def _departures(events: DataFrame, ends: DataFrame) -> DataFrame:
+    """Per arrival that ends the stay of events of earlier chunks: how many."""
     # Latest first, and at equal times the question before the arrivals: the smallest
     # arrival number so far is then the first arrival strictly beyond the limit.
     beyond = (
@@ -115,30 +140,62 @@ def _departures(events: DataFrame, window_us: int) -> DataFrame:
         .orderBy(F.desc("at"), "is_arrival")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    asked = carried.select(
-        *KEYS, F.col("limit").alias("at"), F.lit(None).cast("long").alias("seq"), F.lit(0)
-    )
-    crossing = (
-        events.select(*KEYS, "at", "seq", F.lit(1).alias("is_arrival"))
+    asked = ends.select(*KEYS, F.col("limit").alias("at"), F.lit(None).cast("long").alias("seq"), F.lit(0))
+    # Nothing is sorted where nothing ends.
+    touched = events.join(ends.select(*KEYS).distinct(), KEYS, "left_semi")
+    return (
+        touched.select(*KEYS, "at", "seq", F.lit(1).alias("is_arrival"))
         .unionAll(asked)
-        .withColumn("left_at", F.min("seq").over(beyond))
+        .withColumn("seq", F.min("seq").over(beyond))
         .where(F.col("is_arrival") == 0)
+        .groupBy(*KEYS, "seq")
+        .agg(F.count("*").alias("gone"))
     )
-    inside = local.where(F.col("left_at").isNotNull())
-    columns = [*KEYS, F.col("left_at").alias("seq")]
-    return inside.select(*columns).unionAll(crossing.select(*columns))
+
+
+def _taken_over(chunks: DataFrame, survivors: DataFrame, ends: DataFrame) -> DataFrame:
+    """Per chunk the number of earlier events that are remembered when it begins; chunks without any are left out."""
+    change = (
+        survivors.groupBy(*KEYS).agg(F.count("*").alias("step"))
+        .unionAll(ends.groupBy(*KEYS).agg(-F.count("*")))
+        .unionAll(chunks.where("follows").select(*KEYS, F.lit(0).cast("long")))
+        .groupBy(*KEYS)
+        .agg(F.sum("step").alias("step"))
+    )
+    before = Window.partitionBy("customer_id").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    return change.withColumn("n", F.sum("step").over(before)).where("n > 0").select(*KEYS, "n")
 
 
 def arrival_counts(events: DataFrame, settings: Settings) -> DataFrame:
-    """customer_id, seq and `n`, the remembered times including the event's own."""
+    """customer_id, seq and `n`, the remembered times including the event's own.
+
+    `events` are read several times: pass a stored table.
+    """
     window_us = settings.velocity_window_seconds * 1_000_000
-    events = events.withColumn("chunk", F.expr(f"seq div {settings.arrival_chunk}"))
-    steps = stored(
-        events.select(*KEYS, "seq", F.lit(1).alias("step"))
-        .unionAll(_departures(events, window_us).select(*KEYS, "seq", F.lit(-1)))
-        .groupBy(*KEYS, "seq")
-        .agg(F.sum("step").alias("step"))
+    events = events.select("customer_id", F.expr(f"seq div {settings.arrival_chunk}").alias("chunk"), "seq", "at")
+    chunks = _chunks(events, settings.arrival_chunk)
+    replayed = stored(
+        events.repartition(*KEYS)
+        .sortWithinPartitions(*KEYS, "seq")
+        .mapInPandas(
+            partial(_replayed, window_us=window_us), "customer_id string, chunk long, seq long, at long, n long"
+        )
+    )
+    counted = replayed.where("n IS NOT NULL").select(*KEYS, "seq", F.lit(ARRIVED).alias("kind"), "n")
+    followed = chunks.where("is_followed")
+    if followed.isEmpty():
+        return counted.select("customer_id", "seq", "n")
+    survivors = replayed.where("n IS NULL").join(followed, KEYS)
+    ends = stored(_ends(survivors, chunks, window_us))
+    # Negative counts take away; what was taken over comes before the first arrival.
+    left = _departures(events, ends).select(*KEYS, "seq", F.lit(LEFT), -F.col("gone"))
+    carried = _taken_over(chunks, survivors, ends).select(*KEYS, F.lit(-1).cast("long"), F.lit(CARRIED), "n")
+    upto = Window.partitionBy(*KEYS).orderBy("seq", "kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    outside = F.sum(F.when(F.col("kind") != ARRIVED, F.col("n")).otherwise(0)).over(upto)
+    return (
+        counted.unionAll(left)
+        .unionAll(carried)
+        .withColumn("n", F.col("n") + outside)
+        .where(F.col("kind") == ARRIVED)
+        .select("customer_id", "seq", "n")
     )
-    return chunked_running(
-        steps, ["customer_id"], "chunk", ["seq"], {"n": ("sum", F.col("step"))}
-    ).select("customer_id", "seq", "n")

@@ -206,8 +206,10 @@ def _in_event_time(events: DataFrame, settings: Settings) -> DataFrame:
 
 
 def _in_arrival_order(events: DataFrame, settings: Settings) -> DataFrame:
-    counts = arrival_counts(events.select("customer_id", "seq", "at"), settings)
-    marks = first_seen_marks(seen_combinations(events, by_time=False), by_time=False)
+    # Stored once without payload: what follows reads it several times.
+    thin = stored(events.drop("row"))
+    counts = arrival_counts(thin, settings)
+    marks = first_seen_marks(seen_combinations(thin, by_time=False), by_time=False)
     # Counts and marks meet the payload on the unique (customer, seq), which cannot be hot.
     features = (
         counts.select("customer_id", "seq", "n", F.lit(None).cast("int").alias("opener"))

@@ -76,6 +76,29 @@ def test_arrival_order_is_the_fold_over_arrivals(make, settings, disorder):
     assert derived(result) == fold(events)
 
 
+@pytest.mark.parametrize("clock", ["ahead", "back and forth", "still"])
+def test_arrival_order_with_wrong_clocks(make, clock):
+    """One event far ahead, times that jump, and all events at one instant: over many chunks, in several shares."""
+    rng = random.Random(8)
+    shift = {"ahead": lambda i: 10**6 if i == 5 else i, "back and forth": lambda i: 900 * (i % 3), "still": lambda i: 0}
+    events = [
+        (i, rng.choice(["hot", "hot", "c"]), START + timedelta(seconds=shift[clock](i) + rng.randrange(3)), f"d{i % 5}", "US")
+        for i in range(400)
+    ]
+    result = with_features(make(*as_rows(events)), Settings(arrival_chunk=9), order="arrival")
+    assert derived(result) == fold(events)
+
+
+def test_a_window_of_two_thousand_chunks(make):
+    """Survivors of every chunk outlive all the others; each is one row, and no row has a list."""
+    events = [(i, "hot", START + timedelta(milliseconds=i), "d", "US") for i in range(2000)]
+    events += [(2000 + i, "hot", START + timedelta(seconds=301 + i), "d", "US") for i in range(3)]
+    result = with_features(make(*as_rows(events)), Settings(arrival_chunk=1), order="arrival")
+    assert derived(result) == fold(events)
+    # The payload is one struct; nothing else is nested.
+    assert "array<" not in result._jdf.queryExecution().analyzed().toString()
+
+
 def test_both_orders_agree_on_ordered_input(make):
     rows = make(*as_rows(random_events(3)))
     assert derived(with_features(rows)) == derived(with_features(rows, order="arrival"))
