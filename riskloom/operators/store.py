@@ -1,28 +1,34 @@
 """The decision table: one row per transaction, the latest decision wins.
 
-Parquet has no MERGE, and rewriting every partition that a micro-batch of random
-transaction ids touches would rewrite the table.  So the table is kept as a base plus
-one delta per batch:
-
-    <root>/base/v=<n>/event_date=.../     unique transactions
-    <root>/folded/v=<n>/                  the last batch of each query in base n; commits base n
-    <root>/deltas/query=<id>/batch=<n>/   rows of one batch, overwritten on a retry
-
-Reading brings both together, `compact` folds the deltas into the next base.  Nothing
-that is being read is ever overwritten.
+A plain Parquet table partitioned by a hash of the transaction id.  A batch reads the partitions that its
+ids fall into, takes the latest decision per id of both, and overwrites those partitions (Spark's dynamic
+partition overwrite); all others stay as they are.  What a batch costs follows the partitions it touches, so
+batches should be large beside their number (`BUCKETS`, one setting for the life of a table).
+
+The merged rows are written to a staging folder first, because nothing that is being read may be overwritten.
+A batch that is tried again with the same staging folder finds them there and only repeats the overwrite, so a
+failure at any point leaves nothing lost.  One writer at a time.
 """
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from riskloom.config import OUTCOMES
 from riskloom.functions.shape import without_nulls
+from riskloom.session import checkpoint_dir, stored
 
 # Column widths of the table.
 DETECTOR_VERSION_LENGTH = 50
 CUSTOMER_ID_LENGTH = 64
 CURRENCY_LENGTH = 3
 AMOUNT_TYPE = "decimal(14,2)"
+# More than any arrival number, so one decimal holds (time, arrival) in order.
+ARRIVAL_RANGE = "10000000000000000000BD"
+# Partitions of the table, and how finely rows are ordered inside one.
+BUCKETS = 64
+DECISION_BITS, TIME_BITS, RISK_BITS = 2, 10, 7
 
 
 def store_rows(decisions: DataFrame) -> DataFrame:
@@ -89,19 +95,23 @@ def enforce(rows: DataFrame) -> DataFrame:
 
 
 def latest_decisions(rows: DataFrame, arrival: str = "arrival") -> DataFrame:
-    """Latest processed_at per transaction, the later arrival on equal times.
+    """Latest processed_at per transaction, the later arrival on equal times; of repeated rows, one.
 
-    An aggregate instead of a ranking window: copies of one transaction are combined
-    before the shuffle, however many there are.
+    Time and arrival are packed into one number, whose maximum is aggregated by hash and combined before the
+    shuffle, however many copies there are.  The payload takes no part in it: rows of ids that occur once pass a
+    join with the repeated ids, which Spark sends whole where it finds them small, and only the others are compared.
+    `rows` are read several times: pass a stored table.
     """
-    columns = [c for c in rows.columns if c != "transaction_id"]
-    newest = F.max_by(F.struct(*columns), F.struct("processed_at", arrival))
-    return (
-        rows.groupBy("transaction_id")
-        .agg(newest.alias("row"))
-        .select("transaction_id", *[F.col(f"row.{c}").alias(c) for c in columns])
-        .select(*rows.columns)
+    order = F.expr(f"CAST(unix_micros(processed_at) AS DECIMAL(20, 0)) * {ARRIVAL_RANGE} + {arrival}")
+    tops = rows.select("transaction_id", order.alias("_top")).groupBy("transaction_id")
+    repeated = stored(
+        tops.agg(F.max("_top").alias("_top"), F.count("*").alias("_n")).where("_n > 1").drop("_n")
     )
+    once = rows.join(repeated, "transaction_id", "left_anti")
+    newest = rows.withColumn("_top", order).join(repeated, ["transaction_id", "_top"], "left_semi")
+    one = Window.partitionBy("transaction_id").orderBy("_top")
+    first = newest.withColumn("_row", F.row_number().over(one)).where("_row = 1")
+    return once.select(*rows.columns).unionByName(first.select(*rows.columns))
 
 
 def with_rule_score(rows: DataFrame) -> DataFrame:
@@ -117,106 +127,104 @@ def join_versions(older: DataFrame, newer: DataFrame) -> DataFrame:
     return with_rule_score(newer.unionByName(older, allowMissingColumns=True))
 
 
-# --- files ---------------------------------------------------------------------------------------
+# --- the table -----------------------------------------------------------------------------------
 
 
-def _folder(spark: SparkSession, path: str):
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
-
-
-def _committed(spark: SparkSession, path: str, after: int = -1) -> list[int]:
-    """Numbers above `after` of the sub-folders `name=<number>` whose write has finished."""
-    system, place = _folder(spark, path)
-    if not system.exists(place):
-        return []
-    names = [entry.getPath().getName() for entry in system.listStatus(place) if entry.isDirectory()]
-    numbered = sorted((int(n.split("=")[1]), n) for n in names if "=" in n)
-    done = spark._jvm.org.apache.hadoop.fs.Path
-    return [
-        number for number, n in numbered if number > after and system.exists(done(f"{path}/{n}/_SUCCESS"))
-    ]
+def _bucket(transaction_id: Column) -> Column:
+    return F.pmod(F.xxhash64(transaction_id), F.lit(BUCKETS)).cast("int")
 
 
-def write_delta(rows: DataFrame, root: str, query: str, batch: int) -> None:
-    """Stores one batch; the same batch again replaces itself."""
-    stamped = enforce(latest_decisions(rows)).withColumn("ingested_at", F.current_timestamp())
-    stamped.write.mode("overwrite").parquet(f"{root}/deltas/query={query}/batch={batch:010d}")
+def _exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
 
 
-def _open_deltas(spark: SparkSession, root: str, folded: dict[str, int]) -> list[tuple[str, int]]:
-    """(query, batch) of the deltas that no base contains yet.
+def interleaved(*dimensions: tuple[Column, int]) -> Column:
+    """One number from whole numbers of so many bits each, their bits taken in turn from the highest one.
 
-    A query commits its batches in order, so its last folded one tells which are open.
+    Rows close in this order are close in every dimension, so the statistics of a stretch of rows are narrow for
+    all of them, where an ordinary sort order serves its first column alone.
     """
-    system, place = _folder(spark, f"{root}/deltas")
-    if not system.exists(place):
-        return []
-    queries = sorted(entry.getPath().getName().removeprefix("query=") for entry in system.listStatus(place))
-    return [
-        (query, batch)
-        for query in queries
-        for batch in _committed(spark, f"{root}/deltas/query={query}", folded.get(query, -1))
+    owners = [
+        (d, level)
+        for level in range(max(bits for _, bits in dimensions))
+        for d, (_, bits) in enumerate(dimensions)
+        if level < bits
     ]
-
-
-def _version(spark: SparkSession, root: str) -> tuple[int, dict[str, int]]:
-    """Newest committed base and, per query, the last batch it contains: one row per query, however many batches."""
-    versions = _committed(spark, f"{root}/folded")
-    if not versions:
-        return 0, {}
-    newest = max(versions)
-    marks = spark.read.schema("query string, batch long").json(f"{root}/folded/v={newest}").collect()
-    return newest, {row.query: row.batch for row in marks}
-
-
-def read_table(spark: SparkSession, root: str) -> DataFrame:
-    """The current decision table; dates prune the base through `event_date`."""
-    version, folded = _version(spark, root)
-    return _table(spark, root, version, _open_deltas(spark, root, folded))
-
-
-def _table(spark: SparkSession, root: str, version: int, open_deltas: list[tuple[str, int]]) -> DataFrame:
-    base = spark.read.parquet(f"{root}/base/v={version}") if version else None
-    if not open_deltas:
-        if base is None:
-            raise FileNotFoundError(f"no decisions under {root}")
-        return base.drop("event_date")
-    paths = [f"{root}/deltas/query={query}/batch={batch:010d}" for query, batch in open_deltas]
-    changed = with_rule_score(spark.read.option("mergeSchema", "true").parquet(*paths))
-    if base is None:
-        return latest_decisions(changed)
-    base = with_rule_score(base.drop("event_date"))
-    touched = changed.select("transaction_id").distinct()
-    # Only base rows that a delta mentions take part in the aggregate.
-    again = base.join(touched, "transaction_id", "left_semi")
-    untouched = base.join(touched, "transaction_id", "left_anti")
-    return untouched.unionByName(latest_decisions(again.unionByName(changed)))
-
-
-def compact(spark: SparkSession, root: str) -> int:
-    """Folds all deltas into a new base and returns its version.
-
-    One folder per event date serves time filters; inside a file rows are ordered by
-    decision and time, so row-group statistics serve the other access paths.
-    """
-    version, folded = _version(spark, root)
-    # Listed once: what is written to the base is what the marks say.
-    deltas = _open_deltas(spark, root, folded)
-    table = _table(spark, root, version, deltas).withColumn("event_date", F.to_date("event_time"))
-    layout = ["event_date", "decision", "event_time", "transaction_id"]
+    place = {owner: len(owners) - 1 - position for position, owner in enumerate(owners)}
+    key = F.lit(0).cast("long")
+    for d, (value, bits) in enumerate(dimensions):
+        # What each value adds to the key, as a table of 2**bits numbers: one lookup a row.
+        spread = [
+            sum(1 << place[d, level] for level in range(bits) if number >> (bits - 1 - level) & 1)
+            for number in range(2**bits)
+        ]
+        key = key + F.get(F.lit(spread).cast("array<long>"), value.cast("int"))
+    return key
+
+
+def _layout(rows: DataFrame) -> Column:
+    """The order of rows inside a partition: decision, risk and time alike, as they are asked for by each."""
+    ends = rows.agg(F.min("event_time").alias("low"), F.max("event_time").alias("high"))
+    low, high = ends.select(F.unix_micros("low"), F.unix_micros("high")).first()
+    steps = 2**TIME_BITS - 1
+    span = max((high or 0) - (low or 0), 1)
+    time = F.floor((F.unix_micros("event_time") - F.lit(low or 0)) / F.lit(span) * steps)
+    risk = F.floor(F.col("risk_score").cast("int") * (2**RISK_BITS - 1) / 100)
+    decision = F.coalesce(F.array_position(F.array(*map(F.lit, OUTCOMES)), F.col("decision")), F.lit(0))
+    return interleaved((decision, DECISION_BITS), (time, TIME_BITS), (risk, RISK_BITS))
+
+
+def upsert(rows: DataFrame, root: str, staging: str | None = None, **options: str) -> None:
+    """Brings `rows` into the table; a repeated call with the same `staging` folder only finishes the first one."""
+    spark = rows.sparkSession
+    place = staging or f"{checkpoint_dir(spark)}/upsert-{uuid.uuid4().hex}"
+    if rows.isEmpty():
+        return
+    if not _exists(spark, f"{place}/_SUCCESS"):
+        _merged(rows, root).write.mode("overwrite").partitionBy("bucket").parquet(place)
     (
-        # By range, so a date that holds a large share of the rows gets as many writers.
-        table.repartitionByRange(*layout)
-        .sortWithinPartitions(*layout)
+        spark.read.parquet(place)
         .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
         # Serves lookups by transaction, which no sort order of the table helps.
         .option("parquet.bloom.filter.enabled#transaction_id", "true")
         .option("parquet.bloom.filter.adaptive.enabled", "true")
-        .partitionBy("event_date")
-        .parquet(f"{root}/base/v={version + 1}")
+        .options(**options)
+        .partitionBy("bucket")
+        .parquet(root)
+    )
+
+
+def _merged(rows: DataFrame, root: str) -> DataFrame:
+    """The new contents of the partitions that `rows` fall into, laid out for the access paths."""
+    spark = rows.sparkSession
+    fresh = stored(
+        enforce(with_rule_score(rows)).withColumns(
+            {"ingested_at": F.current_timestamp(), "bucket": _bucket(F.col("transaction_id"))}
+        )
     )
-    # Deltas are in ascending order, so the last one of a query stays.
-    marks = spark.createDataFrame(sorted((folded | dict(deltas)).items()), "query string, batch long")
-    marks.coalesce(1).write.mode("overwrite").json(f"{root}/folded/v={version + 1}")
-    return version + 1
+    both = fresh
+    if _exists(spark, root):
+        touched = [r.bucket for r in fresh.select("bucket").distinct().collect()]
+        old = with_rule_score(spark.read.option("mergeSchema", "true").parquet(root))
+        both = old.where(F.col("bucket").isin(touched)).unionByName(fresh, allowMissingColumns=True)
+    latest = stored(latest_decisions(both))
+    # By range, so a bucket of any size gets as many writers as it needs, each with a stretch of its order.
+    ordered = latest.withColumn("_key", _layout(latest))
+    keys = ["bucket", "_key", "event_time"]
+    return ordered.repartitionByRange(*keys).sortWithinPartitions(*keys).drop("_key")
+
+
+def read_table(spark: SparkSession, root: str) -> DataFrame:
+    """The current decision table."""
+    if not _exists(spark, root):
+        raise FileNotFoundError(f"no decisions under {root}")
+    return spark.read.parquet(root).drop("bucket")
+
+
+def lookup_table(spark: SparkSession, root: str, transaction_id: str) -> DataFrame:
+    """The one partition of the table that can hold the transaction."""
+    if not _exists(spark, root):
+        raise FileNotFoundError(f"no decisions under {root}")
+    return spark.read.parquet(root).where(F.col("bucket") == _bucket(F.lit(transaction_id))).drop("bucket")

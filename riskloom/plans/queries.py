@@ -561,9 +561,8 @@ def q_store_rows(spark, sf_dir):
     ),
 )
 def q_latest_decision(spark, sf_dir):
-    return store.latest_decisions(_log(spark, sf_dir)).select(
-        "transaction_id", "decision", "risk_score", "processed_at"
-    )
+    columns = ["transaction_id", "decision", "risk_score", "processed_at"]
+    return store.latest_decisions(stored(_log(spark, sf_dir).select(*columns, "arrival"))).select(*columns)
 
 
 @query(
@@ -701,14 +700,12 @@ def q_investigation_queue(spark, sf_dir):
     ),
 )
 def q_decision_lookup(spark, sf_dir):
-    """One transaction from the compacted decision table; the filter reaches its files."""
+    """One transaction from the decision table; the filter reaches one partition and its files."""
     root = f"{checkpoint_dir(spark)}/table-{uuid.uuid4().hex}"
     rows = store.store_rows(decide(transactions(spark, sf_dir), keep=("seq",)))
-    store.write_delta(rows.withColumnRenamed("seq", "arrival"), root, "batch", 0)
-    store.compact(spark, root)
-    found = ops.decision_lookup(
-        store.read_table(spark, root), "00000000-0000-4000-8000-000000000123"
-    )
+    store.upsert(rows.withColumnRenamed("seq", "arrival"), root)
+    wanted = "00000000-0000-4000-8000-000000000123"
+    found = ops.decision_lookup(store.lookup_table(spark, root, wanted), wanted)
     return found.withColumns(
         {
             "risk_score": F.col("risk_score").cast("int"),
@@ -728,11 +725,12 @@ def q_decision_lookup(spark, sf_dir):
     ),
 )
 def q_store_top_risk(spark, sf_dir):
-    """High risks from the compacted table of all copies, with the stamp that storing them left."""
+    """High risks from the table, stored in two batches of copies, with the stamp that storing them left."""
     root = f"{checkpoint_dir(spark)}/table-{uuid.uuid4().hex}"
     began = spark.range(1).select(F.current_timestamp().alias("t")).first().t
-    store.write_delta(store.store_rows(_log(spark, sf_dir)), root, "batch", 0)
-    store.compact(spark, root)
+    rows = stored(store.store_rows(_log(spark, sf_dir)))
+    for part in (0, 1):
+        store.upsert(rows.where(F.col("arrival") % 2 == part), root)
     found = store.read_table(spark, root).where(F.col("risk_score") >= 90)
     return found.select(
         "transaction_id",
@@ -1410,7 +1408,8 @@ def q_throughput(spark, sf_dir):
 )
 def q_pipeline_throughput(spark, sf_dir):
     accepted = _valid(spark, sf_dir).select(F.col("event_time").alias("accepted_at"))
-    kept = store.latest_decisions(_log(spark, sf_dir).select("transaction_id", "processed_at", "arrival"))
+    copies = stored(_log(spark, sf_dir).select("transaction_id", "processed_at", "arrival"))
+    kept = store.latest_decisions(copies)
     rates = monitoring.pipeline_throughput(accepted, kept)
     return rates.withColumns({c: r9(c) for c in ("ingest_per_second", "end_to_end_per_second")})
 
@@ -1497,12 +1496,11 @@ def q_replay_again(spark, sf_dir):
     ),
 )
 def q_stream_store(spark, sf_dir):
-    """Raw topic, scored topic, decision table; stored twice, compacted in between."""
+    """Raw topic, scored topic, decision table; the second run stores all of it again."""
     topics, checkpoints = _published(spark, sf_dir)
     table = f"{topics.root}/table"
     _finish(jobs.start_scoring(spark, topics, checkpoints))
     _finish(*jobs.start_store(spark, topics, table, checkpoints))
-    store.compact(spark, table)
     _finish(*jobs.start_store(spark, topics, table, f"{checkpoints}/again"))
     return store.read_table(spark, table).select(
         "transaction_id",

@@ -2,12 +2,13 @@
 
 `files` topics are Parquet folders of the same shape, for runs without a broker; there a
 message keeps the partition and offset of the message it was made from, so writing the
-same batch again gives the same rows.  Where order matters, a partition is a log: `append` then
-writes consecutive ranges of offsets one after the other, each partition's rows in one file, so a
-stream meets them in order however many files a micro-batch takes.  The Kafka options are configuration only and need
-the spark-sql-kafka connector on the classpath.
+same batch again gives the same rows.  Where order matters, `append` writes ranges of offsets whose files
+a stream meets in order, however many of them a micro-batch takes; it needs a file system that keeps the times
+it is told.  The Kafka options are configuration only and need the spark-sql-kafka connector on the classpath.
 """
 
+import time
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,7 +39,7 @@ class Topics:
     # Bounds one micro-batch and with it what a single customer can bring into a task.
     files_per_batch: int = 200
     offsets_per_batch: int = 5_000_000
-    # Offsets in one file of a partition, and so what one task of a stream reads at least.
+    # Messages in one file, and so what one task of a stream reads at least.
     offsets_per_file: int = 1_000_000
     options: dict = field(default_factory=dict)
 
@@ -99,15 +100,33 @@ class Topics:
         if not ordered:
             named.write.mode("append").parquet(self.path(topic))
             return
+        self._append_in_order(named, topic)
+
+    def _append_in_order(self, named: DataFrame, topic: str) -> None:
+        """One job writes ranges of offsets, as many as the rows need, to a folder of its own; the files are then
+        moved to the topic in the order of their offsets.
+
+        A stream takes files by their time, so each gets one behind the one before; a file holds its offsets of all
+        partitions, so whatever prefix of them a micro-batch takes, no partition is ahead of its order.
+        """
+        spark = named.sparkSession
         rows = stored(named)
-        ends = rows.agg(F.min("offset").alias("low"), F.max("offset").alias("high")).first()
-        if ends["low"] is None:
+        files = -(-rows.count() // self.offsets_per_file)
+        if not files:
             return
-        # Files are found in the order of their times, which are those of their commits.
-        for start in range(ends["low"], ends["high"] + 1, self.offsets_per_file):
-            span = F.col("offset").between(start, start + self.offsets_per_file - 1)
-            part = rows.where(span).repartition("partition").sortWithinPartitions("offset")
-            part.write.mode("append").parquet(self.path(topic))
+        folder = f"{self.root}/_appended/{topic}-{uuid.uuid4().hex}"
+        ranges = rows.repartitionByRange(files, "offset", "partition").sortWithinPartitions("offset", "partition")
+        ranges.write.parquet(folder)
+        paths = spark._jvm.org.apache.hadoop.fs.Path
+        system = paths(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+        target = paths(self.path(topic))
+        system.mkdirs(target)
+        times = [entry.getModificationTime() for entry in system.listStatus(target) if entry.isFile()]
+        clock = max([int(time.time() * 1000), *(t + 1 for t in times)])
+        names = sorted(entry.getPath().getName() for entry in system.listStatus(paths(folder)))
+        for position, name in enumerate(n for n in names if n.startswith("part-")):
+            system.setTimes(paths(f"{folder}/{name}"), clock + position, -1)
+            system.rename(paths(f"{folder}/{name}"), paths(f"{self.path(topic)}/{name}"))
 
 
 def as_messages(messages: DataFrame, topic: str) -> DataFrame:

@@ -36,7 +36,7 @@ from riskloom.functions.text import alert_line
 from riskloom.operators.dead_letter import dead_letters, replayable
 from riskloom.operators.ops import alerts
 from riskloom.operators.ordering import running_totals
-from riskloom.operators.store import store_rows, write_delta
+from riskloom.operators.store import store_rows, upsert
 from riskloom.session import prepare
 from riskloom.sources.topics import POSITION, Topics
 from riskloom.streaming.delivery import deliver_alerts
@@ -130,9 +130,8 @@ def start_store(
     stored = rows.drop("key", "value", "headers", "topic", "partition", "timestamp")
 
     def merge(batch: DataFrame, number: int) -> None:
-        # Follows the checkpoint: a query started on a new one must not replace old deltas.
-        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        write_delta(batch, table, query, number)
+        # The same batch again finds what it staged, and finishes from there.
+        upsert(batch, table, f"{checkpoints}/store-staged/{number:010d}")
 
     table_query = _start(stored.writeStream.foreachBatch(merge), f"{checkpoints}/store", every)
     letters = dead_letters(rejected(checked), source=SOURCE_STORE, keep=POSITION)

@@ -1,6 +1,6 @@
 """The decision table: latest wins, replays are harmless, constraints hold."""
 
-from datetime import UTC, date, datetime, timedelta
+from datetime import UTC, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -27,10 +27,11 @@ def test_latest_wins_and_equal_times_go_to_the_later_arrival(spark):
     assert found == {"a": 20, "b": 50}
 
 
-def test_copies_are_combined_before_the_shuffle(spark):
-    plan = store.latest_decisions(arrivals(spark, ("a", 0, 1, 10)))
-    text = plan._jdf.queryExecution().executedPlan().toString()
-    assert "partial_max_by" in text and "Window" not in text
+def test_repeated_rows_leave_one_and_the_payload_is_not_aggregated(spark):
+    rows = arrivals(spark, ("a", 0, 1, 10), ("a", 0, 1, 10), ("b", 1, 2, 20), ("c", 2, 3, 30), ("c", 1, 9, 31))
+    latest = store.latest_decisions(rows.checkpoint())
+    assert sorted((r.transaction_id, r.risk_score) for r in latest.collect()) == [("a", 10), ("b", 20), ("c", 30)]
+    assert "SortAggregate" not in latest._jdf.queryExecution().executedPlan().toString()
 
 
 def decided(make, *rows, processed=AT):
@@ -86,48 +87,67 @@ def as_set(table):
     )
 
 
-def test_table_over_batches_replays_and_compaction(make, spark, tmp_path):
+def test_table_over_batches_and_replays(make, spark, tmp_path):
     root = str(tmp_path / "table")
     first = decided(make, {}, {"amount": 3000.0}, {"amount": 4000.0})
-    store.write_delta(first, root, "q1", 0)
+    store.upsert(first, root)
     # A later and an earlier decision for known transactions, and a new transaction.
     changed = decided(make, {"amount": 9000.0}, processed=AT + timedelta(seconds=9))
     stale = decided(make, {}, {"amount": 1.0}, processed=AT - timedelta(seconds=9))
-    store.write_delta(changed, root, "q1", 1)
-    store.write_delta(stale.where("arrival = 1"), root, "q1", 2)
+    store.upsert(changed, root)
+    store.upsert(stale.where("arrival = 1"), root)
     expected = as_set(store.read_table(spark, root))
     assert [(key, risk) for key, risk, _ in expected] == [("000", 60), ("001", 60), ("002", 60)]
 
-    store.write_delta(changed, root, "q1", 1)  # a retried batch
-    store.write_delta(first, root, "q2", 0)  # a replay from the start
+    store.upsert(changed, root)
+    store.upsert(first, root)  # a replay from the start
     assert as_set(store.read_table(spark, root)) == expected
-
-    assert store.compact(spark, root) == 1
-    assert as_set(store.read_table(spark, root)) == expected
-    store.write_delta(stale, root, "q2", 1)
+    store.upsert(stale, root)
     more = decided(make, {}, {}, {}, {}).where("arrival = 3")
-    store.write_delta(more, root, "q2", 2)
-    assert len(as_set(store.read_table(spark, root))) == 4
-    assert store.compact(spark, root) == 2
+    store.upsert(more, root)
     assert as_set(store.read_table(spark, root))[:3] == expected
-
-
-def test_marks_stay_one_row_per_query(make, spark, tmp_path):
+    assert store.read_table(spark, root).count() == 4
+    store.upsert(first.limit(0), root)
+    assert store.read_table(spark, root).count() == 4
+
+
+def test_only_touched_partitions_are_rewritten(make, spark, tmp_path):
+    root = tmp_path / "table"
+    store.upsert(decided(make, *[{} for _ in range(40)]), str(root))
+    before = {p: p.stat().st_mtime_ns for p in root.rglob("*.parquet")}
+    store.upsert(decided(make, {"amount": 9000.0}, processed=AT + timedelta(seconds=9)), str(root))
+    after = {p: p.stat().st_mtime_ns for p in root.rglob("*.parquet")}
+    gone = {p.parent.name for p in before.keys() - after.keys()}
+    assert len(gone) == 1 and len({p.parent.name for p in after}) == len({p.parent.name for p in before})
+    assert all(after[p] == t for p, t in before.items() if p in after)
+
+
+def test_a_batch_that_failed_midway_is_finished_from_its_staging(make, spark, tmp_path):
+    root, staging = str(tmp_path / "table"), str(tmp_path / "staged")
+    rows = decided(make, *[{} for _ in range(30)])
+    store.upsert(rows.where("arrival < 20"), root, f"{staging}/0")
+    store.upsert(rows.where("arrival >= 10"), root, f"{staging}/1")
+    whole = as_set(store.read_table(spark, root))
+    # As after a failure between the removal of a partition and its replacement.
+    lost = sorted((tmp_path / "table").glob("bucket=*"))[0]
+    for file in lost.iterdir():
+        file.unlink()
+    assert as_set(store.read_table(spark, root)) != whole
+    store.upsert(rows.where("arrival >= 10"), root, f"{staging}/1")
+    store.upsert(rows.where("arrival < 20"), root, f"{staging}/again")
+    assert as_set(store.read_table(spark, root)) == whole
+
+
+def test_an_older_table_gets_the_rule_score(make, spark, tmp_path):
     root = str(tmp_path / "table")
-    for batch in range(3):
-        store.write_delta(decided(make, {}), root, "q1", batch)
-        version = store.compact(spark, root)
-    store.write_delta(decided(make, {}), root, "q2", 0)
-    assert [(d[0], d[1]) for d in store._open_deltas(spark, root, {"q1": 2})] == [("q2", 0)]
-    marks = spark.read.json(f"{root}/folded/v={version}").collect()
-    assert [(m["query"], m["batch"]) for m in marks] == [("q1", 2)]
-
-
-def test_unfinished_base_is_not_read(make, spark, tmp_path):
-    root = str(tmp_path / "table")
-    store.write_delta(decided(make, {}), root, "q1", 0)
-    decided(make, {}, {}).write.parquet(f"{root}/base/v=1")  # no commit in folded/
-    assert store.read_table(spark, root).count() == 1
+    rows = decided(make, {"amount": 3000.0}, {"amount": 3000.0})
+    store.upsert(rows, root)
+    older = str(tmp_path / "older")
+    spark.read.parquet(root).drop("rule_risk_score").write.partitionBy("bucket").parquet(older)
+    store.upsert(rows.where("arrival = 1").withColumn("processed_at", F.lit(AT + timedelta(seconds=5))), older)
+    store.upsert(decided(make, {}, {}, {}).where("arrival = 2"), older)
+    found = spark.read.option("mergeSchema", "true").parquet(older)
+    assert found.count() == 3 and {r.arrival: r.rule_risk_score for r in found.collect()}[1] == 60
 
 
 def test_empty_table(spark, tmp_path):
@@ -135,21 +155,61 @@ def test_empty_table(spark, tmp_path):
         store.read_table(spark, str(tmp_path / "none"))
 
 
-def test_filters_reach_the_base_files(make, spark, tmp_path):
+def test_bits_are_taken_in_turn(spark):
+    rows = spark.createDataFrame([(a, b) for a in range(8) for b in range(4)], "a int, b int")
+    found = rows.withColumn("z", store.interleaved((F.col("a"), 3), (F.col("b"), 2))).collect()
+    for r in found:
+        a, b = f"{r.a:03b}", f"{r.b:02b}"
+        assert r.z == int(a[0] + b[0] + a[1] + b[1] + a[2], 2)
+
+
+def test_filters_reach_partitions_and_files(make, spark, tmp_path):
     root = str(tmp_path / "table")
-    store.write_delta(decided(make, {}, {"amount": 3000.0}), root, "q1", 0)
-    store.compact(spark, root)
-    day = spark.read.parquet(f"{root}/base/v=1").where(
-        (F.col("event_date") == F.lit(date(2026, 1, 1))) & (F.col("decision") == "review")
-    )
-    plan = day._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(event_date" in plan
-    assert "EqualTo(decision,review)" in plan
-    lookup = ops.decision_lookup(
-        store.read_table(spark, root), "00000000-0000-4000-8000-000000000001"
+    store.upsert(decided(make, {}, {"amount": 3000.0}), root)
+    wanted = "00000000-0000-4000-8000-000000000001"
+    found = ops.decision_lookup(store.lookup_table(spark, root, wanted), wanted)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(bucket" in plan and "EqualTo(transaction_id" in plan
+    assert found.first().decision == "review"
+
+
+def test_one_layout_serves_all_access_paths(make, spark, tmp_path, monkeypatch):
+    """Row groups whose statistics admit a filter: by time, by decision and time, by risk."""
+    # As many row groups to a partition as a large table has.
+    monkeypatch.setattr(store, "BUCKETS", 2)
+    from pyarrow import parquet
+
+    rows = decided(make, {}).crossJoin(spark.range(30_000).select("id")).withColumns(
+        {
+            "transaction_id": F.concat(F.lit("t"), F.col("id")),
+            "event_time": F.timestamp_seconds(1_767_225_600 + F.pmod(F.xxhash64("id"), F.lit(86_400))),
+            "risk_score": F.pmod(F.xxhash64("id", F.lit(1)), F.lit(101)).cast("smallint"),
+        }
     )
-    assert "EqualTo(transaction_id" in lookup._jdf.queryExecution().executedPlan().toString()
-    assert lookup.first().decision == "review"
+    outcome = F.when(F.col("risk_score") >= 70, "decline").when(F.col("risk_score") >= 40, "review").otherwise("approve")
+    root = tmp_path / "table"
+    store.upsert(rows.withColumn("decision", outcome), str(root), **{"parquet.block.size": str(16 * 1024)})
+    groups = []
+    for file in root.rglob("*.parquet"):
+        meta = parquet.ParquetFile(file).metadata
+        names = {meta.schema.column(i).path: i for i in range(meta.num_columns)}
+        for g in range(meta.num_row_groups):
+            stats = {n: meta.row_group(g).column(names[n]).statistics for n in ("event_time", "risk_score", "decision")}
+            groups.append({n: (s.min, s.max) for n, s in stats.items()})
+    start = datetime(2026, 1, 1, 6)
+    end = datetime(2026, 1, 1, 8)
+
+    def in_time(g):
+        low, high = (t.replace(tzinfo=None) for t in g["event_time"])
+        return low < end and high >= start
+
+    def share(admits):
+        return sum(map(admits, groups)) / len(groups)
+
+    assert len(groups) > 100
+    assert share(in_time) < 0.4
+    assert share(lambda g: in_time(g) and g["decision"][0] <= "decline" <= g["decision"][1]) < 0.2
+    assert share(lambda g: g["risk_score"][1] >= 95) < 0.3
 
 
 def decisions(spark, *rows):
