@@ -7,6 +7,10 @@ later expression they stand for their literals.  A pair's score is the sensitivi
 target name times the plausibility of the joined literal; the literals of pairs that reach
 `min_score` are spans of kind `literal`, wherever they were written.
 
+Joined literals are kept as their characters' counts, their first `JOINED` characters, and links to the constants they
+were made of, never as copies: constants that are made of themselves or of each other cost the same per term however
+long their values would be, and every literal is marked once.
+
 Defined cases: null or empty text has no spans; offsets are code points, ends exclusive;
 a text is read whole, in one pass per pattern, whatever its length; rows are
 independent, so ties, repeated rows and empty tables need no rule.
@@ -42,6 +46,8 @@ SENSITIVE = {
     "auth": 0.6, "private": 0.5, "access": 0.4, "api": 0.4, "key": 0.4, "signing": 0.4,
 }
 MIN_SCORE = 0.5
+# Up to this length a joined literal is kept as it is, to be compared with placeholders.
+JOINED = 256
 
 _NAME = r"[A-Za-z_][\w.-]*"
 _PAIR = re.compile(rf"(?<![\w.-])[\"']?({_NAME})[\"']?[ \t]*(?::=|=>|=(?![=>])|:(?!:))[ \t]*")
@@ -62,47 +68,89 @@ def name_score(name: str) -> float:
     return min(1.0, max(joined, SENSITIVE.get("".join(words), 0.0)))
 
 
-def literal_score(value: str) -> float:
+class Joined:
+    """What an expression stands for: literals and constants one after the other; or one literal."""
+
+    __slots__ = ("_counts", "head", "length", "marked", "parts", "span", "text")
+
+    def __init__(self, text: str = "", span: tuple[int, int] | None = None) -> None:
+        self.text, self.head, self.length = text, text[:JOINED], len(text)
+        self.span, self.parts, self.marked = span, [], False
+        self._counts: Counter | None = None
+
+    def add(self, part: "Joined") -> None:
+        if self.length < JOINED:
+            self.head = (self.head + part.head)[:JOINED]
+        self.length += part.length
+        self.parts.append(part)
+
+    def counts(self) -> Counter:
+        """Its characters, counted once for every constant that is in it."""
+        waiting = [self]
+        while waiting:
+            node = waiting[-1]
+            inside = [part for part in node.parts if part._counts is None] if node._counts is None else []
+            if inside:
+                waiting += inside
+                continue
+            waiting.pop()
+            if node._counts is None:
+                node._counts = Counter(node.text)
+                for part in node.parts:
+                    for character, count in part._counts.items():
+                        node._counts[character] += count
+        return self._counts
+
+    def spans(self) -> Iterator[tuple[int, int]]:
+        """The spans of its literals that no call has returned before."""
+        waiting = [self]
+        while waiting:
+            node = waiting.pop()
+            if not node.marked:
+                node.marked = True
+                if node.span is not None:
+                    yield node.span
+                waiting += node.parts
+
+
+def literal_score(value: Joined) -> float:
     """How plausible a literal is as a secret: long enough, no placeholder, no plain word."""
-    if len(value) < 6 or _PLACEHOLDER.match(value) or re.search(r"\s", value):
+    counts, length = value.counts(), value.length
+    if length < 6 or any(c.isspace() for c in counts):
+        return 0.0
+    # Of the placeholders only one repeated character, or what begins with `your`, can be longer than the head.
+    long_one = len({c.lower() for c in counts}) == 1 or value.head[:4].lower() == "your"
+    if _PLACEHOLDER.match(value.head) and (length <= JOINED or long_one):
         return 0.0
-    counts = Counter(value)
-    entropy = -sum(c / len(value) * math.log2(c / len(value)) for c in counts.values())
-    kinds = sum(bool(re.search(p, value)) for p in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]"))
+    entropy = -sum(c / length * math.log2(c / length) for c in counts.values())
+    kinds = sum(any(re.match(p, c) for c in counts) for p in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]"))
     return min(1.0, entropy / 4 + 0.15 * (kinds - 1))
 
 
-def assignments(text: str) -> Iterator[tuple[str, str, list[tuple[int, int]]]]:
-    """The pairs of a text: target name, joined literal, spans of the literals in it.
+def assignments(text: str) -> Iterator[tuple[str, Joined]]:
+    """The pairs of a text: target name and what its expression stands for.
 
     An expression ends at the first term that is neither a literal nor a known constant.
     """
-    constants: dict[str, tuple[str, list[tuple[int, int]]]] = {}
+    constants: dict[str, Joined] = {}
     at = 0
     while pair := _PAIR.search(text, at):
         name, at = pair[1], pair.end()
-        value, spans = "", []
+        value = Joined()
         while term := _TERM.match(text, at):
-            if term[3] is not None:
-                known = constants.get(term[3])
-                if known is None and spans:
-                    break
-                value, spans = (
-                    (value + known[0], spans + known[1])
-                    if known
-                    else (value + term[3], [*spans, term.span(3)])
-                )
-            else:
-                group = next(g for g in (1, 2, 4) if term[g] is not None)
-                value, spans = value + term[group], [*spans, term.span(group)]
+            group = next(g for g in (1, 2, 3, 4) if term[g] is not None)
+            known = constants.get(term[3]) if group == 3 else None
+            if group == 3 and known is None and value.parts:
+                break
+            value.add(known or Joined(term[group], term.span(group)))
             at = term.end()
             plus = _PLUS.match(text, at)
             if not plus:
                 break
             at = plus.end()
-        if spans:
-            constants[name] = (value, spans)
-            yield name, value, spans
+        if value.parts:
+            constants[name] = value
+            yield name, value
 
 
 def base_spans(text: str) -> list[tuple[str, int, int]]:
@@ -129,10 +177,10 @@ def all_spans(text: str, min_score: float = MIN_SCORE) -> tuple[list, list]:
     base = base_spans(text)
     found = set()
     if "=" in text or ":" in text:
-        for name, value, spans in assignments(text):
+        for name, value in assignments(text):
             sensitivity = name_score(name)
             if sensitivity and sensitivity * literal_score(value) >= min_score:
-                found.update(("literal", start, end) for start, end in spans if end > start)
+                found.update(("literal", start, end) for start, end in value.spans() if end > start)
     return base, sorted([*base, *found], key=_order)
 
 

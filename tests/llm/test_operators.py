@@ -177,6 +177,59 @@ def test_constants_propagate_and_plain_assignments_stay():
     assert secrets.redact("nothing: here") == "nothing: here"
 
 
+def copied_out(text):
+    """The spans of sensitive literals with every constant's value copied where it is used."""
+    constants, found = {}, set()
+    for line in text.splitlines(keepends=True):
+        start = text.index(line) if text.count(line) == 1 else None
+        assert start is not None
+        name, expression = line.split(" = ", 1)
+        at, value, spans = start + len(name) + 3, "", []
+        for term in expression.rstrip("\n").split(" + "):
+            if term.startswith('"'):
+                value, spans = value + term[1:-1], [*spans, (at + 1, at + len(term) - 1)]
+            elif term in constants:
+                value, spans = value + constants[term][0], spans + constants[term][1]
+            elif spans:
+                break
+            else:
+                value, spans = term, [(at, at + len(term))]
+            at += len(term) + 3
+        constants[name] = value, spans
+        literal = secrets.Joined(value)
+        if secrets.name_score(name) * secrets.literal_score(literal) >= secrets.MIN_SCORE:
+            found |= {s for s in spans if s[1] > s[0]}
+    return found
+
+
+def test_shared_constants_equal_copied_ones():
+    rng = random.Random(12)
+    names = ["a", "b", "token", "db_password", "c_key", "color"]
+    for _ in range(200):
+        lines = []
+        for i in range(rng.randint(1, 9)):
+            terms = [
+                rng.choice(names) if rng.random() < 0.5 else f'"{rng.choice(["Zx9q", "Lm2", "xxx", "", "a b"])}{i}"'
+                for _ in range(rng.randint(1, 3))
+            ]
+            lines.append(f"{rng.choice(names)} = {' + '.join(terms)}\n")
+        text = "".join(dict.fromkeys(lines))
+        if len(set(lines)) == len(lines) and all(text.count(line) == 1 for line in lines):
+            found = {(s, e) for kind, s, e in secrets.all_spans(text)[1] if kind == "literal"}
+            assert found == copied_out(text), text
+
+
+def test_constants_of_themselves_cost_a_line_each():
+    import time
+
+    doubled = 'token = "Zx9qLm2tail"\n' + "token = token + token\n" * 10_000
+    chained = 'secret0 = "Zx9qLm2tail"\n' + "".join(f'secret{i + 1} = secret{i} + "p{i}"\n' for i in range(5_000))
+    began = time.process_time()
+    assert [s for s in secrets.all_spans(doubled)[1] if s[0] == "literal"] == [("literal", 9, 20)]
+    assert sum(s[0] == "literal" for s in secrets.all_spans(chained)[1]) == 5_001
+    assert time.process_time() - began < 10
+
+
 def test_redaction_keeps_rows_and_nulls(docs, empty):
     assert secrets.redacted(docs).count() == docs.count()
     assert secrets.redacted(docs).where("text IS NULL").count() == 1
@@ -456,21 +509,36 @@ def test_mined_rules_equal_all_combinations(spark):
         rows.append((i, f"http://h{rng.randrange(3)}.{top}/{lang}/{rng.randrange(5)}"))
     pages = spark.createDataFrame(rows, "page_id long, url string")
     judged = urls.judged(pages).collect()
-    known = [(frozenset(r["tokens"]), r["verdict"]) for r in judged if r["verdict"]]
+    known = [(frozenset(r["tokens"]), r["verdict"]) for r in {r["address"]: r for r in judged}.values() if r["verdict"]]
     confident = {}
     for size in (1, 2, 3, 4, 5):
         for items in {c for t, _ in known for c in combinations(sorted(t), size)}:
             has = [v for t, v in known if t >= set(items)]
             blocked = has.count("block")
-            if blocked >= 0.05 * len(known) and blocked >= 0.8 * len(has):
+            if blocked >= 0.05 * len(known) and blocked >= 2 and blocked >= 0.8 * len(has):
                 confident[frozenset(items)] = blocked / len(has)
     least = {c for c in confident if not any(o < c for o in confident)}
-    for row in urls.filter_urls(pages, min_support=0.05).collect():
+    for row in urls.filter_urls(pages, min_support=0.05, least_urls=2).collect():
         tokens = set(judged[row["page_id"]]["tokens"]) if judged[row["page_id"]]["page_id"] == row["page_id"] else None
         if row["rule"] is None:
             assert row["verdict"] == ("block" if any(c <= tokens for c in least) else "allow")
 
 
+def test_long_urls_have_few_tokens_and_one_example_makes_no_rule(spark):
+    deep = "http://a.b.c.d.e.f.com/de/" + "/".join(f"s{i}" for i in range(40)) + "?" + "&".join(f"n{i}=1" for i in range(40))
+    rows = [(i, deep, "x", 1) for i in range(50)]
+    rows += [(50 + i, f"http://h.org/es/{i}", "x", 1) for i in range(100)]
+    rows += [(150 + i, f"http://bad.com/de/{i}", "x", 1) for i in range(30)]
+    rows += [(300 + i, f"http://good.com/fr/{i}", "x", 1) for i in range(100)]
+    rows += [(200, "http://a.b.c.d.e.f.com/x/s1", "x", 1), (201, "http://bad.com/y", "x", 1)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, tokens string, address int")
+    assert max(len(r["tokens"]) for r in urls.judged(pages).collect()) <= 11
+    learned = {r["page_id"]: (r["verdict"], r["learned"]) for r in urls.filter_urls(pages).collect()}
+    # The deep URL stands for one page, however often it is there; the other host for thirty.
+    assert learned[200] == ("allow", None)
+    assert learned[201] == ("block", "host=bad.com")
+
+
 def test_urls_stay_in_the_jvm(spark):
     pages = spark.createDataFrame([(1, "http://x.com/de/1"), (2, "http://x.net/de/1")], "page_id long, url string")
     plan = urls.filter_urls(pages)._jdf.queryExecution().toString()
