@@ -24,6 +24,7 @@ from riskloom.sources.tables import transactions
 from riskloom.sources.topics import Topics
 from riskloom.streaming import jobs
 from riskloom.streaming.delivery import deliver_alerts
+from riskloom.streaming.pipeline import start_pipeline
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -1450,6 +1451,35 @@ def q_stream_decisions(spark, sf_dir):
     return _flat(contract.valid(contract.decode_decisions(scored)))
 
 
+@query(
+    "q_stream_pipeline",
+    _of_messages(
+        sql(
+            f"""SELECT 'table' AS sink, decision AS label, count(*) AS messages FROM dec GROUP BY ALL
+            UNION ALL SELECT 'scored', decision, count(*) FROM dec GROUP BY ALL
+            UNION ALL SELECT 'alerts', decision, count(*) FROM dec WHERE decision <> 'approve' GROUP BY ALL
+            UNION ALL SELECT 'dead letters', replace(errors, ';', '; '), count(*)
+                FROM ({DECODED_SQL}) WHERE errors <> '' GROUP BY ALL""",
+            "dec",
+        )
+    ),
+)
+def q_stream_pipeline(spark, sf_dir):
+    """Raw topic through the one job that feeds all sinks; what each of them holds."""
+    topics, checkpoints = _published(spark, sf_dir)
+    table = f"{topics.root}/table"
+    _finish(start_pipeline(spark, topics, table, checkpoints))
+    label = F.get_json_object(F.col("value").cast("string"), "$.decision").alias("label")
+    held = store.read_table(spark, table).select(F.lit("table").alias("sink"), F.col("decision").alias("label"))
+    for sink, topic in (("scored", config.TOPIC_SCORED), ("alerts", config.TOPIC_ALERTS)):
+        held = held.unionByName(topics.table(spark, topic).select(F.lit(sink).alias("sink"), label))
+    letters = topics.table(spark, config.TOPIC_DEAD_LETTER)
+    held = held.unionByName(
+        letters.select(F.lit("dead letters").alias("sink"), dead_letter.header("error").alias("label"))
+    )
+    return held.groupBy("sink", "label").agg(F.count("*").alias("messages"))
+
+
 @query(
     "q_stream_dead_letters",
     sql(

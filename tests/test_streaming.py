@@ -15,6 +15,7 @@ from riskloom.plans.batch import decide
 from riskloom.sources.topics import Topics
 from riskloom.streaming import jobs
 from riskloom.streaming.delivery import attempt, attempt_all, deliver_alerts
+from riskloom.streaming.pipeline import start_pipeline
 
 from conftest import BASE
 from test_features import fold, random_events
@@ -154,6 +155,39 @@ def test_every_job_on_one_set_of_topics(spark, place):
     assert (undelivered.agg(F.sum("messages")).first()[0] or 0) == declined
 
 
+def test_one_job_feeds_all_sinks_and_reads_each_message_once(spark, place):
+    topics, root = place
+    events = random_events(17, count=80, disorder=900, ties=True)
+    poison = [b"not-json", message(events[0]) | {"amount": -1}, b"\xff", message(events[1]) | {"customer_id": ""}]
+    publish(spark, topics, [*map(message, events[:50]), *poison[:2]], 0)
+    first = jobs_pipeline(spark, topics, f"{root}/table", f"{root}/ck")
+    # The offsets of the rejects lie between; the second run starts from the checkpoint.
+    publish(spark, topics, [*map(message, events[50:]), *poison[2:]], 100)
+    second = jobs_pipeline(spark, topics, f"{root}/table", f"{root}/ck")
+    assert sum(p["numInputRows"] for q in (first, second) for p in q.recentProgress) == 84
+
+    scored = scored_features(spark, topics)
+    expected = fold(events)
+    assert scored == {(s if s < 50 else s + 50): v for s, v in expected.items()}
+    table = store.read_table(spark, f"{root}/table")
+    flagged = table.where("decision != 'approve'").count()
+    assert table.count() == 80 and topics.table(spark, "fraud.alerts").count() == flagged
+    letters = topics.table(spark, DEAD)
+    found = {(r.source, r.error): r.messages for r in dead_letter.profile(letters).collect()}
+    assert found == {
+        ("detector", "body:json"): 2, ("detector", "amount:range"): 1, ("detector", "customer_id:length"): 1
+    }
+    assert {bytes(r.value) for r in letters.collect()} >= {b"not-json", b"\xff"}
+    with pytest.raises(ValueError, match="every"):
+        start_pipeline(spark, topics, f"{root}/table", f"{root}/ck", ttl_ms=1)
+
+
+def jobs_pipeline(spark, topics, table, checkpoints):
+    query = start_pipeline(spark, topics, table, checkpoints)
+    finish(query)
+    return query
+
+
 def test_unreadable_decisions_are_dead_letters_of_the_store(spark, place):
     topics, root = place
     publish(spark, topics, [message(e) for e in random_events(14, count=5)])
