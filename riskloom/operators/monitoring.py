@@ -22,45 +22,28 @@ PERCENTILES = (0.5, 0.95, 0.99)
 HOUR_US = 3_600_000_000
 
 
-def outcome_counters(checked: DataFrame, decisions: DataFrame) -> DataFrame:
-    """Counter values after a batch: accepted or rejected, decisions, failures, alerts."""
-    rejected = F.size("errors") > 0
-    by_outcome = (
-        checked.groupBy(F.when(rejected, "rejected").otherwise("accepted").alias("label"))
-        .agg(F.count("*").alias("value"))
-        .select(F.explode(_counter_names({"rejected": True, "accepted": False})).alias("c"), "value")
-        .select("c.counter", "c.label", "value")
-    )
-    by_decision = decisions.groupBy("decision").agg(F.count("*").alias("value"))
-    detected = by_decision.select(
-        F.explode(
-            F.array(F.lit("detector_transactions"), F.lit("store_decisions"))
-        ).alias("counter"),
-        F.col("decision").alias("label"),
-        "value",
+def outcome_counters(
+    checked: DataFrame, scored: DataFrame, kept: DataFrame, alerted: DataFrame, lines: DataFrame
+) -> DataFrame:
+    """Counter values after a batch, each counted from what its own step left behind.
+
+    `checked` has the `errors` of every message; `scored`, `kept` and `alerted` are the decisions that were made,
+    stored and routed; `lines` has one `line` per alert that was logged.
+    """
+
+    def by(rows: DataFrame, counter: str, label: Column) -> DataFrame:
+        named = rows.groupBy(label.alias("label")).agg(F.count("*").alias("value"))
+        return named.where("label IS NOT NULL").select(F.lit(counter).alias("counter"), "label", "value")
+
+    refused, decision = F.size("errors") > 0, F.col("decision")
+    return (
+        by(checked, "api_transactions", F.when(refused, "rejected").otherwise("accepted"))
+        .unionAll(by(checked, "detector_failures", F.when(refused, "validation")))
+        .unionAll(by(scored, "detector_transactions", decision))
+        .unionAll(by(kept, "store_decisions", decision))
+        .unionAll(by(alerted, "alerts_received", decision))
+        .unionAll(by(lines, "alerts_dispatched", F.when(F.col("line").isNotNull(), "log")))
     )
-    alerts = by_decision.where(F.col("decision") != "approve")
-    received = alerts.select(F.lit("alerts_received").alias("counter"), "decision", "value")
-    logged = alerts.groupBy(
-        F.lit("alerts_dispatched").alias("counter"), F.lit("log").alias("label")
-    ).agg(F.sum("value").alias("value"))
-    return by_outcome.unionAll(detected).unionAll(received).unionAll(logged)
-
-
-def _counter_names(outcomes: dict[str, bool]) -> Column:
-    """A rejected message counts once for the entry and once as a detector failure."""
-
-    def named(counter: str, label: str) -> Column:
-        return F.struct(F.lit(counter).alias("counter"), F.lit(label).alias("label"))
-
-    names = None
-    for outcome, failed in outcomes.items():
-        entries = [named("api_transactions", outcome)]
-        if failed:
-            entries.append(named("detector_failures", "validation"))
-        hit = F.col("label") == outcome
-        names = F.when(hit, F.array(*entries)) if names is None else names.when(hit, F.array(*entries))
-    return names
 
 
 def sink_counters(stored_from: DataFrame, alerted: DataFrame, outcomes: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ derived from all of it.  Probabilities and other computed doubles are rounded to
 places on both sides, instants are shown as UTC wall-clock times.
 """
 
+import json
 import uuid
 from collections.abc import Callable
 
@@ -14,15 +15,16 @@ from pyspark.sql import functions as F
 from riskloom import config
 from riskloom.functions import contract, scoring
 from riskloom.functions.text import alert_line
-from riskloom.operators import dead_letter, evaluation, monitoring, ops, store, training
+from riskloom.operators import artifacts, dead_letter, evaluation, monitoring, ops, store, training
 from riskloom.operators.features import with_feature_vector, with_features
 from riskloom.plans.batch import decide, decide_messages, score_transactions
 from riskloom.plans.oracle import EPOCH, MODEL, newton_sql, sql
 from riskloom.session import checkpoint_dir, prepare, stored
 from riskloom.sources import derived
 from riskloom.sources.tables import transactions
-from riskloom.sources.topics import Topics
+from riskloom.sources.topics import POSITION, Topics
 from riskloom.streaming import jobs
+from riskloom.streaming.counters import read_counters, start_counters
 from riskloom.streaming.delivery import deliver_alerts
 from riskloom.streaming.pipeline import start_pipeline
 
@@ -239,17 +241,47 @@ def q_replay(spark, sf_dir):
     )
 
 
+@query(
+    "q_replay_dry_run",
+    sql(
+        f"""SELECT c.customer_id AS "key", count(*) AS messages, CAST(0 AS BIGINT) AS replayed
+        FROM checked c JOIN ({DECODED_SQL}) d ON c.seq = d."offset" WHERE d.errors <> ''
+        GROUP BY 1""",
+        "checked",
+    ),
+)
+def q_replay_dry_run(spark, sf_dir):
+    """What a replay would publish, after a first dry run that must not have published anything."""
+    root = f"{checkpoint_dir(spark)}/topics-{uuid.uuid4().hex}"
+    topics = Topics(root=root)
+    raw = derived.raw_messages(spark, sf_dir)
+    rejects = contract.rejected(contract.decode_transactions(raw))
+    topics.append(dead_letter.dead_letters(rejects, keep=POSITION), config.TOPIC_DEAD_LETTER)
+    topics.append(raw.limit(0), "replayed")
+    for _ in range(2):
+        listed = jobs.replay(spark, topics, f"{root}/ledger", target="replayed", dry_run=True)
+    replayed = topics.table(spark, "replayed").count()
+    return listed.groupBy(F.col("key").cast("string").alias("key")).agg(
+        F.count("*").alias("messages"), F.lit(replayed).cast("long").alias("replayed")
+    )
+
+
 @query(
     "q_customer_partition_counts",
-    sql("SELECT customer_id, count(*) AS transactions, CAST(1 AS BIGINT) AS partitions FROM txn GROUP BY 1", "txn"),
+    sql(
+        """SELECT customer_id, CAST(user_id % 3 AS INTEGER) AS "partition", count(*) AS messages,
+            min(seq) AS first_offset, max(seq) AS last_offset FROM txn GROUP BY ALL""",
+        "txn",
+    ),
 )
 def q_customer_partition_counts(spark, sf_dir):
-    laid_out = transactions(spark, sf_dir).select("customer_id").repartition(3, "customer_id")
-    per_partition = laid_out.groupBy("customer_id", F.spark_partition_id().alias("place")).agg(
-        F.count("*").alias("n")
-    )
-    return per_partition.groupBy("customer_id").agg(
-        F.sum("n").alias("transactions"), F.count("*").alias("partitions")
+    """The raw topic as it was written: where each customer's messages are, and how far they reach."""
+    root = f"{checkpoint_dir(spark)}/topics-{uuid.uuid4().hex}"
+    topics = Topics(root=root)
+    topics.append(derived.raw_messages(spark, sf_dir), config.TOPIC_RAW, ordered=True)
+    held = topics.table(spark, config.TOPIC_RAW)
+    return held.groupBy(F.col("key").cast("string").alias("customer_id"), "partition").agg(
+        F.count("*").alias("messages"), F.min("offset").alias("first_offset"), F.max("offset").alias("last_offset")
     )
 
 
@@ -1078,6 +1110,51 @@ def q_train_model(spark, sf_dir):
     return numbers.withColumn("number", F.round("number", 6))
 
 
+def _of_messages(statement: str) -> str:
+    """The same SQL over what is left when broken messages have been rejected."""
+    return statement.replace("WHERE errors = '')", "WHERE errors = '' AND k NOT IN (33, 36))")
+
+
+def _refusals() -> dict[str, dict]:
+    """Documents that break the contract of an artifact in one place each."""
+    good = config.PUBLISHED_ARTIFACT
+    names, scale = good["feature_names"], good["scaler_scale"]
+    return {
+        "another version": good | {"artifact_version": good["artifact_version"] + 1},
+        "another feature order": good | {"feature_names": list(reversed(names))},
+        "a weight missing": good | {"coefficients": good["coefficients"][:-1]},
+        "a scale of zero": good | {"scaler_scale": [0.0, *scale[1:]]},
+        "no intercept": {k: v for k, v in good.items() if k != "intercept"},
+    }
+
+
+@query(
+    "q_artifact_roundtrip",
+    sql(
+        f"""SELECT 'decided as ' || decision AS outcome, count(*) AS cases FROM dec GROUP BY ALL
+        UNION ALL SELECT unnest([{", ".join(f"'refused: {case}'" for case in _refusals())}]), 1""",
+        "dec",
+    ),
+)
+def q_artifact_roundtrip(spark, sf_dir):
+    """All transactions decided with an artifact written to shared storage and read back; broken ones are refused."""
+    root = f"{checkpoint_dir(spark)}/artifacts-{uuid.uuid4().hex}"
+    artifacts.save_artifact(spark, config.PUBLISHED_ARTIFACT, f"{root}/model.json")
+    loaded = artifacts.load_artifact(spark, f"{root}/model.json")
+    refused = []
+    for number, (case, document) in enumerate(_refusals().items()):
+        text = spark.createDataFrame([(json.dumps(document),)], "value string")
+        text.coalesce(1).write.text(f"{root}/{number}")
+        try:
+            artifacts.load_artifact(spark, f"{root}/{number}")
+        except ValueError:
+            refused.append((f"refused: {case}", 1))
+    decided = decide(transactions(spark, sf_dir), artifact=loaded).groupBy("decision").agg(F.count("*").alias("cases"))
+    return decided.select(F.concat(F.lit("decided as "), "decision").alias("outcome"), "cases").unionByName(
+        spark.createDataFrame(refused, "outcome string, cases long")
+    )
+
+
 # --- monitoring ----------------------------------------------------------------------------------------
 
 
@@ -1098,7 +1175,32 @@ def q_train_model(spark, sf_dir):
     ),
 )
 def q_outcome_counters(spark, sf_dir):
-    return monitoring.outcome_counters(_checked(spark, sf_dir), _decisions(spark, sf_dir))
+    """Every counter from its own rows: checked messages, decisions, stored rows, routed alerts, logged lines."""
+    checked = stored(_checked(spark, sf_dir).select("seq", "errors"))
+    scored = stored(_decisions(spark, sf_dir))
+    kept = store.enforce(store.store_rows(scored))
+    alerted = ops.alerts(scored)
+    return monitoring.outcome_counters(checked, scored, kept, alerted, alerted.select(alert_line().alias("line")))
+
+
+@query(
+    "q_stream_counters",
+    _of_messages(
+        sql(
+            f"""SELECT 'detector_transactions' AS counter, decision AS label, count(*) AS value FROM dec GROUP BY ALL
+            UNION ALL SELECT 'alerts_received', decision, count(*) FROM dec WHERE decision <> 'approve' GROUP BY ALL
+            UNION ALL SELECT 'detector_failures', 'validation', count(*)
+                FROM ({DECODED_SQL}) WHERE errors <> ''""",
+            "dec",
+        )
+    ),
+)
+def q_stream_counters(spark, sf_dir):
+    """Counters kept by a stream over the topics that the one job for all sinks has written."""
+    topics, checkpoints = _published(spark, sf_dir)
+    _finish(start_pipeline(spark, topics, f"{topics.root}/table", checkpoints))
+    _finish(start_counters(spark, topics, f"{topics.root}/counters", checkpoints))
+    return read_counters(spark, f"{topics.root}/counters")
 
 
 def _bound_text():
@@ -1431,11 +1533,6 @@ def _finish(*queries) -> None:
         streaming.awaitTermination()
 
 
-def _of_messages(statement: str) -> str:
-    """The same SQL over what is left when broken messages have been rejected."""
-    return statement.replace("WHERE errors = '')", "WHERE errors = '' AND k NOT IN (33, 36))")
-
-
 @query("q_message_decisions", _of_messages(sql(DECISIONS_SQL, "dec")))
 def q_message_decisions(spark, sf_dir):
     """The batch counterpart of the stream: JSON messages in arrival order."""

@@ -60,6 +60,9 @@ class Topics:
         if self.brokers:
             reader = spark.readStream.format("kafka").options(**self._kafka(topic))
             return reader.option("maxOffsetsPerTrigger", self.offsets_per_batch).load()
+        # A topic exists before its first message.
+        place = spark._jvm.org.apache.hadoop.fs.Path(self.path(topic))
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(place)
         reader = spark.readStream.schema(MESSAGE_SCHEMA).option(
             "maxFilesPerTrigger", self.files_per_batch
         )

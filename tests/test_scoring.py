@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from riskloom.config import PUBLISHED_ARTIFACT, Artifact, Settings, published_artifact, write_artifact
 from riskloom.functions.scoring import outcome, with_probability, with_scores
 from riskloom.functions.text import alert_line, float_text
+from riskloom.operators.artifacts import load_artifact, save_artifact
 from riskloom.plans.batch import decide
 
 FEATURES = (
@@ -155,3 +156,32 @@ def test_artifact_contract(tmp_path):
     ):
         with pytest.raises(ValueError):
             Artifact.from_dict(PUBLISHED_ARTIFACT | change)
+
+
+def test_artifacts_on_shared_storage(spark, tmp_path):
+    path = f"file://{tmp_path}/deep/model.json"
+    save_artifact(spark, PUBLISHED_ARTIFACT, path)
+    assert load_artifact(spark, path) == published_artifact()
+    changed = PUBLISHED_ARTIFACT | {"intercept": 1.5}
+    save_artifact(spark, changed, path)
+    assert load_artifact(spark, path).intercept == 1.5
+    # A document that breaks the contract is not written, and what is there stays.
+    with pytest.raises(ValueError, match="lengths|length"):
+        save_artifact(spark, PUBLISHED_ARTIFACT | {"coefficients": [1.0]}, path)
+    assert load_artifact(spark, path).intercept == 1.5
+    assert [p.name for p in (tmp_path / "deep").iterdir() if p.suffix == ".json"] == ["model.json"]
+
+
+@pytest.mark.parametrize(
+    ("text", "reason"),
+    [
+        ("", "not JSON"), ("[1]", "object"), ("{", "not JSON"), ('{"artifact_version": 1}', "version"),
+        ('{"artifact_version": 2}', "without"),
+        (json.dumps(PUBLISHED_ARTIFACT | {"scaler_mean": 3}), "type"),
+        (json.dumps(PUBLISHED_ARTIFACT | {"scaler_scale": [1, 1, 1, 1, -1]}), "above zero"),
+    ],
+)
+def test_broken_artifacts_are_refused(spark, tmp_path, text, reason):
+    (tmp_path / "model.json").write_text(text)
+    with pytest.raises(ValueError, match=reason):
+        load_artifact(spark, str(tmp_path / "model.json"))

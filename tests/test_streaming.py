@@ -14,6 +14,7 @@ from riskloom.operators import dead_letter, store
 from riskloom.plans.batch import decide
 from riskloom.sources.topics import Topics
 from riskloom.streaming import jobs
+from riskloom.streaming.counters import read_counters, start_counters
 from riskloom.streaming.delivery import attempt, attempt_all, deliver_alerts
 from riskloom.streaming.pipeline import start_pipeline
 
@@ -188,6 +189,33 @@ def jobs_pipeline(spark, topics, table, checkpoints):
     return query
 
 
+def test_counters_show_a_lost_alert_and_go_on_after_a_restart(spark, place):
+    topics, root = place
+    events = random_events(18, count=30)
+
+    def counted():
+        finish(start_counters(spark, topics, f"{root}/counters", f"{root}/ck"))
+        return {(r.counter, r.label): r.value for r in read_counters(spark, f"{root}/counters").collect()}
+
+    assert counted() == {}
+    publish(spark, topics, [*map(message, events[:20]), b"not-json"])
+    jobs_pipeline(spark, topics, f"{root}/table", f"{root}/ck")
+    first = counted()
+    scored = {label: n for (counter, label), n in first.items() if counter == "detector_transactions"}
+    received = {label: n for (counter, label), n in first.items() if counter == "alerts_received"}
+    assert sum(scored.values()) == 20 and received and first["detector_failures", "validation"] == 1
+    assert received == {label: n for label, n in scored.items() if label != "approve"}
+    # A decision that never reaches the alert topic, and an alert that could not be delivered.
+    other = topics.table(spark, SCORED).where("value LIKE '%review%' OR value LIKE '%decline%'").limit(1)
+    topics.append(spark.createDataFrame(other.collect(), other.schema), SCORED)
+    letters = dead_letter.dead_letters(other, source="alerter-webhook", error="x", keep=("partition", "offset"))
+    topics.append(spark.createDataFrame(letters.collect(), letters.schema), DEAD)
+    second = counted()
+    assert sum(n for (c, _), n in second.items() if c == "detector_transactions") == 21
+    assert {label: n for (c, label), n in second.items() if c == "alerts_received"} == received
+    assert second["alert_failures", "webhook"] == 1
+
+
 def test_unreadable_decisions_are_dead_letters_of_the_store(spark, place):
     topics, root = place
     publish(spark, topics, [message(e) for e in random_events(14, count=5)])
