@@ -24,15 +24,27 @@ def documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     )
 
 
-def by_document(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """`docs` with `__id` and `__hash`, for joins with what an operator says of a document."""
+def free_names(df: DataFrame, *wanted: str) -> list[str]:
+    """The wanted names, each with as many underscores behind it as it takes to be no column of `df`."""
+    taken, names = {c.lower() for c in df.columns}, []
+    for name in wanted:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        names.append(name)
+    return names
+
+
+def by_document(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, list[str]]:
+    """`docs` with the id and the text hash that operators know a document by, and the names of these columns."""
+    key = free_names(docs, "__id", "__hash")
     text = F.coalesce(docs[text_col].cast("string"), F.lit(""))
-    return docs.withColumns({"__id": docs[id_col].cast("long"), "__hash": F.xxhash64(text)})
+    return docs.withColumns({key[0]: docs[id_col].cast("long"), key[1]: F.xxhash64(text)}), key
 
 
-def same_document(left: DataFrame, right: DataFrame):
+def same_document(left: DataFrame, key: list[str], right: DataFrame):
     """The join condition between `by_document` rows and an operator's (`id`, `text_hash`)."""
-    return left["__id"].eqNullSafe(right["id"]) & (left["__hash"] == right["text_hash"])
+    return left[key[0]].eqNullSafe(right["id"]) & (left[key[1]] == right["text_hash"])
 
 
 def in_slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:

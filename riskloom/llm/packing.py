@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import in_slices
+from riskloom.llm.common import free_names, in_slices
 from riskloom.session import stored
 
 LENGTH = 4096
@@ -261,27 +261,28 @@ def local_search(bins: list[list[int]], lengths: np.ndarray, capacity: int) -> l
 
 
 def pack(parts: DataFrame, length: int = LENGTH, shard: int = SHARD) -> DataFrame:
-    """Adds `sequence_id` and `offset` to pieces with a `length`; other columns stay."""
-    names = [c for c in parts.columns if c != "__row"]
-    rows = stored(parts.withColumn("__row", F.monotonically_increasing_id()))
+    """Adds `sequence_id` and `offset` to pieces with a `length`, in place of columns so named; all others stay."""
+    names = [c for c in parts.columns if c.lower() not in ("sequence_id", "offset")]
+    row_name, shard_name = free_names(parts, "__row", "__shard")
+    rows = stored(parts.select(*names).withColumn(row_name, F.monotonically_increasing_id()))
     shards = max(1, -(-rows.where(F.col("length") < length).count() // shard))
     full = rows.where(F.col("length") >= length).select(
-        *names, (-1 - F.col("__row")).alias("sequence_id"), F.lit(0).cast("long").alias("offset")
+        *names, (-1 - F.col(row_name)).alias("sequence_id"), F.lit(0).cast("long").alias("offset")
     )
 
     def packed(table: pa.Table) -> pa.Table:
-        table = table.sort_by("__row")
+        table = table.sort_by(row_name)
         lengths = table["length"].to_numpy()
         bins = local_search(best_fit(lengths, length), lengths, length)
         sequence, offset = np.empty(len(lengths), np.int64), np.empty(len(lengths), np.int64)
         for b, members in enumerate(bins):
             sequence[members] = b
             offset[members] = np.cumsum(lengths[members]) - lengths[members]
-        base = table["__shard"][0].as_py() << 32
+        base = table[shard_name][0].as_py() << 32
         placed = table.select(names).append_column("sequence_id", pa.array(base + sequence))
         return placed.append_column("offset", pa.array(offset))
 
     short = rows.where(F.col("length") < length).withColumn(
-        "__shard", F.pmod(F.xxhash64("__row"), F.lit(shards))
+        shard_name, F.pmod(F.xxhash64(row_name), F.lit(shards))
     )
-    return full.unionByName(short.groupBy("__shard").applyInArrow(packed, full.schema))
+    return full.unionByName(short.groupBy(shard_name).applyInArrow(packed, full.schema))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry_points
 import corpus_pipeline
 from conftest import SF
-from riskloom.llm import decontam, minhash, quality, secrets
+from riskloom.llm import decontam, minhash, packing, quality, secrets
 from riskloom.llm.queries import ORACLES, QUERIES, table
 from riskloom.session import stored
 
@@ -68,6 +68,23 @@ def test_everything_left_is_packed(stages):
     assert out.groupBy("sequence_id").agg(F.sum("length").alias("n")).where("n > 4096").count() == 0
 
 
+def test_columns_named_as_internal_ones_come_back(spark):
+    """The operators' own columns get other names where the input has them."""
+    base = table(spark, SF, "documents")
+    extra = {name: F.concat(F.lit(f"keep {name} "), "doc_id") for name in ("__id", "__HASH", "__n", "__row", "__shard")}
+    docs = stored(base.withColumns(extra))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stored(stage(spark, docs, SF))
+        assert out.columns == docs.columns, name
+        kept = out.where(F.expr(" AND ".join(f"`{c}` = concat('keep {c} ', doc_id)" for c in extra)))
+        assert kept.count() == out.count() > 0, name
+    pieces = docs.select("doc_id", *extra, F.lit(100).cast("long").alias("length"), F.lit("x").alias("offset"))
+    packed = packing.pack(pieces)
+    assert set(packed.columns) == {"doc_id", *extra, "length", "offset", "sequence_id"}
+    assert packed.where("__row = concat('keep __row ', doc_id)").count() == docs.count()
+    assert dict(packed.dtypes)["offset"] == "bigint"
+
+
 def test_repeated_rows_leave_one(spark):
     text = "one two three four five six seven eight nine ten"
     rows = [(1, text), (1, text), (2, text), (3, ""), (3, ""), (None, "alone with no id at all here"), (4, None)]
