@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from riskloom.llm import decontam, minhash, packing, quality, secrets
-from riskloom.llm.common import by_document, same_document
+from riskloom.llm.common import by_document, free_names, same_document
 from riskloom.llm.queries import table, tokenizer
 from riskloom.session import checkpoint_dir
 
@@ -30,21 +30,22 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
         F.count("*").alias("rows"), F.min("chosen").alias("chosen"), F.max("n_shingles").alias("shingles")
     )
     odd = counts.where("NOT chosen OR (rows > 1 AND shingles > 0)").select("id", "text_hash", "chosen")
-    rows = by_document(docs)
+    rows, key = by_document(docs)
     names = docs.columns
-    plain = rows.join(odd, same_document(rows, odd), "left_anti").select(names)
+    plain = rows.join(odd, same_document(rows, key, odd), "left_anti").select(names)
     again = odd.where("chosen")
-    repeated = rows.join(again, same_document(rows, again), "left_semi")
-    one = Window.partitionBy("__id", "__hash").orderBy(F.lit(0))
-    first = repeated.withColumn("__n", F.row_number().over(one)).where("__n = 1").select(names)
+    repeated = rows.join(again, same_document(rows, key, again), "left_semi")
+    (number,) = free_names(rows, "__n")
+    one = Window.partitionBy(*key).orderBy(F.lit(0))
+    first = repeated.withColumn(number, F.row_number().over(one)).where(F.col(number) == 1).select(names)
     return plain.unionByName(first)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents that contain an item of the benchmark."""
     found = decontam.contaminated(docs, table(spark, sf_dir, "benchmark"))
-    rows = by_document(docs)
-    return rows.join(found, same_document(rows, found), "left_anti").select(docs.columns)
+    rows, key = by_document(docs)
+    return rows.join(found, same_document(rows, key, found), "left_anti").select(docs.columns)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
