@@ -27,6 +27,7 @@ from riskloom.streaming import jobs
 from riskloom.streaming.counters import read_counters, start_counters
 from riskloom.streaming.delivery import deliver_alerts
 from riskloom.streaming.pipeline import start_pipeline
+from riskloom.streaming.progress import batch_durations, record_progress
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -1577,6 +1578,29 @@ def q_stream_pipeline(spark, sf_dir):
     return held.groupBy("sink", "label").agg(F.count("*").alias("messages"))
 
 
+@query(
+    "q_stream_durations",
+    sql(
+        """SELECT count(*) AS events, true AS each_batch_once, true AS all_timed FROM txn""",
+        "txn",
+    ),
+)
+def q_stream_durations(spark, sf_dir):
+    """What a listener recorded while the scoring stream ran: the events of its batches add up to all messages."""
+    topics, checkpoints = _published(spark, sf_dir)
+    listener = record_progress(spark, f"{topics.root}/progress")
+    scoring_query = jobs.start_scoring(spark, topics, checkpoints)
+    _finish(scoring_query)
+    listener.wait_for(scoring_query)
+    spark.streams.removeListener(listener)
+    batches = batch_durations(spark, f"{topics.root}/progress")
+    return batches.where(F.col("run") == str(scoring_query.runId)).agg(
+        F.sum("events").alias("events"),
+        (F.count("*") == F.count_distinct("batch")).alias("each_batch_once"),
+        F.min(F.col("seconds") > 0).alias("all_timed"),
+    )
+
+
 @query(
     "q_stream_dead_letters",
     sql(

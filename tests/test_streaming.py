@@ -17,6 +17,7 @@ from riskloom.streaming import jobs
 from riskloom.streaming.counters import read_counters, start_counters
 from riskloom.streaming.delivery import attempt, attempt_all, deliver_alerts
 from riskloom.streaming.pipeline import start_pipeline
+from riskloom.streaming.progress import batch_durations, record_progress
 
 from conftest import BASE
 from test_features import fold, random_events
@@ -189,6 +190,20 @@ def jobs_pipeline(spark, topics, table, checkpoints):
     return query
 
 
+def test_every_batch_is_recorded_however_many_there_are(spark, place):
+    topics, root = place
+    for start in range(0, 30, 10):  # a file each, and so a batch each
+        publish(spark, topics, [message(e) for e in random_events(19, count=30)[start : start + 10]], start)
+    listener = record_progress(spark, f"{root}/progress")
+    query = jobs.start_scoring(spark, topics, f"{root}/ck")
+    finish(query)
+    assert listener.wait_for(query)
+    spark.streams.removeListener(listener)
+    found = batch_durations(spark, f"{root}/progress").collect()
+    assert [(r.batch, r.events) for r in sorted(found, key=lambda r: r.batch)] == [(0, 10), (1, 10), (2, 10)]
+    assert all(r.seconds > 0 and r.per_event == pytest.approx(r.seconds / 10) for r in found)
+
+
 def test_counters_show_a_lost_alert_and_go_on_after_a_restart(spark, place):
     topics, root = place
     events = random_events(18, count=30)
