@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from riskloom.llm import (
     chat, components, decontam, fingerprints, lines, minhash, packing, quality, rules, secrets, suffixes, urls,
 )
+from riskloom.llm.common import documents
 from riskloom.llm.queries import tokenizer
 
 SYLLABLES = "the of an er in ti on th es nd ea re ha or sh wh".split()
@@ -239,22 +240,68 @@ def test_redaction_keeps_rows_and_nulls(docs, empty):
 # --- lines ----------------------------------------------------------------------------------------
 
 
+def run_keys(text):
+    """First and last unit and the units of each shortest run of a text, and the units."""
+    there = [u for u in lines.units(text) if u[2]]
+    counts = [len(u[2]) for u in there]
+    spans = set()
+    for i in range(len(there)):
+        ends = [j for j in range(i, len(there)) if sum(counts[i : j + 1]) >= lines.MIN_WORDS]
+        starts = [j for j in range(i + 1) if sum(counts[j : i + 1]) >= lines.MIN_WORDS]
+        spans |= {(i, ends[0])} if ends else set()
+        spans |= {(starts[-1], i)} if starts else set()
+    return [(i, j, tuple(" ".join(u[2]) for u in there[i : j + 1])) for i, j in sorted(spans)], there
+
+
+def without_repeats(rows):
+    """The kept text of each (rank, text) of distinct documents, and how many units went, by plain search."""
+    first = {}
+    for rank, text in rows:
+        for _, _, run in run_keys(text)[0]:
+            first[run] = min(first.get(run, rank), rank)
+    shared = Counter(run for rank, text in rows for run in {r for _, _, r in run_keys(text)[0]})
+    answers = []
+    for rank, text in rows:
+        every, there = run_keys(text)
+        gone, stays, seen = set(), set(), {}
+        for i, j, run in every:
+            at = seen.setdefault(run, (i, j))
+            place = set(range(there[i][0], there[j][1]))
+            if at[1] < i:
+                gone |= place
+                if first[run] == rank:
+                    stays |= set(range(there[at[0]][0], there[at[1]][1]))
+            elif first[run] < rank:
+                gone |= place
+            elif shared[run] > 1:
+                stays |= place
+        units = sum(there[i][0] in gone - stays for i in range(len(there)))
+        answers.append(("".join(c for k, c in enumerate(text) if k not in gone - stays), units))
+    return answers
+
+
 def test_units_later_than_the_first_go(docs, empty):
-    rows = sorted({(d if d is not None else 2**63 - 1, t) for d, t in plain(docs)})
+    rows = sorted(
+        {
+            ((2**63 - 1, r["text_hash"]) if r["id"] is None else (r["id"], 0), r["text"])
+            for r in documents(docs).collect()
+        }
+    )
     ids = {}
     for rank, text in rows:
         for _, _, words in lines.units(text):
             if len(words) >= lines.MIN_WORDS:
                 ids.setdefault(" ".join(words), rank)
-    expected = Counter()
-    for doc_id, text in plain(docs):
-        rank, seen, kept = doc_id if doc_id is not None else 2**63 - 1, set(), ""
+    texts, expected = Counter(plain(docs)), Counter()
+    for rank, text in rows:
+        seen, kept = set(), ""
         for start, end, words in lines.units(text):
             unit = " ".join(words)
             gone = len(words) >= lines.MIN_WORDS and (rank > ids[unit] or unit in seen)
             seen.add(unit)
             kept += "" if gone else text[start:end]
-        expected[doc_id, kept] += 1
+        doc_id = None if rank[0] == 2**63 - 1 else rank[0]
+        expected[doc_id, kept] += texts[doc_id, text]
     found = lines.dedup(docs).collect()
     assert Counter((r["doc_id"], r["kept_text"]) for r in found) == expected
     assert sum(r["n_removed"] for r in found) > 0
@@ -271,32 +318,48 @@ def test_repeated_runs_of_short_sentences_go(spark):
     for _ in range(60):
         rows.append("".join(rng.choice(short) + rng.choice("  \n") for _ in range(rng.randint(1, 14))))
     rows += ["A b. " * 9, "A b. " * 4 + "\n\n" + "A b.", "Thank you.", "Thank you."]
-    expected, earlier, gone_units = [], set(), []
-    for text in rows:
-        there = [u for u in lines.units(text) if u[2]]
-        every = [
-            (i, j, tuple(" ".join(u[2]) for u in there[i : j + 1]))
-            for i in range(len(there))
-            for j in range(i, len(there))
-            if sum(len(u[2]) for u in there[i : j + 1]) >= lines.MIN_WORDS
-        ]
-        first, gone, units = {}, set(), set()
-        for i, j, run in every:
-            if run in earlier or first.setdefault(run, j) < i:
-                gone |= set(range(there[i][0], there[j][1]))
-                units |= set(range(i, j + 1))
-        earlier |= {run for _, _, run in every}
-        expected.append("".join(c for k, c in enumerate(text) if k not in gone))
-        gone_units.append(len(units))
     docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").repartition(3)
     found = sorted(lines.dedup(docs).collect(), key=lambda r: r["doc_id"])
-    assert [r["kept_text"] for r in found] == expected
-    assert [r["n_removed"] for r in found] == gone_units
+    assert [(r["kept_text"], r["n_removed"]) for r in found] == without_repeats(list(enumerate(rows)))
     assert line in found[0]["kept_text"] and passage in found[0]["kept_text"]
     for r in found[1:12]:
         assert line not in r["kept_text"] and not any(s in r["kept_text"] for s in re.findall(r"[^.]+\.", passage))
 
 
+def test_what_repeats_still_stands_once(spark):
+    a, b, c = "One two three four. ", "Five six seven eight. ", "Nine ten eleven twelve. "
+    rng = random.Random(8)
+    parts = [f"{prose(rng, k)}. " for k in (1, 2, 3, 4, 4, 5, 6, 8, 11)]
+    rows = [a + b, a + b + c, b + c]
+    rows += ["".join(rng.choice(parts) for _ in range(rng.randint(1, 12))) for _ in range(200)]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").repartition(4)
+    kept = {r["doc_id"]: r["kept_text"] for r in lines.dedup(docs).collect()}
+    assert [kept[k] for k in range(3)] == [a + b, b + c, ""]
+    copies, standing = Counter(), set()
+    for text in rows:
+        copies.update({run for _, _, run in run_keys(text)[0]})
+    for text in kept.values():
+        written = [" ".join(u[2]) for u in lines.units(text) if u[2]]
+        standing |= {tuple(written[i:j]) for i in range(len(written)) for j in range(i + 1, len(written) + 1)}
+    repeated = {run for run, n in copies.items() if n > 1}
+    assert len(repeated) > 50 and repeated <= standing
+
+
+def test_documents_without_id_keep_one_occurrence(spark):
+    line = "This line of nine words stands in every text."
+    docs = spark.createDataFrame([(None, f"{line}\n{k}") for k in "abc"], "doc_id long, text string")
+    found = lines.dedup(docs).collect()
+    assert sorted(r["n_removed"] for r in found) == [0, 1, 1]
+    named = lines.dedup(docs.unionByName(spark.createDataFrame([(7, line)], "doc_id long, text string"))).collect()
+    assert [r["n_removed"] for r in named if r["doc_id"] == 7] == [0]
+    assert sorted(r["n_removed"] for r in named) == [0, 1, 1, 1]
+
+
+def test_clearing_spans():
+    assert lines.cleared([(0, 4), (4, 9), (12, 20)], [(3, 5), (8, 13), (15, 16)]) == [(0, 3), (5, 8), (13, 15), (16, 20)]
+    assert lines.cleared([(2, 3)], [(0, 9)]) == [] and lines.cleared([], [(0, 9)]) == []
+
+
 def test_offsets_point_into_the_original(docs):
     texts = dict(plain(docs))
     for row in lines.dedup(docs).where("doc_id <> 2").collect():
