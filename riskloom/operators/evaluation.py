@@ -1,14 +1,15 @@
 """Quality of scores against labels.
 
 Input everywhere: rows with `fraud_probability` and a boolean `label`, null labels
-are ignored.  Rank-based measures first count rows per distinct score and then use
-running totals, so neither many equal scores nor many distinct ones end up in one task.
+are ignored.  Rank-based measures first count rows per distinct score and then use running totals
+or narrow ranges of scores, so neither many equal scores nor many distinct ones end up in one task.
 """
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.operators.ordering import running_totals
+from riskloom.operators.selection import values_at
 from riskloom.session import stored
 
 # The tolerances of the artifact comparison.
@@ -94,18 +95,13 @@ def quantile_edges(counts: DataFrame, bins: int) -> list[float]:
     Returns at most 2 * (bins - 1) numbers to the driver, whatever the table's size.
     """
     n = F.col("pos") + F.col("neg")
-    ranked = running_totals(counts, ["score"], {"upto": n}, is_stored=True)
-    total = ranked.agg(F.max("upto")).first()[0]
+    total = counts.agg(F.sum(n)).first()[0]
     if not total:
         return []
     places = [(total - 1) * i / bins for i in range(1, bins)]
     ranks = sorted({rank for h in places for rank in (int(h), min(int(h) + 1, total - 1))})
-    here = F.col("upto") - F.col("pos") - F.col("neg")
-    at = ranked.agg(
-        *[
-            F.max(F.when((here <= rank) & (F.col("upto") > rank), F.col("score"))).alias(f"r{rank}")
-            for rank in ranks
-        ]
+    at = values_at(
+        counts, [], F.col("score"), {f"r{rank}": lambda size, rank=rank: F.lit(rank) for rank in ranks}, weight=n
     ).first()
     edges = []
     for h in places:

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from riskloom.config import PROBABILITY_BUCKETS
 from riskloom.functions.shape import inline_rows
-from riskloom.operators.ordering import chunked_running, running_totals
+from riskloom.operators.ordering import chunked_running
+from riskloom.operators.selection import values_at
 from riskloom.session import stored
 
 # Default bucket bounds of a duration histogram, in seconds.
@@ -331,21 +332,11 @@ def latency_percentiles(
     requests: DataFrame, keys: list[str], fractions: tuple[float, ...] = PERCENTILES
 ) -> DataFrame:
     """The element at position min(n - 1, floor(n * f)) of each group's sorted seconds."""
-    if not keys:
-        whole = requests.withColumn("scope", F.lit("all"))
-        return latency_percentiles(whole, ["scope"], fractions).drop("scope")
-    counts = requests.groupBy(*keys, "seconds").agg(F.count("*").alias("n"))
-    ranked = running_totals(counts, [*keys, "seconds"], {"upto": F.col("n")})
-    groups = ranked.groupBy(*keys).agg(
-        F.sum("n").alias("size"), F.min(F.col("upto") - F.col("n")).alias("start")
-    )
-    upto = F.col("upto") - F.col("start")
-    picks = []
-    for fraction in fractions:
-        place = F.least(F.col("size") - 1, F.floor(F.col("size") * fraction))
-        hit = F.when(upto > place, F.col("seconds"))
-        picks.append(F.min(hit).alias(f"p{round(fraction * 100)}"))
-    return ranked.join(groups, keys).groupBy(*keys).agg(*picks)
+    places = {
+        f"p{round(fraction * 100)}": lambda size, fraction=fraction: F.least(size - 1, F.floor(size * fraction))
+        for fraction in fractions
+    }
+    return values_at(requests, keys, F.col("seconds"), places)
 
 
 def throughput(requests: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
