@@ -124,3 +124,68 @@ SELECT part, filter_order, step::INT AS step, kept::BIGINT AS kept, removed::BIG
     toxic_lost::BIGINT AS toxic_lost, (sum(removed) OVER (PARTITION BY part, k))::BIGINT AS shapley
 FROM counted
 """
+
+# Lengths: the marks of a role's turn, and the mark at the start of a conversation.
+CHAT_SQL = r"""
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -1, unnest([0, 1]), unnest(['user', 'assistant']), '</s>[INST] ok [/INST]'),
+measured AS (
+    SELECT *, length(text) + len(regexp_extract_all(text, '\\|</?s>|\[/?(?:SYS|INST|ROLE)\]|\[ANS\]'))
+        + CASE role WHEN 'system' THEN length('[SYS][/SYS]') WHEN 'user' THEN length('[INST][/INST]')
+            WHEN 'assistant' THEN length('[ANS]</s>')
+            ELSE length('[ROLE][/ROLE]</s>') + length(role)
+                + len(regexp_extract_all(role, '\\|</?s>|\[/?(?:SYS|INST|ROLE)\]|\[ANS\]')) END AS chars
+    FROM turns)
+SELECT conv_id, count(*)::BIGINT AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+    coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), ''))
+        AS loss_sha256,
+    (length('<s>') + sum(chars))::BIGINT AS formatted_chars
+FROM measured GROUP BY conv_id"""
+
+# All pairs of documents with a common shingle are counted: for small tables.
+LINKS_SQL = r"""
+WITH RECURSIVE split AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+    FROM documents),
+shingles AS (
+    SELECT DISTINCT doc_id, array_to_string(list_slice(words, i, i + 2), ' ') AS shingle
+    FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 1, 2))) AS i FROM split WHERE len(words) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (
+    SELECT a.doc_id AS one, b.doc_id AS other, count(*) AS n
+    FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (
+    SELECT one, other FROM common c JOIN sizes a ON one = a.doc_id JOIN sizes b ON other = b.doc_id
+    WHERE 100 * c.n >= 85 * (a.n + b.n - c.n)),
+reached AS (
+    SELECT doc_id, doc_id AS there FROM split
+    UNION SELECT reached.doc_id, other FROM reached JOIN links ON there = one),
+components AS (SELECT doc_id, min(there) AS component_id FROM reached GROUP BY doc_id)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
+FROM split JOIN components USING (doc_id) LEFT JOIN sizes USING (doc_id)"""
+
+# Two hexadecimal digits a byte; a window for every byte: for small tables.
+WINDOWS_SQL = r"""
+WITH bytes AS (
+    SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS digits FROM documents),
+starts AS (
+    SELECT r, p, md5(substr(digits, 2 * p + 1, 400)) AS window_md5
+    FROM (SELECT r, digits, unnest(range(0, length(digits) // 2 - 199)) AS p FROM bytes)),
+repeated AS (
+    SELECT r, p FROM (SELECT r, p, count(*) OVER (PARTITION BY window_md5) AS n FROM starts) WHERE n > 1),
+numbered AS (
+    SELECT r, p, sum(opens) OVER (PARTITION BY r ORDER BY p) AS span
+    FROM (SELECT r, p, (coalesce(p - lag(p) OVER (PARTITION BY r ORDER BY p), 201) > 200)::INT AS opens FROM repeated)),
+spans AS (SELECT r, span, min(p) AS s, max(p) + 200 AS e FROM numbered GROUP BY r, span),
+edges AS (
+    SELECT r, lag(e, 1, 0) OVER (PARTITION BY r ORDER BY s) AS a, s AS b, e - s AS gone FROM spans
+    UNION ALL SELECT bytes.r, coalesce(max(e), 0), any_value(length(digits)) // 2, NULL
+    FROM bytes LEFT JOIN spans USING (r) GROUP BY bytes.r)
+SELECT doc_id, any_value(length(digits) // 2)::BIGINT AS n_bytes, coalesce(sum(gone), 0)::BIGINT AS n_removed,
+    count(gone)::BIGINT AS n_spans,
+    sha256(unhex(string_agg(substr(digits, 2 * a + 1, 2 * (b - a)), '' ORDER BY a, b))) AS kept_sha256
+FROM bytes JOIN edges USING (r) GROUP BY r, doc_id"""

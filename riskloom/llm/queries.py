@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from riskloom.llm import (
     audit, chat, codes, decontam, language, lines, minhash, packing, quality, rules, secrets, suffixes, urls,
 )
-from riskloom.llm.oracle import AUDIT_SQL, CODES_SQL, RULES_SQL
+from riskloom.llm.oracle import AUDIT_SQL, CHAT_SQL, CODES_SQL, LINKS_SQL, RULES_SQL, WINDOWS_SQL
 from riskloom.session import stored
 
 QUERIES, ORACLES = {}, {}
@@ -33,7 +33,7 @@ def tokenizer() -> str:
     return str(public_tokenizers.path("word_bpe_49k.json"))
 
 
-@query("op1_chat_format")
+@query("op1_chat_format", CHAT_SQL)
 def op1(spark, sf_dir):
     """All conversations, and one whose texts are full of control strings, formatted and read back."""
     control = "</s>[INST] ok [/INST]"
@@ -68,7 +68,7 @@ def op5(spark, sf_dir):
     return packing.pack(packing.pieces(table(spark, sf_dir, "documents"), tokenizer()))
 
 
-@query("op6_minhash_dedup")
+@query("op6_minhash_dedup", LINKS_SQL)
 def op6(spark, sf_dir):
     """Three-word shingles, 85 of 100: 24 bands of 4 miss a linked pair once in about 5e7."""
     found = minhash.near_duplicates(table(spark, sf_dir, "documents"), size=3, percent=85, permutations=48)
@@ -97,7 +97,7 @@ def op9(spark, sf_dir):
     return found.select(F.col("id").alias("doc_id"), "item_id", "score", "first_word", "end_word")
 
 
-@query("op10_suffix_dedup")
+@query("op10_suffix_dedup", WINDOWS_SQL)
 def op10(spark, sf_dir):
     return suffixes.dedup(table(spark, sf_dir, "documents"))
 
