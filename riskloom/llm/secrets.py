@@ -2,10 +2,13 @@ r"""Secret scans by assignment-aware lexing, on top of three fixed patterns.
 
 The lexer reads source and configuration syntax into (name, expression) pairs:
 `name = "literal"`, `"name": "literal"`, `name := literal`, `export NAME=literal`, with `+`
-between literals and names.  Names that were given a literal are constants: used in a
-later expression they stand for their literals.  A pair's score is the sensitivity of its
+between literals and names, in one, two or three quotes or back-ticks, on the next line if the value is quoted, as the
+first line of a YAML block, and as the text of an XML element.  Names that were given a literal are constants: used
+in a later expression, or as `${name}` in double quotes or back-ticks or `$name` outside, they stand for their
+literals; references to other names stand for nothing, and calls are no literals.  A pair's score is the sensitivity of its
 target name times the plausibility of the joined literal; the literals of pairs that reach
-`min_score` are spans of kind `literal`, wherever they were written.
+`min_score` are spans of kind `literal`, wherever they were written.  Names that end by saying what a secret is
+called, where it lies or how long it is (`secretName`, `token_file`) count for little.
 
 Joined literals are kept as their characters' counts, their first `JOINED` characters, and links to the constants they
 were made of, never as copies: constants that are made of themselves or of each other cost the same per term however
@@ -21,6 +24,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import pandas as pd
 import pyarrow as pa
@@ -49,12 +53,26 @@ MIN_SCORE = 0.5
 # Up to this length a joined literal is kept as it is, to be compared with placeholders.
 JOINED = 256
 
+# Last words of names that describe a secret, and what of their sensitivity is left.
+DESCRIBES = frozenset(
+    "name names id ids path file dir url uri type kind count length size limit label field header env prefix ttl".split()
+)
+DESCRIBED = 0.3
+
 _NAME = r"[A-Za-z_][\w.-]*"
-_PAIR = re.compile(rf"(?<![\w.-])[\"']?({_NAME})[\"']?[ \t]*(?::=|=>|=(?![=>])|:(?!:))[ \t]*")
+# A quoted value may stand on the next line, a YAML block starts there.
+_PAIR = re.compile(
+    rf"(?<![\w.-])[\"']?({_NAME})[\"']?[ \t]*(?::=|=>|=(?![=>])|:(?!:))[ \t]*"
+    r"(?:[\\(]?[ \t]*\n[ \t]*(?=[\"'`])|[|>][+-]?[ \t]*\n[ \t]+)?"
+)
+_ELEMENT = re.compile(rf"<({_NAME})(?:[ \t][^<>\n]*)?>[ \t]*([^<>\s][^<>\n]*?)[ \t]*</")
 _TERM = re.compile(
-    rf"\"((?:[^\"\\\n]|\\.)*)\"|'((?:[^'\\\n]|\\.)*)'|({_NAME})(?=[ \t]*(?:[+;,)\]}}#\n]|$))|([A-Za-z0-9+/_.=-]+)"
+    r"\"\"\"(?P<long>[\s\S]*?)\"\"\"|'''(?P<raw>[\s\S]*?)'''|\"(?P<double>(?:[^\"\\\n]|\\.)*)\""
+    r"|'(?P<single>(?:[^'\\\n]|\\.)*)'|`(?P<tick>(?:[^`\\]|\\[\s\S])*)`|\$(?:\{(?P<braced>[^{}\s]*)\}|(?P<dollar>[A-Za-z_]\w*))"
+    rf"|(?P<name>{_NAME})(?=[ \t]*(?:[+;,)\]}}#\n]|$))|(?P<bare>[A-Za-z0-9+/_.=-]++(?![(\[]))"
 )
-_PLUS = re.compile(r"[ \t]*\+[ \t]*")
+_REFERENCE = re.compile(r"\$\{([^{}\s]*)\}")
+_PLUS = re.compile(r"[ \t]*(?:\\?\n[ \t]*)?\+[ \t]*(?:\\?\n[ \t]*)?")
 _WORDS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
 _PLACEHOLDER = re.compile(
     r"(?i)^(?:changeme|example|placeholder|your[-_ ].*|none|null|true|false|x+|\*+|\.+|todo|test|dummy|secret|password|token)$"
@@ -65,7 +83,8 @@ def name_score(name: str) -> float:
     """How much a target name promises a secret, 0 to 1."""
     words = [w.lower() for w in _WORDS.findall(name)]
     joined = sum(sorted((SENSITIVE.get(w, 0.0) for w in words), reverse=True)[:2])
-    return min(1.0, max(joined, SENSITIVE.get("".join(words), 0.0)))
+    score = min(1.0, max(joined, SENSITIVE.get("".join(words), 0.0)))
+    return score * DESCRIBED if words and words[-1] in DESCRIBES else score
 
 
 class Joined:
@@ -127,10 +146,23 @@ def literal_score(value: Joined) -> float:
     return min(1.0, entropy / 4 + 0.15 * (kinds - 1))
 
 
+def interpolated(text: str, start: int, constants: dict[str, Joined]) -> Joined:
+    """A literal that begins at `start`, with its references to constants resolved."""
+    if "${" not in text:
+        return Joined(text, (start, start + len(text)))
+    value, at = Joined(), 0
+    for reference in _REFERENCE.finditer(text):
+        value.add(Joined(text[at : reference.start()], (start + at, start + reference.start())))
+        value.add(constants.get(reference[1]) or Joined())
+        at = reference.end()
+    value.add(Joined(text[at:], (start + at, start + len(text))))
+    return value
+
+
 def assignments(text: str) -> Iterator[tuple[str, Joined]]:
     """The pairs of a text: target name and what its expression stands for.
 
-    An expression ends at the first term that is neither a literal nor a known constant.
+    An expression ends at the first term that is neither a literal, a reference nor a known constant.
     """
     constants: dict[str, Joined] = {}
     at = 0
@@ -138,11 +170,16 @@ def assignments(text: str) -> Iterator[tuple[str, Joined]]:
         name, at = pair[1], pair.end()
         value = Joined()
         while term := _TERM.match(text, at):
-            group = next(g for g in (1, 2, 3, 4) if term[g] is not None)
-            known = constants.get(term[3]) if group == 3 else None
-            if group == 3 and known is None and value.parts:
+            kind, written = term.lastgroup, term[term.lastgroup]
+            known = constants.get(written) if kind in ("name", "braced", "dollar") else None
+            if kind == "name" and known is None and value.parts:
                 break
-            value.add(known or Joined(term[group], term.span(group)))
+            if kind in ("braced", "dollar"):
+                value.add(known or Joined())
+            elif kind in ("long", "double", "tick"):
+                value.add(interpolated(written, term.start(kind), constants))
+            else:
+                value.add(known or Joined(written, term.span(kind)))
             at = term.end()
             plus = _PLUS.match(text, at)
             if not plus:
@@ -153,6 +190,13 @@ def assignments(text: str) -> Iterator[tuple[str, Joined]]:
             yield name, value
 
 
+def elements(text: str) -> Iterator[tuple[str, Joined]]:
+    """The XML elements of a text that hold text and nothing else: name and text."""
+    for element in _ELEMENT.finditer(text):
+        if not element[2].startswith("${"):
+            yield element[1], Joined(element[2], element.span(2))
+
+
 def base_spans(text: str) -> list[tuple[str, int, int]]:
     """Matches of the fixed patterns, by start, then kind."""
     spans = []
@@ -176,11 +220,11 @@ def all_spans(text: str, min_score: float = MIN_SCORE) -> tuple[list, list]:
     """The base spans, and these with the spans of sensitive literals."""
     base = base_spans(text)
     found = set()
-    if "=" in text or ":" in text:
-        for name, value in assignments(text):
-            sensitivity = name_score(name)
-            if sensitivity and sensitivity * literal_score(value) >= min_score:
-                found.update(("literal", start, end) for start, end in value.spans() if end > start)
+    pairs = assignments(text) if "=" in text or ":" in text else ()
+    for name, value in chain(pairs, elements(text) if "</" in text else ()):
+        sensitivity = name_score(name)
+        if sensitivity and sensitivity * literal_score(value) >= min_score:
+            found.update(("literal", start, end) for start, end in value.spans() if end > start)
     return base, sorted([*base, *found], key=_order)
 
 

@@ -116,7 +116,7 @@ def test_queries_are_registered():
 def test_query_equals_sql(spark, name):
     duckdb = pytest.importorskip("duckdb")
     connection = duckdb.connect()
-    for name_of in ("documents", "embeddings", "labels"):
+    for name_of in ("conversations", "documents", "embeddings", "labels"):
         connection.execute(f"CREATE VIEW {name_of} AS SELECT * FROM '{SF}/{name_of}.parquet'")
     result = connection.execute(ORACLES[name])
     names = [c[0] for c in result.description]
