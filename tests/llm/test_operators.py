@@ -645,6 +645,23 @@ def test_long_urls_have_few_tokens_and_one_example_makes_no_rule(spark):
     assert learned[201] == ("block", "host=bad.com")
 
 
+def test_all_segments_and_names_of_a_url_are_used(spark):
+    def far(end, i, names=""):
+        return "/".join(f"s{k}" for k in range(30)) + f"/{end}/{i}?a=1&b=1&c=1{names}"
+
+    rows = [(i, "http://h.com/de/" + far("ads", i)) for i in range(30)]
+    rows += [(100 + i, "http://h.com/fr/" + far("news", i)) for i in range(30)]
+    # The thirty segments are in all of these, blocked or not, and two names block together only.
+    rows += [(200 + i, f"http://k.com/de/{i}?a=1&b=1&c=1&y=1&z=1") for i in range(20)]
+    rows += [(300 + i, f"http://k.com/fr/{i}?a=1&b=1&c=1&{n}=1") for i in range(20) for n in ("y", "z")]
+    rows += [(1000, "http://other.net/x/" + far("ads", 1)), (1001, "http://other.net/x/" + far("news", 1))]
+    rows += [(1002, "http://other.net/?a&b&c&y&z"), (1003, "http://other.net/?a&b&c&z")]
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    learned = {r["page_id"]: (r["verdict"], r["learned"]) for r in urls.filter_urls(pages).collect()}
+    assert learned[1000] == ("block", "path31=ads") and learned[1001] == ("allow", None)
+    assert learned[1002] == ("block", "query=y query=z") and learned[1003] == ("allow", None)
+
+
 def test_urls_stay_in_the_jvm(spark):
     pages = spark.createDataFrame([(1, "http://x.com/de/1"), (2, "http://x.net/de/1")], "page_id long, url string")
     plan = urls.filter_urls(pages)._jdf.queryExecution().toString()
