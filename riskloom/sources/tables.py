@@ -7,6 +7,9 @@ from riskloom.session import prepare
 
 EPOCH_2024_US = 1_704_067_200_000_000
 TIME_COMPRESSION = 250
+# Rows that one task reads, decodes and scores, and how far the largest piece may be above its share.
+ROWS_PER_PIECE = 250_000
+UNEVEN = 1.5
 
 CATEGORY_OF_EVENT = {
     "purchase": "electronics",
@@ -35,16 +38,19 @@ def _pick(values, index: Column) -> Column:
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The table, spread over the cores when it comes in fewer pieces than there are.
+    """The table, in pieces small enough for what is done with a row, and as many as there are cores.
 
-    A file with a single row group is one task however many cores wait; a table of the
-    size that needs a cluster has more pieces than cores and is left as it is read.
+    How a file can be cut depends on its row groups, so many pieces of a file may be empty and one hold most rows.
+    Their rows are therefore counted, which reads the files' footers only, and dealt anew unless they are even.
     """
     prepare(spark)
     table = spark.read.parquet(f"{sf_dir}/events.parquet")
     cores = spark.sparkContext.defaultParallelism
-    if table.select("event_id").rdd.getNumPartitions() < cores:
-        return table.repartition(cores, "event_id")
+    sizes = table.groupBy(F.spark_partition_id().alias("piece")).count()
+    rows, largest = sizes.agg(F.coalesce(F.sum("count"), F.lit(0)), F.coalesce(F.max("count"), F.lit(0))).first()
+    pieces = max(cores, -(-rows // ROWS_PER_PIECE))
+    if largest * pieces > UNEVEN * rows:
+        return table.repartition(pieces, "event_id")
     return table
 
 

@@ -40,7 +40,7 @@ class Topics:
     files_per_batch: int = 200
     offsets_per_batch: int = 5_000_000
     # Messages in one file, and so what one task of a stream reads at least.
-    offsets_per_file: int = 1_000_000
+    offsets_per_file: int = 250_000
     options: dict = field(default_factory=dict)
 
     def path(self, topic: str) -> str:

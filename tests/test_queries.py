@@ -3,6 +3,7 @@
 import math
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import SF
 
@@ -65,3 +66,24 @@ def test_entry(spark):
     assert {r.decision: r.transactions for r in rows} == {
         "approve": 848, "review": 62, "decline": 58
     }
+
+
+def test_events_of_one_row_group_are_dealt_evenly(spark, tmp_path):
+    """A file that is cut into many pieces, all of them empty but the one with the row group."""
+    from riskloom.sources import tables
+
+    rows = spark.range(20_000).selectExpr(
+        "id AS event_id", "TIMESTAMP_NTZ'2024-01-01 00:00:00' AS ts", "id % 9 AS user_id", "'view' AS event_type",
+        "rand(1) AS value", "sha2(CAST(id AS STRING), 256) AS props",
+    )
+    rows.coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        dealt = tables.events(spark, str(tmp_path))
+        sizes = [r["count"] for r in dealt.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert sum(sizes) == 20_000
+    assert max(sizes) <= 1.5 * 20_000 / spark.sparkContext.defaultParallelism
