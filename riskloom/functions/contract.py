@@ -47,6 +47,10 @@ ZONED_PATTERN = (
     r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[Tt ][0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]+)?)?"
     r"([Zz]|[+-][0-9]{2}:?[0-9]{2})\z"
 )
+# The zoned texts that are cast as they are.
+PLAIN_INSTANT_PATTERN = (
+    r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]{1,6})?(Z|[+-][0-9]{2}:[0-9]{2})\z"
+)
 
 
 def _ipv6_pattern() -> str:
@@ -201,11 +205,12 @@ def _document(df: DataFrame, body: str) -> DataFrame:
     """Adds `doc`, the single JSON object in the body, or null.
 
     The parser stops after the first value, so the text is wrapped: anything behind
-    the object then breaks the array, or the enclosing object for a stray "]".
+    the object then breaks the array, or the enclosing object for a stray "]".  Such a
+    one directly follows the object's end, so only texts with "}]" are parsed twice.
     """
     text = F.col("_text")
     wrapped = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
-    closes_early = F.contains(text, F.lit("]")) & F.try_parse_json(
+    closes_early = text.rlike(r"\}[ \t\n\r]*\]") & F.try_parse_json(
         F.concat(F.lit('{"d":'), text, F.lit("}"))
     ).isNull()
     root = F.try_variant_get("_wrapped", "$[0]", "variant")
@@ -220,8 +225,8 @@ def _document(df: DataFrame, body: str) -> DataFrame:
 
 
 # Decoding goes through layers of scratch columns, each computed once and then used by
-# name: `_v_` the field as VARIANT, `_t_` its type tag, `_s_` its text, `_n_` its number,
-# `_p_` the stripped text, `_d_` the number read from either form.
+# name: `_o_` an object's fields, `_v_` the field as VARIANT, `_t_` its type tag, `_s_` its
+# text, `_n_` its number, `_p_` the stripped text, `_d_` the number read from either form.
 
 
 def _scratch(kind: str, name: str) -> Column:
@@ -232,6 +237,11 @@ def _is_number(tag: Column) -> Column:
     return tag.isin("BIGINT", "DOUBLE") | tag.startswith("DECIMAL")
 
 
+def _fields(value: Column, names: list[str]) -> Column:
+    """The named fields of an object as a struct of VARIANT, found in one pass over it; null for anything else."""
+    return F.try_variant_get(value, "$", f"struct<{', '.join(f'`{name}`: variant' for name in names)}>")
+
+
 def _lay_out(
     df: DataFrame, paths: dict[str, str], texts: tuple[str, ...], numbers: tuple[str, ...]
 ) -> DataFrame:
@@ -249,10 +259,17 @@ def _lay_out(
         number = F.try_variant_get(_scratch("v", name), "$", "double")
         return F.when(_is_number(_scratch("t", name)), number)
 
-    fields = {
-        f"_v_{name}": F.try_variant_get("doc", f"$.{path}", "variant")
-        for name, path in paths.items()
-    }
+    # One level of nesting: the names of the root's fields, and below some of them those of theirs.
+    inner: dict[str, list[str]] = {}
+    for path in paths.values():
+        parent, _, child = path.partition(".")
+        inner.setdefault(parent, []).extend([child] if child else [])
+    root = {"_o_": _fields(F.col("doc"), list(inner))}
+    nested = {f"_o_{parent}": _fields(F.col("_o_")[parent], names) for parent, names in inner.items() if names}
+    fields = {}
+    for name, path in paths.items():
+        parent, _, child = path.partition(".")
+        fields[f"_v_{name}"] = F.col(f"_o_{parent}")[child] if child else F.col("_o_")[parent]
     tags = {f"_t_{name}": F.schema_of_variant(_scratch("v", name)) for name in paths}
     forms = {f"_s_{name}": when_text(name) for name in (*texts, *numbers)}
     forms |= {f"_n_{name}": when_number(name) for name in numbers}
@@ -261,7 +278,7 @@ def _lay_out(
     read = {
         f"_d_{name}": F.coalesce(_scratch("n", name), number_from_text(name)) for name in numbers
     }
-    for layer in (fields, tags, forms, stripped, read):
+    for layer in (root, nested, fields, tags, forms, stripped, read):
         df = df.withColumns(layer)
     return df
 
@@ -301,14 +318,17 @@ def _as_boolean(name: str) -> Column:
 def _as_instant(name: str) -> Column:
     """Text with an explicit offset, or seconds / milliseconds since 1970."""
     text, number = _as_text(name), _as_double(name)
-    full = F.regexp_replace(F.upper(text), r"^(.{16})(?=[Z+-])", "$1:00")
+    # The only letters of a zoned text are these two.
+    full = F.regexp_replace(F.translate(text, "tz", "TZ"), r"^(.{16})(?=[Z+-])", "$1:00")
     exact = F.regexp_replace(full, r"(\.[0-9]{6})[0-9]+", "$1")
     seconds = F.when(F.abs(number) > MILLISECONDS_ABOVE, number / 1000).otherwise(number)
     micros = F.when(
         seconds.between(FIRST_SECOND, LAST_SECOND), F.rint(seconds * 1_000_000).cast("long")
     )
-    return F.when(text.rlike(ZONED_PATTERN), exact.try_cast("timestamp")).otherwise(
-        F.timestamp_micros(micros)
+    return (
+        F.when(text.rlike(PLAIN_INSTANT_PATTERN), text.try_cast("timestamp"))
+        .when(text.rlike(ZONED_PATTERN), exact.try_cast("timestamp"))
+        .otherwise(F.timestamp_micros(micros))
     )
 
 
@@ -329,7 +349,7 @@ def _decoded(df: DataFrame, values: dict[str, Column], optional: tuple, checks,
     typed = df.withColumns(values)
     why = {name: _why(name, F.col(name), name in optional) for name in values} | extra_why
     unreadable = F.array(F.lit("body:json"))
-    scratch = [c for c in typed.columns if c[:3] in ("_v_", "_t_", "_s_", "_n_", "_p_", "_d_")]
+    scratch = [c for c in typed.columns if c[:3] in ("_o_", "_v_", "_t_", "_s_", "_n_", "_p_", "_d_")]
     return _computed_once(
         typed.withColumn(
             "errors", F.when(F.col("doc").isNull(), unreadable).otherwise(_errors(checks, why))

@@ -5,6 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from riskloom.functions import contract
 from riskloom.functions.contract import (
     acceptance,
     check_transactions,
@@ -246,3 +247,15 @@ def test_ids_stay_apart_beyond_twelve_digits(spark, tmp_path):
     ids = [r.transaction_id for r in transactions(spark, str(tmp_path)).collect()]
     assert len(set(ids)) == 10 and {len(i) for i in ids} == {36}
     assert "00000000-0000-4000-8000-999999999998" in ids
+
+
+def test_fields_are_found_in_one_pass_and_bodies_parsed_once(spark):
+    bodies = [
+        '{"a":[1]}', '{"a":[{"b":1}]}', "{}] {}", "{} \n] x", '{"a":"}]"}', "{},{}", "{}, 1] {", " {} ", '{"a":[]} [', "[{}]",
+    ]
+    rows = spark.createDataFrame([(i, b.encode()) for i, b in enumerate(bodies)], "n int, value binary")
+    found = {r["n"] for r in contract._document(rows, "value").where("doc IS NOT NULL").collect()}
+    assert found == {0, 1, 4, 7}
+    decoded = contract.decode_decisions(rows)
+    plan = decoded._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("try_variant_get(doc#") == 1
