@@ -122,20 +122,26 @@ def start_alert_routing(
 
 def start_store(
     spark: SparkSession, topics: Topics, table: str, checkpoints: str, every: str | None = None
-) -> tuple[StreamingQuery, StreamingQuery]:
-    """Scored topic -> decision table, and what cannot be read -> dead letters."""
+) -> tuple[StreamingQuery]:
+    """Scored topic -> decision table, and what cannot be read -> dead letters; every message is decoded once."""
     prepare(spark)
     checked = decode_decisions(topics.stream(spark, TOPIC_SCORED))
-    rows = store_rows(valid(checked)).withColumnRenamed("offset", "arrival")
-    stored = rows.drop("key", "value", "headers", "topic", "partition", "timestamp")
+    # Readable messages leave their body behind.
+    bodies = {name: F.when(F.size("errors") > 0, F.col(name)) for name in ("key", "value")}
 
     def merge(batch: DataFrame, number: int) -> None:
-        # The same batch again finds what it staged, and finishes from there.
-        upsert(batch, table, f"{checkpoints}/store-staged/{number:010d}")
-
-    table_query = _start(stored.writeStream.foreachBatch(merge), f"{checkpoints}/store", every)
-    letters = dead_letters(rejected(checked), source=SOURCE_STORE, keep=POSITION)
-    return table_query, _to_dead_letters(topics, letters, f"{checkpoints}/store-rejects", every)
+        kept = batch.persist()
+        try:
+            rows = store_rows(valid(kept)).withColumnRenamed("offset", "arrival")
+            fresh = rows.drop("key", "value", "headers", "topic", "partition", "timestamp")
+            # The same batch again finds what it staged, and finishes from there.
+            upsert(fresh, table, f"{checkpoints}/store-staged/{number:010d}")
+            letters = dead_letters(rejected(kept), source=SOURCE_STORE, keep=POSITION)
+            topics.append(letters, TOPIC_DEAD_LETTER)
+        finally:
+            kept.unpersist()
+
+    return (_start(checked.withColumns(bodies).writeStream.foreachBatch(merge), f"{checkpoints}/store", every),)
 
 
 def start_alert_log(

@@ -245,6 +245,21 @@ def test_unreadable_decisions_are_dead_letters_of_the_store(spark, place):
     assert "transaction_id:missing" in found.error
 
 
+def test_the_store_decodes_each_message_once(spark, place):
+    topics, root = place
+    publish(spark, topics, [message(e) for e in random_events(20, count=30)])
+    finish(jobs.start_scoring(spark, topics, f"{root}/ck"))
+    scored = topics.table(spark, SCORED).withColumn("value", F.when(F.col("offset") % 3 == 0, b"{}").otherwise(F.col("value")))
+    other = Topics(root=f"{root}/other")
+    other.append(scored, SCORED)
+    queries = jobs.start_store(spark, other, f"{root}/table", f"{root}/other-ck")
+    finish(queries)
+    assert len(queries) == 1
+    assert store.read_table(spark, f"{root}/table").count() == 20
+    letters = other.table(spark, DEAD).collect()
+    assert sorted(r.offset for r in letters) == list(range(0, 30, 3)) and {bytes(r.value) for r in letters} == {b"{}"}
+
+
 def test_repeated_run_changes_nothing(spark, place):
     topics, root = place
     publish(spark, topics, [message(e) for e in random_events(15, count=30)])
