@@ -1730,7 +1730,10 @@ def q_alert_delivery(spark, sf_dir):
 )
 def q_sink_counters(spark, sf_dir):
     """Stored, unreadable, dispatched and undelivered, counted from what happened to broken messages."""
-    decoded = stored(contract.decode_decisions(derived.faulty_decisions(spark, sf_dir)))
+    messages = contract.decode_decisions(derived.faulty_decisions(spark, sf_dir))
+    # What is counted, and the bodies that are delivered.
+    routed = F.when(F.col("routed"), F.col("value")).alias("value")
+    decoded = stored(messages.select("decision", "errors", "routed", routed))
     alerted = decoded.where("routed")
     quick = config.Settings(alert_backoff_seconds=0.0)
     outcomes = deliver_alerts(contract.valid(alerted).select("value"), _refuse_declined, quick)
