@@ -5,9 +5,11 @@ ids fall into, takes the latest decision per id of both, and overwrites those pa
 partition overwrite); all others stay as they are.  What a batch costs follows the partitions it touches, so
 batches should be large beside their number (`BUCKETS`, one setting for the life of a table).
 
-The merged rows are written to a staging folder first, because nothing that is being read may be overwritten.
-A batch that is tried again with the same staging folder finds them there and only repeats the overwrite, so a
-failure at any point leaves nothing lost.  One writer at a time.
+Rows are dealt by the id's hash, a bucket over as many tasks as its rows need, so all decisions on an id meet in
+one exchange.  The merged rows are written to a staging folder first, because nothing that is being read may be
+overwritten; the first batch of a table reads none of it and needs no staging.  A batch that is tried again with the
+same staging folder finds them there and only repeats the overwrite, so a failure at any point leaves nothing lost.
+One writer at a time.
 """
 
 import uuid
@@ -29,6 +31,9 @@ ARRIVAL_RANGE = "10000000000000000000BD"
 # Partitions of the table, and how finely rows are ordered inside one.
 BUCKETS = 64
 DECISION_BITS, TIME_BITS, RISK_BITS = 2, 10, 7
+# Rows that one task merges and sorts, and the parts of a bucket that are counted to find ids with too many copies for it.
+ROWS_PER_PIECE = 500_000
+CELLS = 1024
 
 
 def store_rows(decisions: DataFrame) -> DataFrame:
@@ -134,9 +139,14 @@ def _bucket(transaction_id: Column) -> Column:
     return F.pmod(F.xxhash64(transaction_id), F.lit(BUCKETS)).cast("int")
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+def _part(transaction_id: Column, parts: int) -> Column:
+    """Which of so many parts of its bucket an id falls into, by other bits of the hash than the bucket."""
+    return F.pmod(F.shiftrightunsigned(F.xxhash64(transaction_id), 32), F.lit(parts)).cast("int")
+
+
+def _exists(spark: SparkSession, pattern: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    return bool(place.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(place))
 
 
 def interleaved(*dimensions: tuple[Column, int]) -> Column:
@@ -163,29 +173,52 @@ def interleaved(*dimensions: tuple[Column, int]) -> Column:
     return key
 
 
-def _layout(rows: DataFrame) -> Column:
-    """The order of rows inside a partition: decision, risk and time alike, as they are asked for by each."""
-    ends = rows.agg(F.min("event_time").alias("low"), F.max("event_time").alias("high"))
+def _laid_out(rows: DataFrame, source: DataFrame) -> DataFrame:
+    """Rows sorted inside their partition by decision, risk and time alike, as they are asked for by each.
+
+    The range of times is read from `source`, which has all times of `rows`.
+    """
+    ends = source.agg(F.min("event_time").alias("low"), F.max("event_time").alias("high"))
     low, high = ends.select(F.unix_micros("low"), F.unix_micros("high")).first()
     steps = 2**TIME_BITS - 1
     span = max((high or 0) - (low or 0), 1)
     time = F.floor((F.unix_micros("event_time") - F.lit(low or 0)) / F.lit(span) * steps)
     risk = F.floor(F.col("risk_score").cast("int") * (2**RISK_BITS - 1) / 100)
     decision = F.coalesce(F.array_position(F.array(*map(F.lit, OUTCOMES)), F.col("decision")), F.lit(0))
-    return interleaved((decision, DECISION_BITS), (time, TIME_BITS), (risk, RISK_BITS))
+    key = interleaved((decision, DECISION_BITS), (time, TIME_BITS), (risk, RISK_BITS))
+    return rows.withColumn("_key", key).sortWithinPartitions("bucket", "_key", "event_time").drop("_key")
+
 
+def upsert(
+    rows: DataFrame, root: str, staging: str | None = None, is_stored: bool = False, **options: str
+) -> None:
+    """Brings `rows` into the table; a repeated call with the same `staging` folder only finishes the first one.
 
-def upsert(rows: DataFrame, root: str, staging: str | None = None, **options: str) -> None:
-    """Brings `rows` into the table; a repeated call with the same `staging` folder only finishes the first one."""
+    `rows` are read several times: unless `is_stored` says that they can be read cheaply, they are stored before.
+    """
     spark = rows.sparkSession
     place = staging or f"{checkpoint_dir(spark)}/upsert-{uuid.uuid4().hex}"
-    if rows.isEmpty():
-        return
     if not _exists(spark, f"{place}/_SUCCESS"):
-        _merged(rows, root).write.mode("overwrite").partitionBy("bucket").parquet(place)
+        fresh, sizes = _fresh(rows if is_stored else stored(rows))
+        if not sizes:
+            return
+        if not _exists(spark, f"{root}/bucket=*"):
+            _overwrite(_laid_out(_merged(fresh, max(sizes.values())), fresh), root, **options)
+            return
+        old = with_rule_score(spark.read.option("mergeSchema", "true").parquet(root))
+        touched = old.where(F.col("bucket").isin(list(sizes)))
+        for bucket, n in touched.groupBy("bucket").count().collect():
+            sizes[bucket] += n
+        both = touched.unionByName(fresh, allowMissingColumns=True)
+        _merged(both, max(sizes.values())).write.mode("overwrite").parquet(place)
+    staged = spark.read.parquet(place)
+    _overwrite(_laid_out(staged, staged), root, **options)
+
+
+def _overwrite(rows: DataFrame, root: str, **options: str) -> None:
+    """Replaces the partitions that `rows` fall into."""
     (
-        spark.read.parquet(place)
-        .write.mode("overwrite")
+        rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         # Serves lookups by transaction, which no sort order of the table helps.
         .option("parquet.bloom.filter.enabled#transaction_id", "true")
@@ -196,24 +229,44 @@ def upsert(rows: DataFrame, root: str, staging: str | None = None, **options: st
     )
 
 
-def _merged(rows: DataFrame, root: str) -> DataFrame:
-    """The new contents of the partitions that `rows` fall into, laid out for the access paths."""
-    spark = rows.sparkSession
-    fresh = stored(
-        enforce(with_rule_score(rows)).withColumns(
-            {"ingested_at": F.current_timestamp(), "bucket": _bucket(F.col("transaction_id"))}
-        )
+def _fresh(source: DataFrame) -> tuple[DataFrame, dict[int, int]]:
+    """A stored batch as table rows, and how many of them each of its buckets has.
+
+    Ids fall evenly into the parts of a bucket, so a part too large for a task holds an id with very many copies:
+    then only the latest decisions of the batch go on, found without bringing the copies together.
+    """
+    checked = enforce(with_rule_score(source))
+    sizes, largest = _sizes(source)
+    if largest > ROWS_PER_PIECE:
+        checked = stored(latest_decisions(checked))
+        sizes, _ = _sizes(checked)
+    stamps = {"ingested_at": F.current_timestamp(), "bucket": _bucket(F.col("transaction_id"))}
+    return checked.withColumns(stamps), sizes
+
+
+def _sizes(rows: DataFrame) -> tuple[dict[int, int], int]:
+    """Rows per bucket, and those of the largest of `CELLS` parts of a bucket."""
+    name = F.col("transaction_id")
+    cells = rows.groupBy(_bucket(name).alias("bucket"), _part(name, CELLS).alias("cell")).count()
+    found = cells.groupBy("bucket").agg(F.sum("count").alias("n"), F.max("count").alias("largest")).collect()
+    return {r.bucket: r.n for r in found}, max((r.largest for r in found), default=0)
+
+
+def _merged(rows: DataFrame, largest: int) -> DataFrame:
+    """The latest decision per id, as `latest_decisions` finds it, of rows whose largest bucket has so many.
+
+    A task gets a part of one bucket, whole ids, and sorts them by hash, which a number tells apart.
+    """
+    parts = -(-largest // ROWS_PER_PIECE)
+    name = F.col("transaction_id")
+    dealt = rows.withColumns(
+        {"_task": F.col("bucket") * parts + _part(name, parts), "_hash": F.xxhash64(name)}
+    ).repartitionById(BUCKETS * parts, "_task")
+    newest = Window.partitionBy("_hash", "_task", "transaction_id").orderBy(
+        F.desc("processed_at"), F.desc("arrival")
     )
-    both = fresh
-    if _exists(spark, root):
-        touched = [r.bucket for r in fresh.select("bucket").distinct().collect()]
-        old = with_rule_score(spark.read.option("mergeSchema", "true").parquet(root))
-        both = old.where(F.col("bucket").isin(touched)).unionByName(fresh, allowMissingColumns=True)
-    latest = stored(latest_decisions(both))
-    # By range, so a bucket of any size gets as many writers as it needs, each with a stretch of its order.
-    ordered = latest.withColumn("_key", _layout(latest))
-    keys = ["bucket", "_key", "event_time"]
-    return ordered.repartitionByRange(*keys).sortWithinPartitions(*keys).drop("_key")
+    latest = dealt.withColumn("_row", F.row_number().over(newest)).where("_row = 1")
+    return latest.drop("_task", "_hash", "_row")
 
 
 def read_table(spark: SparkSession, root: str) -> DataFrame:

@@ -764,7 +764,7 @@ def q_store_top_risk(spark, sf_dir):
     began = spark.range(1).select(F.current_timestamp().alias("t")).first().t
     rows = stored(store.store_rows(_log(spark, sf_dir)))
     for part in (0, 1):
-        store.upsert(rows.where(F.col("arrival") % 2 == part), root)
+        store.upsert(rows.where(F.col("arrival") % 2 == part), root, is_stored=True)
     found = store.read_table(spark, root).where(F.col("risk_score") >= 90)
     return found.select(
         "transaction_id",

@@ -4,12 +4,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.config import TOPIC_RAW
-from riskloom.functions.contract import TRANSACTION_FIELDS, check_transactions, to_message
-from riskloom.functions.scoring import DECISION_COLUMNS
+from riskloom.functions.contract import TRANSACTION_FIELDS, check_transactions, to_message, valid
+from riskloom.functions.scoring import DECISION_COLUMNS, decision_records
 from riskloom.operators.monitoring import DURATION_BUCKETS, HOUR_US, INFINITE
 from riskloom.operators.ops import flagged
 from riskloom.operators.ordering import chunked_running
-from riskloom.plans.batch import decide
+from riskloom.plans.batch import decide, score_transactions
 from riskloom.session import stored
 from riskloom.sources.tables import EPOCH_2024_US, events, transactions
 
@@ -17,6 +17,11 @@ ARRIVALS_PER_CHUNK = 100_000
 HOLE_MINUTES = (60, 75)
 RESTART_MINUTE = 120
 DETECTOR_GROUP = "fraud-detector-v1"
+# What the features, the scores and the decision records are made of.
+DECISION_INPUTS = (
+    "transaction_id", "customer_id", "event_time", "amount", "currency", "device_id", "country_code",
+    "merchant_category", "label", "seq",
+)
 
 
 def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -171,16 +176,16 @@ def decision_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     earlier (k mod 4 = 1) or the same processed_at (k mod 8 = 2).
     """
     processed = F.timestamp_micros(F.unix_micros("event_time") + F.col("k") * 1000)
-    sent = decide(
-        transactions(spark, sf_dir), processed_at=processed, keep=("seq", "k", "user_id")
-    )
+    # Stored once, without what no decision shows: the features read it twice, and checking costs more than that.
+    accepted = stored(valid(check_transactions(transactions(spark, sf_dir))).select(*DECISION_INPUTS, "k"))
+    sent = decision_records(score_transactions(accepted), processed_at=processed, keep=("seq", "k"))
     k = F.col("k")
     shift_us = F.when(k % 4 == 0, 1_000_000).when(k % 4 == 1, -1_000_000).when(k % 8 == 2, 0)
     copies = F.when(shift_us.isNull(), F.array(F.lit(0))).otherwise(F.array(F.lit(0), F.lit(1)))
     again = F.col("copy") == 1
     moved = F.timestamp_micros(F.unix_micros("processed_at") + shift_us)
     return sent.withColumn("copy", F.explode(copies)).select(
-        *[c for c in sent.columns if c not in ("risk_score", "processed_at", "seq", "k", "user_id")],
+        *[c for c in sent.columns if c not in ("risk_score", "processed_at", "seq", "k")],
         F.when(again, F.least(F.lit(100), F.col("risk_score") + 1))
         .otherwise(F.col("risk_score"))
         .alias("risk_score"),

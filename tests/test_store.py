@@ -138,6 +138,54 @@ def test_a_batch_that_failed_midway_is_finished_from_its_staging(make, spark, tm
     assert as_set(store.read_table(spark, root)) == whole
 
 
+def test_a_stored_batch_is_copied_once_at_most(make, spark, tmp_path, monkeypatch):
+    """No copies beside the staged rows, and these meet in one exchange, without a join."""
+    rows = decided(make, *[{} for _ in range(30)]).checkpoint()
+    copies = []
+    monkeypatch.setattr(store, "stored", lambda df: copies.append(df) or df.checkpoint())
+    root = str(tmp_path / "table")
+    for low in (0, 10):
+        store.upsert(rows.where(F.col("arrival") >= low), root, is_stored=True)
+    assert not copies
+    assert store.read_table(spark, root).count() == 30
+    merged = store._merged(rows.withColumn("bucket", store._bucket(F.col("transaction_id"))), 30)
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Join" not in plan
+
+
+def test_buckets_over_several_tasks_and_ids_with_very_many_copies(make, spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(store, "BUCKETS", 2)
+    monkeypatch.setattr(store, "ROWS_PER_PIECE", 20)
+    found = decided(make, {}).crossJoin(spark.range(300).select("id")).withColumns(
+        {
+            "transaction_id": F.concat(F.lit("t"), F.when(F.col("id") < 200, F.col("id")).otherwise(7)),
+            "processed_at": F.timestamp_seconds(1_767_225_600 + F.col("id") % 250),
+            "arrival": F.col("id"),
+        }
+    )
+    root = str(tmp_path / "table")
+    store.upsert(found, root)
+    assert store._sizes(found)[1] > store.ROWS_PER_PIECE
+    first = {r.transaction_id: r.arrival for r in store.read_table(spark, root).collect()}
+    assert first == {f"t{i}": i for i in range(200)} | {"t7": 249}
+    assert store.read_table(spark, root).count() == 200
+    store.upsert(found.withColumn("arrival", F.col("arrival") + 1000).where("id >= 100"), root)
+    second = {r.transaction_id: r.arrival for r in store.read_table(spark, root).collect()}
+    assert second == {f"t{i}": i if i < 100 else i + 1000 for i in range(200)} | {"t7": 1249}
+    with pytest.raises(Exception, match="constraint broken"):
+        store.upsert(found.withColumn("processed_at", F.lit(None).cast("timestamp")), root)
+
+
+def test_a_first_batch_that_failed_before_its_end_is_written_by_its_retry(make, spark, tmp_path):
+    root = tmp_path / "table"
+    (root / ".spark-staging-1").mkdir(parents=True)
+    rows = decided(make, {}, {})
+    store.upsert(rows.limit(0), str(root), str(tmp_path / "staged"))
+    assert not list(root.glob("bucket=*"))
+    store.upsert(rows, str(root), str(tmp_path / "staged"))
+    assert store.read_table(spark, str(root)).count() == 2
+
+
 def test_an_older_table_gets_the_rule_score(make, spark, tmp_path):
     root = str(tmp_path / "table")
     rows = decided(make, {"amount": 3000.0}, {"amount": 3000.0})
