@@ -11,8 +11,9 @@ No pair of a bucket is listed.  The steps, with `node` a distinct set of shingle
    leader; it is tied to those within `LOOSE`.  Distances between signatures obey the triangle
    inequality, so linked sets are tied to a common leader; only a spanning forest of the ties leaves.
 3. The ties' components are families.  Their full sets are cut into blocks of bounded
-   size, and each pair of blocks is searched in one task, so a set is shuffled once per block of its family: prefix filter, then the exact
-   Jaccard condition in integers; again only a spanning forest leaves.
+   size, and each pair of blocks is searched in one task, so a set is shuffled once per other block of its family: prefix
+   filter, a bound on what is shared behind the prefixes, then the exact Jaccard condition in integers; again only a
+   spanning forest leaves.
 4. Components of the verified links are the result.
 
 Words are `[^\x20\x09-\x0D]+` after lower-casing A-Z; shorter texts than a shingle are one
@@ -39,6 +40,8 @@ ROWS = 4
 TIGHT, LOOSE = 0.85, 0.5
 # Shingles in a block of full sets: 8 bytes each, two blocks to a task.
 BLOCK = 1_000_000
+# Shingles that are hashed at a time: they and what is made of them stay in a core's cache.
+GROUP = 16_384
 WORD_CACHE = 200_000
 
 _U = np.uint64
@@ -63,21 +66,52 @@ class _WordHashes(dict):
 _HASHES = _WordHashes()
 
 
-def word_hashes(text: str) -> np.ndarray:
-    words = text.encode().lower().split()
+def word_hashes(text: bytes) -> np.ndarray:
+    words = text.lower().split()
     return np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
 
 
-def shingles(text: str, size: int) -> np.ndarray:
-    """The sorted distinct 64-bit hashes of a text's shingles."""
-    w = word_hashes(text)
-    if not len(w):
-        return w
-    size = min(size, len(w))
+def _windows(w: np.ndarray, size: int) -> np.ndarray:
+    """One hash for each window of `size` neighbours."""
     h = np.full(len(w) - size + 1, size, np.uint64)
     for k in range(size):
         h = mix(h ^ w[k : len(w) - size + 1 + k]) + _C2
-    return np.unique(h)
+    return h
+
+
+def shingle_sets(texts: list[bytes], size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The sorted distinct 64-bit hashes of each text's shingles, one text behind the other, and how many each has."""
+    words = [word_hashes(t) for t in texts]
+    length = np.array([len(w) for w in words], np.int64)
+    n = np.where(length >= size, length - size + 1, np.minimum(length, 1))
+    values, ends = np.empty(n.sum(), np.uint64), np.cumsum(n)
+    long = [w for w in words if len(w) >= size]
+    if long:
+        # All long texts in one go; windows over the end of a text are left out.
+        whole = length[length >= size]
+        inside = np.ones(whole.sum(), bool)
+        last = np.cumsum(whole)
+        for k in range(1, size):
+            inside[last - k] = False
+        h = _windows(np.concatenate(long), size)
+        values[np.repeat(length >= size, n)] = h[inside[: len(h)]]
+    for i in np.flatnonzero((length > 0) & (length < size)).tolist():
+        values[ends[i] - 1] = _windows(words[i], len(words[i]))[0]
+    new = np.ones(len(values), bool)
+    for end, k in zip(ends.tolist(), n.tolist(), strict=True):
+        values[end - k : end].sort()
+    new[1:] = values[1:] != values[:-1]
+    full = n > 0
+    new[(ends - n)[full]] = True
+    count = np.zeros(len(texts), np.int64)
+    if full.any():
+        count[full] = np.add.reduceat(new, (ends - n)[full], dtype=np.int64)
+    return values[new], count
+
+
+def shingles(text: str, size: int) -> np.ndarray:
+    """The sorted distinct 64-bit hashes of a text's shingles."""
+    return shingle_sets([text.encode()], size)[0]
 
 
 def _constants(permutations: int) -> tuple[np.ndarray, np.ndarray]:
@@ -85,28 +119,50 @@ def _constants(permutations: int) -> tuple[np.ndarray, np.ndarray]:
     return r[0], r[1] * _U(2) + _U(1)
 
 
-def signature(values: np.ndarray, permutations: int) -> np.ndarray:
-    """Minimum and maximum under each permutation: first all minima, then all maxima."""
+def signatures(values: np.ndarray, starts: np.ndarray, permutations: int) -> np.ndarray:
+    """A row for each set of `values`, none empty: first its minima under all permutations, then all maxima."""
     offsets, factors = _constants(permutations)
-    low, high = np.empty(permutations, np.uint64), np.empty(permutations, np.uint64)
+    out = np.empty((2 * permutations, len(starts)), np.uint64)
+    x, y = np.empty_like(values), np.empty_like(values)
     for i in range(permutations):
-        x = (values ^ offsets[i]) * factors[i]
-        x = (x ^ (x >> _U(32))) * _C1
-        low[i], high[i] = x.min(), x.max()
-    return np.concatenate([low, high])
+        np.bitwise_xor(values, offsets[i], out=x)
+        np.multiply(x, factors[i], out=x)
+        np.right_shift(x, _U(32), out=y)
+        np.bitwise_xor(x, y, out=x)
+        np.multiply(x, _C1, out=x)
+        np.minimum.reduceat(x, starts, out=out[i])
+        np.maximum.reduceat(x, starts, out=out[permutations + i])
+    return np.ascontiguousarray(out.T)
+
+
+def signature(values: np.ndarray, permutations: int) -> np.ndarray:
+    """Minimum and maximum under each permutation: first all minima, then all maxima."""
+    return signatures(values, np.zeros(1, np.int64), permutations)[0]
 
 
-def bands(sig: np.ndarray) -> np.ndarray:
-    """One 64-bit key per band of ROWS values; neighbours in a band are of different permutations."""
-    n = len(sig) // ROWS
-    grid = sig[: n * ROWS].reshape(ROWS, n)
+def bands(sigs: np.ndarray) -> np.ndarray:
+    """Per row one 64-bit key per band of ROWS values; neighbours in a band are of different permutations."""
+    n = sigs.shape[1] // ROWS
+    grid = sigs[:, : n * ROWS].reshape(-1, ROWS, n)
     # Columns shifted by row: no band holds both values of one permutation.
-    h = np.arange(n, dtype=np.uint64)
+    h = np.broadcast_to(np.arange(n, dtype=np.uint64), (len(sigs), n))
     for k in range(ROWS):
-        h = mix(h ^ np.roll(grid[k], k)) + _C2
+        h = mix(h ^ np.roll(grid[:, k], k, axis=1)) + _C2
     return h
 
 
+def _grouped(texts: list[bytes]) -> Iterator[list[bytes]]:
+    """Cuts a list of texts so that each part has about GROUP words, or one text."""
+    start, size = 0, 0
+    for i, text in enumerate(texts):
+        # Six bytes are a word, about.
+        if i > start and size + len(text) > 6 * GROUP:
+            yield texts[start:i]
+            start, size = i, 0
+        size += len(text)
+    yield texts[start:]
+
+
 def sketches(docs: DataFrame, size: int, permutations: int) -> DataFrame:
     """id, text_hash, n, set_id (128 bits), sig (low bytes), bands of `common.documents`."""
     names = ["id", "text_hash", "n", "set_id", "sig", "bands"]
@@ -114,16 +170,18 @@ def sketches(docs: DataFrame, size: int, permutations: int) -> DataFrame:
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_slices(batches):
             rows = []
-            for text in batch.column("text"):
-                s = shingles(text.as_py(), size)
-                if not len(s):
-                    rows.append((0, None, None, None))
-                    continue
-                sig = signature(s, permutations)
-                rows.append(
-                    (len(s), xxhash.xxh3_128_digest(s.tobytes()), (sig >> _U(24)).astype(np.uint8).tobytes(),
-                     bands(sig).view(np.int64))
-                )
+            for texts in _grouped(batch.column("text").cast(pa.binary()).to_pylist()):
+                values, count = shingle_sets(texts, size)
+                starts = np.cumsum(count) - count
+                sigs = signatures(values, starts[count > 0], permutations)
+                low = (sigs >> _U(24)).astype(np.uint8)
+                found = zip(low, bands(sigs).view(np.int64), strict=True)
+                for start, n in zip(starts.tolist(), count.tolist(), strict=True):
+                    if n:
+                        sig, keys = next(found)
+                        rows.append((n, xxhash.xxh3_128_digest(values[start : start + n]), sig.tobytes(), keys))
+                    else:
+                        rows.append((0, None, None, None))
             types = [pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int64())]
             columns = [pa.array(list(c), t) for c, t in zip(zip(*rows, strict=True), types, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("text_hash"), *columns], names)
@@ -205,8 +263,8 @@ def ties(rows: DataFrame, tight: float = TIGHT, loose: float = LOOSE) -> DataFra
 def linked(sets: list[np.ndarray], percent: int) -> Iterator[tuple[int, int]]:
     """A spanning forest of the pairs with 100 * |x & y| >= percent * |x | y|.
 
-    A linked pair shares one of the rarest shingles of both (prefix filter); candidates of one
-    component are tried until one is linked.
+    A linked pair shares one of the rarest shingles of both (prefix filter), and so many that the others can make up
+    for the rest; candidates of one component are tried until one is linked, more of them at a time the longer it takes.
     """
     size = np.array([len(s) for s in sets])
     if len(sets) == 2:
@@ -218,39 +276,57 @@ def linked(sets: list[np.ndarray], percent: int) -> Iterator[tuple[int, int]]:
     ends = np.cumsum(size)
     rarity = np.empty(len(values), np.int64)
     rarity[np.lexsort((values, count))] = np.arange(len(values))
-    ranks = [np.sort(rarity[inverse[e - n : e]]) for e, n in zip(ends.tolist(), size.tolist(), strict=True)]
-    postings: dict[int, list[int]] = {}
-    shared = np.sort(rarity[count > 1])
-    least_shared = int(shared[0]) if len(shared) else len(values)
-    parent = np.arange(len(sets))
-
-    def find(i):
-        while parent[i] != i:
-            parent[i] = parent[parent[i]]
-            i = parent[i]
-        return int(i)
-
-    for x, mine in enumerate(ranks):
-        n = len(mine)
-        prefix = mine[: n - -(-percent * n // 100) + 1]
-        seen: dict[int, int] = {}
-        for t in prefix[prefix >= least_shared].tolist():
-            for y in postings.get(t, ()):
-                seen[y] = seen.get(y, 0) + 1
-            postings.setdefault(t, []).append(x)
-        tried = sorted(seen, key=lambda y: -seen[y])
-        root = find(x)
-        for y in tried:
-            if 100 * min(n, size[y]) < percent * max(n, size[y]) or find(y) == root:
-                continue
-            common = n + int(size[y]) - len(np.union1d(mine, ranks[y]))
-            if 100 * common >= percent * (n + int(size[y]) - common):
-                yield y, x
-                parent[find(y)] = root
+    ranks = np.split(rarity[inverse], ends[:-1])
+    for r in ranks:
+        r.sort()
+    least_shared = int((count == 1).sum())
+    length = size - -(-percent * size // 100) + 1
+    # The rarest shingles of each set that others have, too, and who has them, in order.
+    last = np.array([r[k - 1] for r, k in zip(ranks, length.tolist(), strict=True)])
+    prefixes = [r[np.searchsorted(r[:k], least_shared) : k] - least_shared for r, k in zip(ranks, length.tolist(), strict=True)]
+    tokens = np.concatenate(prefixes)
+    owners = np.repeat(np.arange(len(sets)), [len(p) for p in prefixes])[np.argsort(tokens, kind="stable")]
+    begin = np.cumsum(np.bincount(tokens, minlength=len(values) - least_shared))
+    begin = np.concatenate([[0], begin])
+    passed = begin[:-1].copy()
+    component, members = np.arange(len(sets)), {i: [i] for i in range(len(sets))}
+    mine = np.zeros(len(values), bool)
+    for x, prefix in enumerate(prefixes):
+        before = [owners[i:j] for i, j in zip(begin[prefix].tolist(), passed[prefix].tolist(), strict=True) if i < j]
+        passed[prefix] += 1
+        if not before:
+            continue
+        shared = np.bincount(np.concatenate(before), minlength=x)
+        y = np.flatnonzero(shared)
+        # What both have up to the end of the prefix that ends first is counted; behind it is no more than that set's rest.
+        most = shared[y] + np.where(last[x] <= last[y], size[x] - length[x], size[y] - length[y])
+        fits = (100 + percent) * most >= percent * (size[x] + size[y])
+        fits &= 100 * np.minimum(size[x], size[y]) >= percent * np.maximum(size[x], size[y])
+        y = y[fits]
+        y = y[np.argsort(-shared[y], kind="stable")]
+        mine[ranks[x]] = True
+        step = 1
+        while len(y := y[component[y] != component[x]]):
+            tried, y = y[:step], y[step:]
+            step *= 4
+            n = size[tried]
+            common = np.add.reduceat(mine[np.concatenate([ranks[i] for i in tried])], np.cumsum(n) - n, dtype=np.int64)
+            for i in tried[(100 + percent) * common >= percent * (size[x] + n)].tolist():
+                a, b = int(component[i]), int(component[x])
+                if a != b:
+                    yield i, x
+                    if len(members[a]) > len(members[b]):
+                        a, b = b, a
+                    component[members[a]] = b
+                    members[b] += members.pop(a)
+        mine[ranks[x]] = False
 
 
 def verified(sets: DataFrame, percent: int, block: int = BLOCK) -> DataFrame:
-    """A spanning forest (a, b) of the links within families; `sets`: family, node, n, set."""
+    """A spanning forest (a, b) of the links within families; `sets`: family, node, n, set.
+
+    Two blocks meet in one task, which also compares the sets of each; a block that is its whole family stays alone.
+    """
     sizes = sets.groupBy("family").agg(F.ceil(F.sum("n") / block).alias("blocks"))
     i = F.pmod(F.xxhash64("node"), "blocks")
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
@@ -258,6 +334,7 @@ def verified(sets: DataFrame, percent: int, block: int = BLOCK) -> DataFrame:
         sets.join(sizes, "family")
         .withColumn("i", i)
         .withColumn("j", other)
+        .where("blocks = 1 OR i <> j")
         .select("family", F.least("i", "j").alias("lo"), F.greatest("i", "j").alias("hi"), "node", "set")
     )
 
@@ -321,7 +398,10 @@ def near_duplicates(
 
     def full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_slices(batches):
-            sets = [shingles(t.as_py(), size).tobytes() for t in batch.column("text")]
+            sets = []
+            for part in _grouped(batch.column("text").cast(pa.binary()).to_pylist()):
+                values, count = shingle_sets(part, size)
+                sets += [s.tobytes() for s in np.split(values, np.cumsum(count)[:-1])]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(c) for c in ("family", "node", "n")] + [pa.array(sets, pa.binary())],
                 ["family", "node", "n", "set"],

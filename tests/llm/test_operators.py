@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -537,6 +538,51 @@ def test_minimum_and_maximum_are_unbiased():
     assert abs((a[:512] == b[:512]).mean() - (a[512:] == b[512:]).mean()) < 0.08
 
 
+def test_sets_and_signatures_of_many_texts_equal_those_of_each():
+    rng = random.Random(8)
+    texts = ["", " \n\t", "a", "A b", "ä Ö", "x\x0by\x0cz\x1cw v", " lead", "trail ", "long" * 9000 + " b c d"]
+    texts += [" ".join(rng.choices("abcDEF", k=rng.randint(0, 60))) for _ in range(200)]
+    for size in (1, 3, 5):
+        values, count = minhash.shingle_sets([t.encode() for t in texts], size)
+        sets = np.split(values, np.cumsum(count)[:-1])
+        assert [len(s) for s in sets] == [len(shingle_set(t, size)) for t in texts]
+        assert all((np.diff(s) > 0).all() and (s == minhash.shingles(t, size)).all() for s, t in zip(sets, texts, strict=True))
+        # Equal shingles, and only these, have equal hashes.
+        plain_sets = [shingle_set(t, size) for t in texts]
+        for i in range(9, 60):
+            assert len(np.intersect1d(sets[i], sets[i + 1])) == len(plain_sets[i] & plain_sets[i + 1])
+        filled = [s for s in sets if len(s)]
+        sigs = minhash.signatures(values, np.cumsum(count)[count > 0] - count[count > 0], 6)
+        assert (sigs == [minhash.signature(s, 6) for s in filled]).all()
+        assert (minhash.bands(sigs) == [minhash.bands(x[None])[0] for x in sigs]).all()
+
+
+def test_links_of_a_large_family_are_few_comparisons():
+    # Copies of one text, of which some words are replaced: about half are linked, the others with nothing.
+    rng = np.random.default_rng(11)
+    base, sets, kept = np.arange(400, dtype=np.uint64), [], []
+    for _ in range(1500):
+        stays = rng.random(400) >= rng.uniform(0, 0.2)
+        sets.append(np.sort(np.concatenate([base[stays], rng.integers(1000, 2**62, 400 - stays.sum()).astype(np.uint64)])))
+        kept.append(stays)
+    began = time.process_time()
+    forest = list(minhash.linked(sets, 85))
+    assert time.process_time() - began < 3
+    kept = np.array(kept, np.float32)
+    common = kept @ kept.T
+    union = minhash.Union()
+    for _ in sets:
+        union.add()
+    for i, j in np.argwhere(np.triu(100 * common >= 85 * (800 - common), 1)).tolist():
+        union.join(i, j)
+    found = minhash.Union()
+    for _ in sets:
+        found.add()
+    assert all(found.join(i, j) for i, j in forest)
+    roots = [union.find(i) for i in range(1500)]
+    assert [found.find(i) for i in range(1500)] == roots and 300 < len(set(roots)) < 1200
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(0, 60)] + [(100, k) for k in range(101, 130)] + [(7, 7)]
     found = components.components(spark.createDataFrame(edges, "a long, b long"))
