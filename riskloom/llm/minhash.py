@@ -41,11 +41,14 @@ TIGHT, LOOSE = 0.85, 0.5
 # Shingles in a block of full sets: 8 bytes each, two blocks to a task.
 BLOCK = 1_000_000
 # Shingles that are hashed at a time: they and what is made of them stay in a core's cache.
-GROUP = 16_384
-WORD_CACHE = 200_000
+GROUP = 32_768
+# Bytes of the longest words that are hashed with others.
+LONG_WORD = 64
 
 _U = np.uint64
 _C1, _C2 = _U(0xBF58476D1CE4E5B9), _U(0x94D049BB133111EB)
+# The lowest 0 to 8 bytes.
+_LOW = np.array([2 ** (8 * k) - 1 for k in range(9)], np.uint64)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -55,20 +58,31 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-class _WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        h = xxhash.xxh64_intdigest(word)
-        if len(self) < WORD_CACHE:
-            self[word] = h
-        return h
+def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """A hash for each word, one text behind the other, and how many words each text has.
 
-
-_HASHES = _WordHashes()
-
-
-def word_hashes(text: bytes) -> np.ndarray:
-    words = text.lower().split()
-    return np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
+    Eight bytes at a time, all words together: different words of the same length up to eight have different hashes.
+    """
+    # A space before and at least eight behind: words have two edges, and eight bytes can be read from each of theirs.
+    joined = b"".join([b" ", b" ".join(texts).lower(), b" " * 9])
+    buffer = np.frombuffer(joined, np.uint8)
+    space = (buffer == 32) | (buffer - np.uint8(9) < 5)
+    edges = np.flatnonzero(space[1:] != space[:-1]) + 1
+    start, length = edges[::2], edges[1::2] - edges[::2]
+    eight = np.ndarray(len(joined) - 7, "<u8", joined, strides=(1,))
+    h = mix(length.astype(np.uint64) + _C2)
+    some = np.flatnonzero(length <= LONG_WORD)
+    for k in range(0, LONG_WORD, 8):
+        if k:
+            some = some[length[some] > k]
+        if not len(some):
+            break
+        left = np.minimum(length[some] - k, 8)
+        h[some] = mix(h[some] ^ (eight[start[some] + k] & _LOW[left])) + _C2
+    for i in np.flatnonzero(length > LONG_WORD).tolist():
+        h[i] = xxhash.xxh64_intdigest(joined[start[i] : start[i] + length[i]])
+    ends = np.cumsum([len(t) + 1 for t in texts])
+    return h, np.diff(np.searchsorted(start, ends + 1), prepend=0)
 
 
 def _windows(w: np.ndarray, size: int) -> np.ndarray:
@@ -81,22 +95,18 @@ def _windows(w: np.ndarray, size: int) -> np.ndarray:
 
 def shingle_sets(texts: list[bytes], size: int) -> tuple[np.ndarray, np.ndarray]:
     """The sorted distinct 64-bit hashes of each text's shingles, one text behind the other, and how many each has."""
-    words = [word_hashes(t) for t in texts]
-    length = np.array([len(w) for w in words], np.int64)
+    w, length = word_hashes(texts)
     n = np.where(length >= size, length - size + 1, np.minimum(length, 1))
-    values, ends = np.empty(n.sum(), np.uint64), np.cumsum(n)
-    long = [w for w in words if len(w) >= size]
-    if long:
-        # All long texts in one go; windows over the end of a text are left out.
-        whole = length[length >= size]
-        inside = np.ones(whole.sum(), bool)
-        last = np.cumsum(whole)
+    values, ends, word_ends = np.empty(n.sum(), np.uint64), np.cumsum(n), np.cumsum(length)
+    if len(w) >= size:
+        # All texts in one go; windows over the end of a text are left out.
+        inside = np.ones(len(w), bool)
         for k in range(1, size):
-            inside[last - k] = False
-        h = _windows(np.concatenate(long), size)
+            inside[word_ends[length >= k] - k] = False
+        h = _windows(w, size)
         values[np.repeat(length >= size, n)] = h[inside[: len(h)]]
     for i in np.flatnonzero((length > 0) & (length < size)).tolist():
-        values[ends[i] - 1] = _windows(words[i], len(words[i]))[0]
+        values[ends[i] - 1] = _windows(w[word_ends[i] - length[i] : word_ends[i]], length[i])[0]
     new = np.ones(len(values), bool)
     for end, k in zip(ends.tolist(), n.tolist(), strict=True):
         values[end - k : end].sort()

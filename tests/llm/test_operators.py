@@ -557,6 +557,24 @@ def test_sets_and_signatures_of_many_texts_equal_those_of_each():
         assert (minhash.bands(sigs) == [minhash.bands(x[None])[0] for x in sigs]).all()
 
 
+def test_words_are_told_apart_wherever_they_stand():
+    letters = "a\0é€𝄞Zz"
+    words = {"".join(random.Random(i).choices(letters, k=1 + i % 9)) for i in range(400)}
+    words |= {c * k for c in "ab\0" for k in (7, 8, 9, 15, 16, 17, 63, 64, 65, 66, 127, 128, 5000)}
+    words |= {"p" * k + "q" for k in (7, 8, 15, 16, 62, 63, 64, 65, 200)}
+    words = sorted({w.encode().lower() for w in words})
+    rng = random.Random(12)
+    texts = [[]] + [rng.choices(words, k=rng.randint(0, 40)) for _ in range(100)] + [words, []]
+    spaced = [b"".join(w + rng.choice([b" ", b"\n", b"\t\x0b\x0c\r "]) for w in t).upper() for t in texts]
+    spaced[5] = b"  " + spaced[5]
+    hashes, count = minhash.word_hashes(spaced)
+    assert count.tolist() == [len(t) for t in texts]
+    known = {}
+    for w, h in zip([w for t in texts for w in t], hashes.tolist(), strict=True):
+        assert known.setdefault(w, h) == h
+    assert len(set(known.values())) == len(known) == len(words)
+
+
 def test_links_of_a_large_family_are_few_comparisons():
     # Copies of one text, of which some words are replaced: about half are linked, the others with nothing.
     rng = np.random.default_rng(11)
