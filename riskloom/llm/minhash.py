@@ -153,7 +153,7 @@ def signature(values: np.ndarray, permutations: int) -> np.ndarray:
 def bands(sigs: np.ndarray) -> np.ndarray:
     """Per row one 64-bit key per band of ROWS values; neighbours in a band are of different permutations."""
     n = sigs.shape[1] // ROWS
-    grid = sigs[:, : n * ROWS].reshape(-1, ROWS, n)
+    grid = sigs[:, : n * ROWS].reshape(len(sigs), ROWS, n)
     # Columns shifted by row: no band holds both values of one permutation.
     h = np.broadcast_to(np.arange(n, dtype=np.uint64), (len(sigs), n))
     for k in range(ROWS):
